@@ -1,0 +1,114 @@
+import json
+
+import pytest
+
+from tierline.plans.jobs import landing_to_bronze
+from tierline.sources import bronze, landing
+
+
+def put(root, name, text):
+    path = root / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_discovery(spark, tmp_path):
+    put(tmp_path, "dims/routes.v2.json", "{}")
+    put(tmp_path, "facts/sales.json/part-0.json", "{}")
+    put(tmp_path, "facts/notes.txt", "")
+    put(tmp_path, "top.json", "{}")
+    found = landing.discover(spark, str(tmp_path))
+    assert sorted(found) == ["routes", "sales", "top"]
+    assert found["sales"].endswith("facts/sales.json")
+
+
+def test_last_of_two_equal_names_is_used(spark, tmp_path, caplog):
+    put(tmp_path, "dims/a.json", '{"x": 1}')
+    put(tmp_path, "facts/a.json", '{"x": 2}')
+    assert landing.discover(spark, str(tmp_path))["a"].endswith("facts/a.json")
+    assert "replaces" in caplog.text
+
+
+def test_table_names():
+    assert landing.table_name("s3://b/dims/routes_data.json") == "routes_data"
+    assert landing.table_name("a.b.json") == "a"
+
+
+def test_json_forms(spark, tmp_path, rows):
+    put(tmp_path, "array.json", '[{"a": 1, "b": "x"}, {"a": 2, "b": null}]')
+    put(tmp_path, "bad.json", '{"a": 1}\n{"a": \n')
+    put(tmp_path, "pretty.json", json.dumps([{"a": 1}, {"a": 2}], indent=2))
+    assert rows(landing.read_json(spark, f"{tmp_path}/array.json")) == [(1, "x"), (2, None)]
+    assert "_corrupt_record" in landing.read_json(spark, f"{tmp_path}/bad.json").columns
+    assert rows(landing.read_json(spark, f"{tmp_path}/pretty.json", multi_line=True)) == [(1,), (2,)]
+
+
+def test_to_bronze_keeps_nested_values(spark, tmp_path):
+    put(tmp_path, "landing/dims/t.json", '{"id": 1, "tags": ["a"], "at": {"x": 1.5}}')
+    landing_to_bronze(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", 4)
+    df = bronze.read_bronze(spark, f"{tmp_path}/bronze", 4, "t")
+    assert dict(df.dtypes) == {"at": "struct<x:double>", "id": "bigint", "tags": "array<string>"}
+
+
+def test_bronze_run_is_overwritten(spark, tmp_path, rows):
+    for n in (1, 2):
+        bronze.write_bronze(spark.range(n), str(tmp_path), 1, "t")
+    assert rows(bronze.read_bronze(spark, str(tmp_path), 1, "t")) == [(0,), (1,)]
+
+
+def test_given_schema_is_used(spark, tmp_path):
+    put(tmp_path, "landing/t.json", '{"id": 1}')
+    landing_to_bronze(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", 4, schemas={"t": "id string"})
+    assert bronze.read_bronze(spark, f"{tmp_path}/bronze", 4, "t").dtypes == [("id", "string")]
+
+
+def test_scan_with_table_names(spark, tmp_path, rows):
+    put(tmp_path, "dims/a.json", '{"x": 1}')
+    put(tmp_path, "dims/b.json/part-0.json", '{"x": 2}')
+    put(tmp_path, "dims/c.txt", '{"x": 3}')
+    assert rows(landing.scan_landing(spark, str(tmp_path)), "table_name", "x") == [("a", 1), ("b", 2)]
+
+
+DOCUMENT = {"data": {"routes": [{"id": "R1", "date": "2023-01-01"}, {"id": "R2", "date": "2023-01-02"}],
+                     "text": '[{"id": 1, "gone": null}]', "plain": [1, 2]}}
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_payload(spark, tmp_path, rows, indent):
+    put(tmp_path, "doc.json", json.dumps(DOCUMENT, indent=indent))
+    path = f"{tmp_path}/doc.json"
+    schema = landing.payload_schema(spark, path)
+    assert rows(landing.payload_table(spark, path, "routes", schema), "id") == [("R1",), ("R2",)]
+    assert rows(landing.payload_table(spark, path, "plain", schema)) == [(1,), (2,)]
+    with pytest.raises(KeyError):
+        landing.payload_table(spark, path, "missing", schema)
+    landing.land_payload(spark, path, f"{tmp_path}/landing", "dims", ("routes", "text"),
+                         window=("2023-01-02", "2023-01-02"))
+    found = landing.discover(spark, f"{tmp_path}/landing")
+    assert rows(landing.read_json(spark, found["routes"]), "id") == [("R2",)]
+    assert landing.read_json(spark, found["text"]).columns == ["gone", "id"]
+
+
+def test_landed_rows_keep_null_columns(spark, tmp_path):
+    landing.write_json(spark.sql("SELECT 1 AS a, CAST(NULL AS string) AS b"), f"{tmp_path}/t.json")
+    assert landing.read_json(spark, f"{tmp_path}/t.json").columns == ["a", "b"]
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("backfill, days", [("0", [3]), ("1", [2, 3])])
+def test_fact_window(spark, kind, backfill, days):
+    df = spark.sql(f"""SELECT d, CAST(concat('2023-01-0', d, {"' 23:59:59'" if "time" in kind else "''"})
+                       AS {kind}) AS date FROM VALUES (1), (2), (3), (4) AS t(d)""")
+    got = landing.fact_window(df, "2023-01-03", "2023-01-02", backfill)
+    assert sorted(r.d for r in got.collect()) == days
+
+
+def test_backfill_needs_a_start(spark):
+    with pytest.raises(ValueError):
+        landing.fact_window(spark.sql("SELECT '2023-01-01' AS date"), "2023-01-01", None, "1")
+
+
+def test_null_row(spark, rows):
+    df = bronze.null_row(spark)
+    assert df.schema == bronze.NULL_ROW_SCHEMA
+    assert rows(df.unionByName(bronze.null_row(spark))) == [(None,) * 7] * 2

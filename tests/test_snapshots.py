@@ -1,0 +1,129 @@
+import random
+from collections import Counter
+
+import pytest
+
+from tierline import files
+from tierline.operators.upsert import DuplicateKeyError
+from tierline.sources import snapshots
+from tierline.sources.snapshots import (NULL_SLICE, ONE_SLICE, SnapshotTable, epoch_slices,
+                                        hash_slices)
+from test_upsert import SCHEMA, by_hand
+
+
+def make(spark, tmp_path, rows, slice_by=hash_slices(4)):
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by=slice_by)
+    target.full_load(spark.createDataFrame(rows, SCHEMA))
+    return target
+
+
+@pytest.mark.parametrize("slice_by", [ONE_SLICE, hash_slices(3), "dwid"])
+def test_loads_against_brute_force(spark, tmp_path, slice_by):
+    """A run of loads with hot, null and repeated keys, checked after each one."""
+    chance = random.Random(11)
+    state = [(chance.choice([None, 0, 0, 0, *range(12)]), f"s{i}") for i in range(40)]
+    target = make(spark, tmp_path, state, slice_by)
+    for load in range(4):
+        keys = chance.sample(range(20), 6)
+        batch = [(k, f"b{load}") for k in keys] + [(None, f"b{load}")] * 2
+        target.upsert(spark.createDataFrame(batch, SCHEMA))
+        expected = by_hand(state, batch)
+        assert Counter(map(tuple, target.read().collect())) == expected
+        state = list(expected.elements())
+        target.expire(keep=1)
+        assert Counter(map(tuple, target.read().collect())) == expected
+
+
+def test_full_load_replaces_and_keeps_the_old_version_readable(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(1, "a")])
+    before = target.read()
+    target.full_load(spark.createDataFrame([(2, "b")], SCHEMA))
+    assert rows(target.read()) == [(2, "b")]
+    assert rows(before) == rows(target.read(1)) == [(1, "a")]
+
+
+def test_first_upsert_is_a_full_load(spark, tmp_path, rows):
+    target = SnapshotTable(spark, f"{tmp_path}/t")
+    assert not target.exists()
+    target.upsert(spark.createDataFrame([(1, "a")], SCHEMA))
+    assert rows(target.read()) == [(1, "a")]
+
+
+def test_only_slices_with_a_match_are_rewritten(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(0, "a"), (1, "b"), (2, "c")], "dwid % 3")
+    target.upsert(spark.createDataFrame([(1, "u"), (5, "n")], SCHEMA))
+    assert target.manifest()["slices"] == {"0": [1], "1": [2], "2": [1, 2]}
+    assert rows(target.read()) == [(0, "a"), (1, "u"), (2, "c"), (5, "n")]
+
+
+def test_crowded_slices_are_rewritten(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(snapshots, "MAX_FOLDERS", 2)
+    target = make(spark, tmp_path, [(0, "a")], ONE_SLICE)
+    for i in range(1, 5):
+        target.upsert(spark.createDataFrame([(i, "n")], SCHEMA))
+        assert len(target.manifest()["slices"]["0"]) <= 2
+    assert target.read().count() == 5
+
+
+def test_null_keys_have_a_slice(spark, tmp_path):
+    target = make(spark, tmp_path, [(None, "a"), (3, "b")], "dwid % 2")
+    assert target.manifest()["slices"] == {str(NULL_SLICE): [1], "1": [1]}
+
+
+def test_epoch_slices(spark):
+    df = spark.sql(f"""SELECT {epoch_slices(30)} AS s FROM VALUES
+        ('16725312007'), ('1672617600R9'), ('1704067200R9'), ('x'), (NULL) AS t(dwid)""")
+    first, near, later, bad, null = [r[0] for r in df.collect()]
+    assert first == near and later != first and bad is None and null is None
+
+
+def test_conflict_changes_nothing(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(1, "a")])
+    with pytest.raises(DuplicateKeyError):
+        target.upsert(spark.createDataFrame([(1, "x"), (1, "y")], SCHEMA))
+    assert target.versions() == [1] and rows(target.read()) == [(1, "a")]
+
+
+def test_leftovers_of_a_broken_write_are_replaced(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(1, "a")])
+    spark.createDataFrame([(8, "junk")], SCHEMA).write.parquet(f"{tmp_path}/t/data/version_no=2/slice_no=0")
+    target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
+    assert rows(target.read()) == [(1, "a"), (2, "b")]
+
+
+def test_other_columns_are_refused(spark, tmp_path):
+    target = make(spark, tmp_path, [(1, "a")])
+    with pytest.raises(ValueError, match="Columns differ"):
+        target.upsert(spark.createDataFrame([(1, 2)], "dwid bigint, a int"))
+
+
+def test_empty_loads(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [])
+    assert rows(target.read()) == []
+    target.register("tierline_empty", "t", f"{tmp_path}/db")
+    assert spark.sql("SELECT count(*) FROM tierline_empty.t").first()[0] == 0
+    target.upsert(spark.createDataFrame([], SCHEMA))
+    target.upsert(spark.createDataFrame([(1, "a")], SCHEMA))
+    assert rows(target.read()) == [(1, "a")]
+
+
+def test_expire_removes_unused_folders_only(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(0, "a"), (1, "b")], "dwid % 2")
+    target.upsert(spark.createDataFrame([(1, "u")], SCHEMA))
+    target.expire(keep=1)
+    assert target.versions() == [2]
+    assert files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=0")
+    assert not files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=1")
+    assert rows(target.read()) == [(0, "a"), (1, "u")]
+
+
+def test_registered_view_follows_the_table(spark, tmp_path):
+    target = make(spark, tmp_path, [(i, "a") for i in range(20)] + [(None, "a")], hash_slices(5))
+    target.register("tierline_test", "t", f"{tmp_path}/db")
+    count = lambda: spark.sql("SELECT count(*) FROM tierline_test.t").first()[0]
+    assert count() == 21
+    target.upsert(spark.createDataFrame([(3, "u"), (77, "n")], SCHEMA))
+    assert count() == 21
+    target.register("tierline_test", "t")
+    assert count() == 22
+    assert spark.table("tierline_test.t").columns == ["dwid", "a"]

@@ -54,7 +54,7 @@ def status_event(spark: SparkSession, run_id: int | str, producer: str, status:
                  update: str = "ok") -> DataFrame:
     """The one event a job sends when it ends."""
     texts = (str(run_id), producer, status, message_text(producer, status, update))
-    return status_events(spark.range(1), *(F.lit(t) for t in texts),
+    return status_events(spark.range(0, 1, 1, 1), *(F.lit(t) for t in texts),
                          F.current_timestamp().alias("Time"))
 
 

@@ -14,16 +14,19 @@ class DuplicateKeyError(ValueError):
 
 
 def matched_keys(current: DataFrame, batch: DataFrame, key: str = KEY,
-                 carry: tuple[str, ...] = ()) -> DataFrame:
+                 carry: tuple[str, ...] = (), batch_is_small: bool = False) -> DataFrame:
     """Keys of ``batch`` that exist in ``current``, at most one row per key.
 
-    Reads only the key column of ``current``. The batch keys are the right side
-    of a semi join, so Spark broadcasts them when they are small and otherwise
-    can split a hot key of ``current``. Null keys never match.
+    Reads only the key column of ``current`` (and columns that follow from the
+    key, in ``carry``). Keys are made distinct before the shuffle of the join,
+    so a hot key reaches its task once per map task. With a batch known to be
+    small its keys are broadcast instead and ``current`` is not shuffled.
+    Null keys never match.
     """
-    return (current.select(key, *carry)
-            .join(batch.select(key), key, "left_semi")
-            .distinct())
+    present, wanted = current.select(key, *carry), batch.select(key)
+    if batch_is_small:
+        return present.join(F.broadcast(wanted), key, "left_semi").distinct()
+    return present.distinct().join(wanted, key, "left_semi")
 
 
 def conflicting_keys(batch: DataFrame, matched: DataFrame, key: str = KEY) -> DataFrame:

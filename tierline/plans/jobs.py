@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tierline import files
@@ -27,6 +27,15 @@ def _details(error: Exception) -> str:
     return str(error.args[0]) if error.args else str(error) or "Unknown error"
 
 
+def _each(spark: SparkSession, work, items, at_once: int) -> list:
+    """Apply ``work`` to each item, ``at_once`` of them submitting Spark jobs together."""
+    pool = ThreadPoolExecutor(max_workers=at_once)
+    try:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+    finally:
+        pool.shutdown(cancel_futures=True)
+
+
 def ingest(spark: SparkSession, log: runlog.RunLog, parameters: RunParameters, landing: str,
            dimension_documents: str | list[str], fact_documents: str | list[str],
            dimensions: tuple[str, ...] = dairy.DIMENSION_TABLES,
@@ -37,7 +46,7 @@ def ingest(spark: SparkSession, log: runlog.RunLog, parameters: RunParameters, l
         landing_layer.land_payload(spark, fact_documents, landing, "facts", facts,
                                    window=parameters.window)
     except Exception as error:
-        log.report(parameters.run_id, runlog.INGEST, runlog.FAILURE, _details(error))
+        log.report(parameters.run_id, runlog.INGEST, runlog.FAILURE, str(error))
         return False
     log.report(parameters.run_id, runlog.INGEST, runlog.SUCCESS)
     return True
@@ -46,20 +55,23 @@ def ingest(spark: SparkSession, log: runlog.RunLog, parameters: RunParameters, l
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, run_id: int | str,
                       log: runlog.RunLog | None = None,
                       schemas: dict[str, StructType | str] | None = None,
-                      multi_line: bool = False) -> bool:
+                      multi_line: bool = False, at_once: int = 4) -> bool:
     """Every landed JSON dataset to ``<bronze>/<run_id>/<table>``.
 
-    Stops at the first failure. Tables given in ``schemas`` skip the extra
+    The first failure ends the job. Tables given in ``schemas`` skip the extra
     pass over the data that type inference takes.
     """
+    def convert(item: tuple[str, str]) -> None:
+        table, path = item
+        df = landing_layer.read_json(spark, path, (schemas or {}).get(table), multi_line)
+        bronze_layer.write_bronze(df, bronze, run_id, table)
+
     try:
-        for table, path in landing_layer.discover(spark, landing).items():
-            df = landing_layer.read_json(spark, path, (schemas or {}).get(table), multi_line)
-            bronze_layer.write_bronze(df, bronze, run_id, table)
+        _each(spark, convert, landing_layer.discover(spark, landing).items(), at_once)
     except Exception as error:
         if log is None:
             raise
-        log.report(run_id, runlog.TO_BRONZE, runlog.FAILURE, _details(error))
+        log.report(run_id, runlog.TO_BRONZE, runlog.FAILURE, str(error))
         return False
     if log:
         log.report(run_id, runlog.TO_BRONZE, runlog.SUCCESS)
@@ -124,20 +136,20 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
     """
     mapping = dairy.MAPPING if mapping is None else mapping
     as_of = as_of or datetime.now(timezone.utc)
+    slices = dairy.SLICES if slices is None else slices
     size_shuffles(spark, f"{bronze}/{run_id}")
 
     def load(table: str) -> str:
         try:
             load_silver_table(spark, mapping[table], bronze, silver, rejected, run_id, load_type,
-                              as_of, (slices or {}).get(table, ONE_SLICE),
+                              as_of, slices.get(table, ONE_SLICE),
                               (custom or {}).get(table), check_quality, database)
             return ""
         except Exception as error:
             return (f"There was issue while processing table:{table}\n"
                     f"ERROR: {_details(error)}\n")
 
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        problems = "".join(pool.map(inheritable_thread_target(spark)(load), sorted(mapping)))
+    problems = "".join(_each(spark, load, sorted(mapping), at_once))
     status = runlog.PARTIAL if problems else runlog.SUCCESS
     if log:
         log.report(run_id, runlog.TO_SILVER, status, f" {problems}" if problems else "ok")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (DateType, FloatType, IntegerType, StringType, StructField,
                                StructType)
 
@@ -42,4 +42,5 @@ NULL_ROW_SCHEMA = StructType([
 
 def null_row(spark: SparkSession, schema: StructType = NULL_ROW_SCHEMA) -> DataFrame:
     """One row of nulls, to test null handling by a union with a source."""
-    return spark.createDataFrame([(None,) * len(schema)], schema)
+    return spark.range(0, 1, 1, 1).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))

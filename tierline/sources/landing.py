@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tierline import files
@@ -18,15 +18,14 @@ def table_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1].split(".", 1)[0]
 
 
-def table_name_column():
+def table_name_column() -> Column:
     """The same for the rows of a multi-file scan, from the scan's file path.
 
     Covers both a ``<table>.json`` file and a file in a ``<table>.json/`` folder.
     """
-    path = F.col("_metadata.file_path")
-    in_folder = F.regexp_extract(path, r"([^/.]*)[^/]*\.json/[^/]+$", 1)
-    own = F.regexp_extract(path, r"([^/.]*)[^/]*$", 1)
-    return F.when(in_folder != "", in_folder).otherwise(own)
+    tail = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    folder, own = F.substring_index(tail, "/", 1), F.substring_index(tail, "/", -1)
+    return F.substring_index(F.when(folder.endswith(".json"), folder).otherwise(own), ".", 1)
 
 
 def discover(spark: SparkSession, landing: str) -> dict[str, str]:
@@ -109,13 +108,15 @@ def payload_table(spark: SparkSession, documents: str | list[str], name: str,
 
 def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
                  folder: str, tables: tuple[str, ...], multi_line: bool = True,
-                 window: tuple[str, str] | None = None) -> None:
+                 window: tuple[str, str] | None = None,
+                 schema: StructType | None = None) -> None:
     """Write each table of the documents to ``<landing>/<folder>/<table>.json``.
 
     With a ``window`` (first and last day) rows outside it are not landed;
     that needs rows with a ``date``, text payloads are landed as they come.
+    ``schema`` of the documents saves the pass over them that infers it.
     """
-    schema = payload_schema(spark, documents, multi_line)
+    schema = schema or payload_schema(spark, documents, multi_line)
     for name in tables:
         rows = payload_table(spark, documents, name, schema, multi_line)
         if window and "date" in rows.columns:

@@ -33,6 +33,8 @@ NULL_SLICE = -1
 #: Limits of the manifest: slices per table, and folders of one slice before it is rewritten.
 MAX_SLICES = 4096
 MAX_FOLDERS = 16
+#: Parquet bytes of a batch, all columns, up to which its keys alone are broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def hash_slices(count: int, key: str = KEY) -> str:
@@ -159,8 +161,9 @@ class SnapshotTable:
         if not touched:
             return manifest["version"]
 
-        upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,)) \
-            .write.parquet(f"{staging}/matched")
+        small = files.bytes_below(self.spark, f"{staging}/batch") <= BROADCAST_BYTES
+        (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small)
+         .write.parquet(f"{staging}/matched"))
         matched = self.spark.read.parquet(f"{staging}/matched")
         matching = self._slice_numbers(matched)
         if matching:
