@@ -77,11 +77,11 @@ DOCUMENT = {"data": {"routes": [{"id": "R1", "date": "2023-01-01"}, {"id": "R2",
 def test_payload(spark, tmp_path, rows, indent):
     put(tmp_path, "doc.json", json.dumps(DOCUMENT, indent=indent))
     path = f"{tmp_path}/doc.json"
-    schema = landing.payload_schema(spark, path)
-    assert rows(landing.payload_table(spark, path, "routes", schema), "id") == [("R1",), ("R2",)]
-    assert rows(landing.payload_table(spark, path, "plain", schema)) == [(1,), (2,)]
+    payload = landing.read_payload(spark, path)
+    assert rows(landing.payload_table(payload, "routes"), "id") == [("R1",), ("R2",)]
+    assert rows(landing.payload_table(payload, "plain")) == [(1,), (2,)]
     with pytest.raises(KeyError):
-        landing.payload_table(spark, path, "missing", schema)
+        landing.payload_table(payload, "missing")
     landing.land_payload(spark, path, f"{tmp_path}/landing", "dims", ("routes", "text"),
                          window=("2023-01-02", "2023-01-02"))
     found = landing.discover(spark, f"{tmp_path}/landing")

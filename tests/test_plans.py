@@ -12,6 +12,7 @@ from tierline.queries import QUERIES
 from tierline.queries.registry import given
 from tierline.queries.silver import bronze_orders, _ORDERS
 from tierline.sources.landing import fact_window
+from tierline.sources.snapshots import SnapshotTable
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -56,6 +57,7 @@ def test_small_batch_leaves_the_table_unshuffled(spark):
     keys = plan(matched_keys(table, batch, batch_is_small=True))
     assert "BroadcastHashJoin LeftSemi BuildRight" in keys
     assert "ReadSchema: struct<o_orderkey:bigint>" in keys
+    assert exchanges(keys) == 2  # distinct keys of the batch, distinct matches
     updated = plan(updated_rows(table, batch))
     assert "BroadcastHashJoin LeftOuter BuildRight" in updated and exchanges(updated) == 0
 
@@ -69,3 +71,40 @@ def test_large_batch_splits_by_key_with_the_table_on_the_left(spark):
         assert "SortMergeJoin LeftSemi" in plan(matched_keys(table, table))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_hot_key_of_the_table_is_split(spark):
+    """A third of the rows share one key; adaptive execution splits that join task."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+                "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        table = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) AS dwid", "string(id) AS a")
+        batch = spark.range(-1, 1000).selectExpr("id AS dwid", "'new' AS a")
+        updated = updated_rows(table, batch)
+        assert sum(r.a == "new" for r in updated.collect()) == 20000 + 666
+        assert "skew=true" in updated._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_hot_slice_is_split_when_written(spark, tmp_path):
+    """Half of the keys fall into one slice; it is written by several tasks."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "40000", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        target = SnapshotTable(spark, f"{tmp_path}/t", slice_by="if(dwid % 2 = 0, 0, dwid % 7)")
+        target.full_load(spark.range(0, 80000, 1, 8).selectExpr("id AS dwid", "uuid() AS a"))
+        files = {s: len(list(tmp_path.glob(f"t/data/*/slice_no={s}/*.parquet"))) for s in (0, 3)}
+        assert files[0] > 4 and files[3] <= files[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from tierline.functions.casts import fill_null, to_clean_type
 from tierline.mapping import ColumnRule, TableMapping
@@ -17,13 +18,17 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def column_types(df: DataFrame, columns: list[Column]) -> list[DataType]:
+    """Types of the expressions over ``df``, from one analysis of them all."""
+    named = (c.alias(f"c{i}") for i, c in enumerate(columns))
+    return [f.dataType for f in df.select(*named).schema] if columns else []
+
+
 def fill_defaults(df: DataFrame, rules: list[ColumnRule]) -> DataFrame:
     """Fill nulls of the rules' source columns; other columns pass through."""
-    filled = {}
-    for rule in rules:
-        column = quoted(rule.source_column)
-        dtype = df.select(column).schema[0].dataType
-        filled[rule.source_column] = fill_null(column, dtype, rule.na_default)
+    columns = [quoted(r.source_column) for r in rules]
+    filled = {r.source_column: fill_null(column, dtype, r.na_default)
+              for r, column, dtype in zip(rules, columns, column_types(df, columns))}
     return df.withColumns(filled) if filled else df
 
 
@@ -38,10 +43,9 @@ def clean(df: DataFrame, mapping: TableMapping) -> DataFrame:
     before the shuffle.
     """
     rules = mapping.source_rules
+    columns = [quoted(r.source_column) for r in rules]
+    types = column_types(df, columns)
     distinct = drop_duplicate_rows(fill_defaults(df, rules[:-1]))
-    filled = fill_defaults(distinct, rules[-1:])
-    return filled.select(*(
-        to_clean_type(quoted(r.source_column),
-                      filled.select(quoted(r.source_column)).schema[0].dataType,
-                      r.spark_type).alias(r.source_column)
-        for r in rules))
+    return fill_defaults(distinct, rules[-1:]).select(*(
+        to_clean_type(column, dtype, r.spark_type).alias(r.source_column)
+        for r, column, dtype in zip(rules, columns, types)))

@@ -107,7 +107,7 @@ class RunLog:
     def apply(self, events: DataFrame, *order: str) -> None:
         """Upsert a batch of events; applying the same batch again changes nothing."""
         records = log_records(own_events(events), *order)
-        self.table.upsert(latest_records(records, *order))
+        self.table.upsert(latest_records(records, *order), unique_keys=True)
         self.table.expire()
 
     def report(self, run_id: int | str, producer: str, status: str, update: str = "ok") -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierline.functions.casts import to_type
 from tierline.functions.scalars import phone_tail
 from tierline.mapping import CUSTOM, EXPRESSION, PHONE, TableMapping
-from tierline.operators.clean import quoted
+from tierline.operators.clean import column_types, quoted
 
 LOAD_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -35,13 +35,14 @@ def transform(df: DataFrame, mapping: TableMapping, run_id: int | str,
     Expressions see the cleaned columns under their source names. A ``CUSTOM``
     column nobody supplies a derivation for is left out.
     """
+    derived = [r for r in mapping.rules if r.transformation == EXPRESSION]
+    types = dict(zip(derived, column_types(df, [F.expr(r.expr) for r in derived])))
     columns = []
     for rule in mapping.rules:
         if rule.transformation == PHONE:
             value = phone_tail(quoted(rule.target_column))
         elif rule.transformation == EXPRESSION:
-            value = F.expr(rule.expr)
-            value = to_type(value, df.select(value).schema[0].dataType, rule.spark_type)
+            value = to_type(F.expr(rule.expr), types[rule], rule.spark_type)
         elif rule.transformation == CUSTOM:
             if not custom or rule.target_column not in custom:
                 continue

@@ -25,7 +25,7 @@ def matched_keys(current: DataFrame, batch: DataFrame, key: str = KEY,
     """
     present, wanted = current.select(key, *carry), batch.select(key)
     if batch_is_small:
-        return present.join(F.broadcast(wanted), key, "left_semi").distinct()
+        return present.join(F.broadcast(wanted.distinct()), key, "left_semi").distinct()
     return present.distinct().join(wanted, key, "left_semi")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +16,7 @@ DEFAULT_SPAN = ("2022-01-01", "2025-12-31")
 def date_dim(spark: SparkSession, start: str = DEFAULT_SPAN[0],
              end: str = DEFAULT_SPAN[1]) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
-    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    first, last = (datetime.strptime(text, "%Y-%m-%d").date() for text in (start, end))
     if first >= last:
         raise ValueError("End date must be after start date.")
     day = F.col("date")

@@ -101,7 +101,13 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
         raise ValueError(f"load_type is one of {LOAD_TYPES}")
     source = bronze_layer.read_bronze(spark, bronze, run_id, mapping.name)
     target = SnapshotTable(spark, f"{silver}/{mapping.name}", slice_by=slice_by)
-    load = target.full_load if load_type == FULL_LOAD else target.upsert
+
+    def load(rows: DataFrame, stored_at: str | None = None) -> None:
+        if load_type == FULL_LOAD:
+            target.full_load(rows)
+        else:
+            target.upsert(rows, stored_at)
+
     if not (check_quality and mapping.dq_rules):
         load(transform(clean(source, mapping), mapping, run_id, as_of, custom))
     else:
@@ -112,7 +118,7 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
             staged = spark.read.schema(evaluated.schema).parquet(staging)
             bronze_layer.write_rejected(quality.failed_rows(staged), rejected,
                                         mapping.name, run_id)
-            load(quality.passed_rows(staged))
+            load(quality.passed_rows(staged), staging)
         finally:
             files.delete(spark, staging)
     target.expire()

@@ -8,8 +8,8 @@ from tierline.plans.jobs import landing_to_bronze
 from tierline.queries.registry import RUN_ID, given, query, source
 from tierline.session import scratch_path
 from tierline.sources.bronze import read_bronze
-from tierline.sources.landing import (fact_window, land_payload, payload_schema, payload_table,
-                                      read_json, scan_landing, write_json)
+from tierline.sources.landing import (fact_window, land_payload, payload_table, read_json,
+                                      read_payload, scan_landing, write_json)
 
 
 @query("landing_scan", """
@@ -54,9 +54,7 @@ def _documents(spark, sf_dir):
     SELECT c_custkey AS id, 'balance' AS kind, c_acctbal AS amount FROM customer
     UNION ALL SELECT c_custkey, 'limit', c_acctbal + 1000 FROM customer""")
 def payload_split(spark, sf_dir):
-    documents = _documents(spark, sf_dir)
-    schema = payload_schema(spark, documents, multi_line=False)
-    return payload_table(spark, documents, "amounts", schema, multi_line=False)
+    return payload_table(read_payload(spark, _documents(spark, sf_dir), multi_line=False), "amounts")
 
 
 @query("payload_text_landed", "SELECT c_custkey AS id, c_name AS name FROM customer")

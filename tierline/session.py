@@ -29,6 +29,7 @@ def build_session(app_name: str = "tierline", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         # A task that writes few partitions need not sort its rows first.
         "spark.sql.maxConcurrentOutputFileWriters": "8",
         "spark.scheduler.mode": "FAIR",

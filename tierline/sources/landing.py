@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from tierline import files
-from tierline.operators.clean import quoted
+from tierline.operators.clean import column_types, quoted
+from tierline.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -76,56 +77,55 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def payload_schema(spark: SparkSession, documents: str | list[str],
-                   multi_line: bool = True) -> StructType:
-    """Inferred schema of the API documents ``{"data": {"<table>": [...]}}``."""
-    return read_json(spark, documents, multi_line=multi_line).schema
+def read_payload(spark: SparkSession, documents: str | list[str],
+                 schema: StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """API documents ``{"data": {"<table>": [...]}}``: a row each, a column per table."""
+    return read_json(spark, documents, schema, multi_line).select("data.*")
 
 
-def payload_table(spark: SparkSession, documents: str | list[str], name: str,
-                  schema: StructType, multi_line: bool = True) -> DataFrame:
-    """Rows of one table from the API documents.
+def payload_table(payload: DataFrame, name: str) -> DataFrame:
+    """Rows of one table of the documents.
 
-    The scan asks for that table only, so the JSON parser skips the others.
     Tables delivered as ready-made JSON text come as one text row per document.
     """
-    data = schema["data"].dataType
-    if name not in data.fieldNames():
+    if name not in payload.columns:
         raise KeyError(f"The documents hold no table {name!r}")
-    field = data[name]
-    wanted = StructType([StructField("data", StructType([field]))])
-    df = read_json(spark, documents, wanted, multi_line)
-    value = F.col("data").getField(name)
-    if isinstance(field.dataType, ArrayType):
-        rows = df.select(F.explode(value).alias("row"))
-        if isinstance(field.dataType.elementType, StructType):
-            return rows.select("row.*")
-        return rows.select(F.col("row").alias("value"))
-    if isinstance(field.dataType, StringType):
-        return df.select(value.alias("value")).filter(F.col("value").isNotNull())
-    raise TypeError(f"Table {name!r} is neither a list of rows nor JSON text")
+    dtype, value = payload.schema[name].dataType, quoted(name)
+    if isinstance(dtype, StringType):
+        return payload.select(value.alias("value")).filter(F.col("value").isNotNull())
+    if not isinstance(dtype, ArrayType):
+        raise TypeError(f"Table {name!r} is neither a list of rows nor JSON text")
+    if isinstance(dtype.elementType, StructType):
+        return payload.select(F.inline(value))
+    return payload.select(F.explode(value).alias("value"))
 
 
 def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
                  folder: str, tables: tuple[str, ...], multi_line: bool = True,
                  window: tuple[str, str] | None = None,
-                 schema: StructType | None = None) -> None:
+                 schema: StructType | str | None = None) -> None:
     """Write each table of the documents to ``<landing>/<folder>/<table>.json``.
 
     With a ``window`` (first and last day) rows outside it are not landed;
     that needs rows with a ``date``, text payloads are landed as they come.
-    ``schema`` of the documents saves the pass over them that infers it.
+    The documents are parsed once into a columnar copy, of which each table
+    then reads its own column. ``schema`` saves the pass that infers types.
     """
-    schema = schema or payload_schema(spark, documents, multi_line)
-    for name in tables:
-        rows = payload_table(spark, documents, name, schema, multi_line)
-        if window and "date" in rows.columns:
-            rows = fact_window(rows, window[1], window[0], backfill="1")
-        path = f"{landing}/{folder}/{name}.json"
-        if isinstance(schema["data"].dataType[name].dataType, StringType):
-            rows.write.mode("overwrite").text(path)
-        else:
-            write_json(rows, path)
+    copy = scratch_path(spark, "payload")
+    try:
+        read_payload(spark, documents, schema, multi_line).write.parquet(copy)
+        payload = spark.read.parquet(copy)
+        for name in tables:
+            rows = payload_table(payload, name)
+            if window and "date" in rows.columns:
+                rows = fact_window(rows, window[1], window[0], backfill="1")
+            path = f"{landing}/{folder}/{name}.json"
+            if isinstance(payload.schema[name].dataType, StringType):
+                rows.write.mode("overwrite").text(path)
+            else:
+                write_json(rows, path)
+    finally:
+        files.delete(spark, copy)
 
 
 def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
@@ -140,7 +140,7 @@ def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
     if not start_date:
         raise ValueError("A backfill needs a start date.")
     value = quoted(column)
-    dtype = df.select(value).schema[0].dataType.typeName()
+    dtype = column_types(df, [value])[0].typeName()
     if dtype.startswith("timestamp"):
         last = F.date_add(F.lit(input_date).cast("date"), 1).cast(dtype)
         return df.filter((value >= F.lit(start_date).cast(dtype)) & (value < last))

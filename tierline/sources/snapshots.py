@@ -33,8 +33,8 @@ NULL_SLICE = -1
 #: Limits of the manifest: slices per table, and folders of one slice before it is rewritten.
 MAX_SLICES = 4096
 MAX_FOLDERS = 16
-#: Parquet bytes of a batch, all columns, up to which its keys alone are broadcast.
-BROADCAST_BYTES = 32 << 20
+#: Parquet bytes of a batch, all columns, up to which its distinct keys are broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 def hash_slices(count: int, key: str = KEY) -> str:
@@ -42,12 +42,14 @@ def hash_slices(count: int, key: str = KEY) -> str:
     return f"pmod(xxhash64({key}), {min(count, MAX_SLICES)})"
 
 
-def epoch_slices(days: int = 30, key: str = KEY) -> str:
-    """Slice expression for facts whose key begins with ten digits of epoch seconds.
+def epoch_slices(days: int = 30, key: str = KEY, digits: int = 10) -> str:
+    """Slice expression for facts whose key begins with epoch seconds of a date.
 
     Rows of nearby dates share a slice, so a daily load touches one or two.
+    Ten digits hold for dates since September 2001; keys of other length are
+    sliced just as well, only by less of a date.
     """
-    epoch = f"try_cast(substring(cast({key} AS string), 1, 10) AS bigint)"
+    epoch = f"try_cast(substring(cast({key} AS string), 1, {digits}) AS bigint)"
     return f"pmod(floor({epoch} / {86400 * days}), {MAX_SLICES})"
 
 
@@ -132,13 +134,15 @@ class SnapshotTable:
         return self._publish(version, df.schema, self._slice_by,
                              {s: [version] for s in self._written_slices(version)})
 
-    def upsert(self, batch: DataFrame) -> int:
+    def upsert(self, batch: DataFrame, stored_at: str | None = None,
+               unique_keys: bool = False) -> int:
         """Type-1 keyed load: update matching rows, insert the others.
 
         A missing table is a full load. Fails, changing nothing, when several
-        batch rows match one existing row. The batch is used several times, so
-        it is written to the shared folder first; that also keeps a lost
-        executor from recomputing its whole history.
+        batch rows match one existing row; ``unique_keys`` says that cannot be.
+        The batch is read several times, so it is first written to the shared
+        folder, which also keeps a lost executor from recomputing its whole
+        history. Give ``stored_at`` if it already is a scan of that path.
         """
         if not self.exists():
             return self.full_load(batch)
@@ -148,25 +152,28 @@ class SnapshotTable:
             raise ValueError(f"Columns differ from the table {self.root}: "
                              f"{batch.schema.simpleString()} against {schema.simpleString()}")
         staging = scratch_path(self.spark, "upsert")
+        batch = self._sliced(batch.select(*schema.names), manifest["slice_by"])
         try:
-            return self._upsert_staged(batch.select(*schema.names), manifest, schema, staging)
+            if not stored_at:
+                stored_at = f"{staging}/batch"
+                batch.write.parquet(stored_at)
+                batch = self.spark.read.parquet(stored_at)
+            return self._upsert_stored(batch, stored_at, unique_keys, manifest, schema, staging)
         finally:
             files.delete(self.spark, staging)
 
-    def _upsert_staged(self, batch, manifest, schema, staging) -> int:
+    def _upsert_stored(self, batch, stored_at, unique_keys, manifest, schema, staging) -> int:
         key, slice_by = self.key, manifest["slice_by"]
-        self._sliced(batch, slice_by).write.parquet(f"{staging}/batch")
-        batch = self.spark.read.parquet(f"{staging}/batch")
         touched = self._slice_numbers(batch)
         if not touched:
             return manifest["version"]
 
-        small = files.bytes_below(self.spark, f"{staging}/batch") <= BROADCAST_BYTES
+        small = files.bytes_below(self.spark, stored_at) <= BROADCAST_BYTES
         (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small)
          .write.parquet(f"{staging}/matched"))
         matched = self.spark.read.parquet(f"{staging}/matched")
         matching = self._slice_numbers(matched)
-        if matching:
+        if matching and not unique_keys:
             upsert.check_conflicts(batch, matched, key)
 
         crowded = {s for s in touched if len(manifest["slices"].get(s, ())) >= MAX_FOLDERS}
