@@ -19,7 +19,7 @@ def _cell(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.6g}"
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return "null" if value is None else str(value)

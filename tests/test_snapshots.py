@@ -7,7 +7,7 @@ from tierline import files
 from tierline.operators.upsert import DuplicateKeyError
 from tierline.sources import snapshots
 from tierline.sources.snapshots import (NULL_SLICE, ONE_SLICE, SnapshotTable, epoch_slices,
-                                        hash_slices)
+                                        hash_slices, merge_into)
 from test_upsert import SCHEMA, by_hand
 
 
@@ -127,3 +127,14 @@ def test_registered_view_follows_the_table(spark, tmp_path):
     target.register("tierline_test", "t")
     assert count() == 22
     assert spark.table("tierline_test.t").columns == ["dwid", "a"]
+
+
+def test_merge_statement_is_left_to_the_catalog(spark, tmp_path):
+    """Plain Parquet tables have no row-level operations; the statement itself is sound."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS merge_target USING parquet LOCATION '{tmp_path}/m' AS "
+              "SELECT 1L AS dwid, 'a' AS a")
+    try:
+        with pytest.raises(Exception, match="(?i)merge into table"):
+            merge_into(spark.createDataFrame([(1, "u")], SCHEMA), "merge_target")
+    finally:
+        spark.sql("DROP TABLE merge_target")

@@ -113,12 +113,13 @@ class RunLog:
     def report(self, run_id: int | str, producer: str, status: str, update: str = "ok") -> None:
         self.apply(status_event(self.spark, run_id, producer, status, update), "Time")
 
+    def record(self, run_id: int | str, producer: str) -> DataFrame:
+        """The record of one step, found by its key; no row if it never reported."""
+        return self.table.read().filter(F.col(LOG_KEY) == f"{int(run_id)}_{producer}")
+
     def lookup(self, run_id: int | str, producer: str) -> dict | None:
         """Body of one record, or None."""
-        if not self.table.exists():
-            return None
-        found = (self.table.read()
-                 .filter(F.col(LOG_KEY) == f"{int(run_id)}_{producer}").take(1))
+        found = self.record(run_id, producer).take(1) if self.table.exists() else []
         return found[0]["body"].asDict() if found else None
 
     def gate(self, run_id: int | str, producer: str) -> bool:

@@ -66,6 +66,14 @@ def run_log_stored(spark, sf_dir):
     return _flat(log.table.read())
 
 
+@query("run_log_lookup", f"SELECT * FROM ({_LOG_SQL}) WHERE task_run_id = '8_silver-2-gold'")
+def run_log_lookup(spark, sf_dir):
+    """One record of the stored log by its key."""
+    log = runlog.RunLog(spark, scratch_path(spark, "run-log"))
+    log.apply(_events(spark, sf_dir), *_ORDER)
+    return _flat(log.record("008", runlog.TO_GOLD))
+
+
 @query("run_log_stream", _LOG_SQL)
 def run_log_stream(spark, sf_dir):
     """The log kept by a stream over event files."""
