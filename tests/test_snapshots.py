@@ -115,6 +115,9 @@ def test_expire_removes_unused_folders_only(spark, tmp_path, rows):
     assert files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=0")
     assert not files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=1")
     assert rows(target.read()) == [(0, "a"), (1, "u")]
+    target.full_load(spark.createDataFrame([(5, "z")], SCHEMA))
+    target.expire(keep=1)
+    assert [p.rsplit("/", 1)[-1] for p, _ in files.children(spark, f"{tmp_path}/t/data")] == ["version_no=3"]
 
 
 def test_registered_view_follows_the_table(spark, tmp_path):

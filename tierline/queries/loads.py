@@ -108,7 +108,7 @@ def full_load(spark, sf_dir):
 
 
 @query("catalog_sql", """
-    SELECT n_name, count(*) AS customers, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS balance
+    SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
     FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def catalog_sql(spark, sf_dir):
     """Ad-hoc SQL over registered tables."""
@@ -118,7 +118,7 @@ def catalog_sql(spark, sf_dir):
         target.full_load(given(spark, sf_dir, name))
         target.register("tierline_silver", name, f"{base}/database")
     return spark.sql("""
-        SELECT n_name, count(*) AS customers, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS balance
+        SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM tierline_silver.customer JOIN tierline_silver.nation ON c_nationkey = n_nationkey
         GROUP BY n_name""")
 

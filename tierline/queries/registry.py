@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline.session import size_shuffles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,7 +25,9 @@ def query(name: str, sql: str):
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    path = f"{sf_dir}/{table}.parquet"
+    size_shuffles(spark, path)
+    return spark.read.parquet(path)
 
 
 def source(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:

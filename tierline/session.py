@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 
 from tierline import files
 
-#: Target bytes per shuffle partition before adaptive execution coalesces them.
+#: Target bytes per shuffle partition, and the most partitions one shuffle should have.
 SHUFFLE_PARTITION_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def build_session(app_name: str = "tierline", master: str | None = None,
@@ -31,7 +32,7 @@ def build_session(app_name: str = "tierline", master: str | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         # A task that writes few partitions need not sort its rows first.
-        "spark.sql.maxConcurrentOutputFileWriters": "8",
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
         "spark.scheduler.mode": "FAIR",
     }
     for key, value in {**pinned, **settings}.items():
@@ -42,14 +43,15 @@ def build_session(app_name: str = "tierline", master: str | None = None,
 def size_shuffles(spark: SparkSession, *paths: str) -> int:
     """Raise the shuffle partition count to suit the bytes below ``paths``.
 
-    Only ever raises it. Parquet is about three times smaller than the rows
-    that are shuffled, hence the factor.
+    Only ever raises it; adaptive execution joins partitions that stay small.
+    Parquet is about three times smaller than the rows that are shuffled.
     """
     stored = sum(files.bytes_below(spark, p) for p in paths)
-    wanted = math.ceil(3 * stored / SHUFFLE_PARTITION_BYTES)
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
-    spark.conf.set("spark.sql.shuffle.partitions", str(count))
-    return count
+    wanted = min(math.ceil(3 * stored / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > present:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, present)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -198,20 +198,23 @@ class SnapshotTable:
         return {str(r[0]) for r in rows}
 
     def expire(self, keep: int = 2) -> None:
-        """Remove manifests but the last ``keep``, and folders only those used."""
-        kept = self.versions()[-keep:]
+        """Remove all manifests but the last ``keep``, and folders none of those uses."""
+        versions = self.versions()
+        kept = versions[-keep:]
         used = {folder for v in kept for folder in self._folders(self.manifest(v)["slices"])}
-        for version in self.versions():
-            if version not in kept:
-                files.delete(self.spark, f"{self.root}/_manifests/{version:012d}.json")
+        for version in versions[:-keep]:
+            files.delete(self.spark, f"{self.root}/_manifests/{version:012d}.json")
         for path, _ in files.children(self.spark, f"{self.root}/data"):
-            version = path.rsplit("=", 1)[-1]
-            if not version.isdigit() or int(version) > kept[-1]:
-                continue
-            for folder, _ in files.children(self.spark, path):
-                name = f"{self.root}/data/{VERSION}={version}/{folder.rsplit('/', 1)[-1]}"
-                if folder.rsplit("/", 1)[-1].startswith(f"{SLICE}=") and name not in used:
-                    files.delete(self.spark, folder)
+            name = path.rsplit("/", 1)[-1]
+            if int(name.split("=")[1]) > kept[-1]:
+                continue  # a write in progress, or one that broke off
+            slices = [p.rsplit("/", 1)[-1] for p, folder in files.children(self.spark, path) if folder]
+            unused = [s for s in slices if f"{self.root}/data/{name}/{s}" not in used]
+            if len(unused) == len(slices):
+                files.delete(self.spark, path)
+            else:
+                for s in unused:
+                    files.delete(self.spark, f"{path}/{s}")
 
     # -- catalog -----------------------------------------------------------
 
