@@ -120,12 +120,14 @@ def test_one_failing_table_leaves_the_others(spark, tmp_path, rows):
     assert rows(SnapshotTable(spark, f"{tmp_path}/s/good").read(), "dwid", "t") == [(1, "a")]
 
 
-def test_quality_can_be_skipped(spark, tmp_path):
+def test_quality_can_be_skipped(spark, tmp_path, caplog):
     mapping = dairy.MAPPING["farmers_data"]
     write_bronze(spark.createDataFrame([farmer(1, gender="X")]), f"{tmp_path}/b", 1, "farmers_data")
     paths = [f"{tmp_path}/{n}" for n in "bsf"]
+    caplog.set_level("INFO", logger="tierline")
     checked = jobs.load_silver_table(spark, mapping, *paths, 1, FULL_LOAD, AS_OF)
     assert checked.read().count() == 0
+    assert 'farmers_data: ColumnValues "gender" in ["F","M"] Failed, 1 of 1 rows failed' in caplog.messages
     assert jobs.load_silver_table(spark, mapping, *paths, 1, FULL_LOAD, AS_OF,
                                   check_quality=False).read().count() == 1
 

@@ -103,6 +103,11 @@ def test_fact_window(spark, kind, backfill, days):
     assert sorted(r.d for r in got.collect()) == days
 
 
+def test_window_over_text_with_times(spark):
+    df = spark.sql("SELECT * FROM VALUES ('2023-01-02T23:00'), ('2023-01-03 10:00'), ('2023-01-04') AS t(date)")
+    assert [r.date for r in landing.fact_window(df, "2023-01-03").collect()] == ["2023-01-03 10:00"]
+
+
 def test_backfill_needs_a_start(spark):
     with pytest.raises(ValueError):
         landing.fact_window(spark.sql("SELECT '2023-01-01' AS date"), "2023-01-01", None, "1")

@@ -70,6 +70,11 @@ def test_null_keys_have_a_slice(spark, tmp_path):
     assert target.manifest()["slices"] == {str(NULL_SLICE): [1], "1": [1]}
 
 
+def test_new_rows_without_a_key_are_counted(spark, tmp_path, caplog):
+    make(spark, tmp_path, [(1, "a")]).upsert(spark.createDataFrame([(None, "n"), (None, "m")], SCHEMA))
+    assert "2 rows without a key" in caplog.text
+
+
 def test_epoch_slices(spark):
     df = spark.sql(f"""SELECT {epoch_slices(30)} AS s FROM VALUES
         ('16725312007'), ('1672617600R9'), ('1704067200R9'), ('x'), (NULL) AS t(dwid)""")

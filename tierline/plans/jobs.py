@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -22,6 +23,8 @@ from tierline.sources import bronze as bronze_layer
 from tierline.sources import landing as landing_layer
 from tierline.sources.snapshots import ONE_SLICE, SnapshotTable
 
+logger = logging.getLogger(__name__)
+
 
 def _details(error: Exception) -> str:
     return str(error.args[0]) if error.args else str(error) or "Unknown error"
@@ -86,6 +89,12 @@ def silver_rows(df: DataFrame, mapping: TableMapping, run_id: int | str,
     return quality.evaluate(shaped, mapping.dq_rules)
 
 
+def _log_outcomes(mapping: TableMapping, evaluated: DataFrame) -> None:
+    logger.info("%s: %s", mapping.name, quality.ruleset_text(mapping.dq_rules))
+    for row in quality.rule_outcomes(evaluated, mapping.dq_rules).collect():
+        logger.info("%s: %s %s, %d of %d rows failed", mapping.name, *row)
+
+
 def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, silver: str,
                       rejected: str, run_id: int | str, load_type: str = INCREMENTAL_LOAD,
                       as_of: datetime | str | None = None, slice_by: str = ONE_SLICE,
@@ -116,6 +125,7 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
             evaluated = silver_rows(source, mapping, run_id, as_of, custom)
             evaluated.write.partitionBy(quality.RESULT).parquet(staging)
             staged = spark.read.schema(evaluated.schema).parquet(staging)
+            _log_outcomes(mapping, staged)
             bronze_layer.write_rejected(quality.failed_rows(staged), rejected,
                                         mapping.name, run_id)
             load(quality.passed_rows(staged), staging)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -11,7 +12,7 @@ from tierline import files
 from tierline.operators.clean import column_types, quoted
 from tierline.session import scratch_path
 
-log = logging.getLogger(__name__)
+logger = logging.getLogger(__name__)
 
 
 def table_name(path: str) -> str:
@@ -50,7 +51,7 @@ def discover(spark: SparkSession, landing: str) -> dict[str, str]:
         if not name:
             raise ValueError(f"No table name in {path}")
         if name in found:
-            log.warning("%s replaces %s for table %s", path, found[name], name)
+            logger.warning("%s replaces %s for table %s", path, found[name], name)
         found[name] = path
     return found
 
@@ -132,8 +133,9 @@ def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
                 backfill: str = "0", column: str = "date") -> DataFrame:
     """Rows from ``start_date`` to ``input_date``, both included.
 
-    Without backfill only ``input_date`` itself. The comparison keeps the
-    column bare so that it reaches the file scan.
+    Without backfill only ``input_date`` itself. Text may go on with a time
+    after the day. The column is compared as it is, so that the filter
+    reaches the file scan.
     """
     if backfill == "0":
         start_date = input_date
@@ -141,10 +143,9 @@ def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
         raise ValueError("A backfill needs a start date.")
     value = quoted(column)
     dtype = column_types(df, [value])[0].typeName()
-    if dtype.startswith("timestamp"):
-        last = F.date_add(F.lit(input_date).cast("date"), 1).cast(dtype)
-        return df.filter((value >= F.lit(start_date).cast(dtype)) & (value < last))
-    if dtype == "date":
-        return df.filter(value.between(F.lit(start_date).cast("date"),
-                                       F.lit(input_date).cast("date")))
-    return df.filter(value.between(F.lit(start_date), F.lit(input_date)))
+    after = str(date.fromisoformat(input_date) + timedelta(days=1))
+    if dtype == "date" or dtype.startswith("timestamp"):
+        start, end = (F.lit(text).cast(dtype) for text in (start_date, after))
+    else:
+        start, end = F.lit(start_date), F.lit(after)
+    return df.filter((value >= start) & (value < end))

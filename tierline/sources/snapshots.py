@@ -19,6 +19,7 @@ Where the catalog has a format with row-level operations, use
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
@@ -28,6 +29,8 @@ from tierline.mapping import KEY
 from tierline.operators import upsert
 from tierline.session import scratch_path
 
+logger = logging.getLogger(__name__)
+
 SLICE, VERSION = "slice_no", "version_no"
 NULL_SLICE = -1
 #: Limits of the manifest: slices per table, and folders of one slice before it is rewritten.
@@ -168,6 +171,9 @@ class SnapshotTable:
         if not touched:
             return manifest["version"]
 
+        without_key = batch.filter(F.col(key).isNull()).count()
+        if without_key:
+            logger.warning("%s: %d rows without a key are added as new", self.root, without_key)
         small = files.bytes_below(self.spark, stored_at) <= BROADCAST_BYTES
         (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small)
          .write.parquet(f"{staging}/matched"))
