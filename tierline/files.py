@@ -25,8 +25,10 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def delete_on_exit(spark: SparkSession, path: str) -> None:
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that is removed, with its contents, when the JVM ends."""
     fs, target = _handle(spark, path)
+    fs.mkdirs(target)
     fs.deleteOnExit(target)
 
 

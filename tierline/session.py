@@ -64,12 +64,15 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
     own = tempfile.mkdtemp(prefix="tierline-")
     spark.sparkContext.setCheckpointDir(own)
-    files.delete_on_exit(spark, own)
+    files.make_until_exit(spark, own)
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder, removed when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/tierline/{purpose}-{uuid.uuid4().hex}"
-    files.delete_on_exit(spark, path)
-    return path
+    """A fresh path below the application's own folder in the shared one.
+
+    That folder is removed when the application ends.
+    """
+    own = f"{shared_dir(spark)}/tierline/{spark.sparkContext.applicationId}"
+    files.make_until_exit(spark, own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
