@@ -89,10 +89,17 @@ def test_conflict_changes_nothing(spark, tmp_path, rows):
     assert target.versions() == [1] and rows(target.read()) == [(1, "a")]
 
 
-def test_leftovers_of_a_broken_write_are_replaced(spark, tmp_path, rows):
-    target = make(spark, tmp_path, [(1, "a")])
-    spark.createDataFrame([(8, "junk")], SCHEMA).write.parquet(f"{tmp_path}/t/data/version_no=2/slice_no=0")
-    target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("slice_by, leftover", [(ONE_SLICE, 0), ("dwid % 4", 3)])
+def test_leftovers_of_a_broken_write_are_replaced(spark, tmp_path, rows, slice_by, leftover, mode):
+    target = make(spark, tmp_path, [(1, "a")], slice_by)
+    junk = f"{tmp_path}/t/data/version_no=2/slice_no={leftover}"
+    spark.createDataFrame([(8, "junk")], SCHEMA).write.parquet(junk)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert rows(target.read()) == [(1, "a"), (2, "b")]
 
 

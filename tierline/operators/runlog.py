@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierline.sources.snapshots import SnapshotTable
+from tierline.sources.snapshots import ONE_SLICE, SnapshotTable
 
 # Event envelope, producers and message texts.
 EVENT_SOURCE = "pf-resources"
@@ -106,9 +106,9 @@ def run_summary(log: DataFrame) -> DataFrame:
 class RunLog:
     """The keyed run log as a table; the last event per key wins."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, slice_by: str = ONE_SLICE):
         self.spark = spark
-        self.table = SnapshotTable(spark, root, key=LOG_KEY)
+        self.table = SnapshotTable(spark, root, key=LOG_KEY, slice_by=slice_by)
 
     def apply(self, events: DataFrame, *order: str) -> None:
         """Upsert a batch of events; applying the same batch again changes nothing."""

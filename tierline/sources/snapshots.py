@@ -122,8 +122,9 @@ class SnapshotTable:
             sliced.drop(SLICE).write.mode("overwrite").parquet(f"{folder}/{SLICE}=0")
         else:
             # Gathers each slice into few files and splits slices that are too big.
+            # Static mode, whatever the session's: leftovers of a broken write must go.
             (sliced.hint("rebalance", SLICE).write.mode("overwrite")
-             .partitionBy(SLICE).parquet(folder))
+             .option("partitionOverwriteMode", "static").partitionBy(SLICE).parquet(folder))
 
     def _written_slices(self, version: int) -> list[str]:
         names = (p.rsplit("/", 1)[-1] for p, folder in
@@ -231,7 +232,7 @@ class SnapshotTable:
         later queries at once, and it shows the table's own columns only.
         """
         place = f" LOCATION '{location}'" if location else ""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
         manifest = self.manifest()
         columns = ", ".join(f"`{f['name']}`" for f in manifest["schema"]["fields"])
         folders: dict[int, list[str]] = {}
@@ -247,7 +248,8 @@ class SnapshotTable:
             nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
                               for f in fields)
             source = f"(SELECT {nulls}) WHERE false"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {source}")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT {columns} FROM {source}")
         return f"{database}.{name}"
 
 
