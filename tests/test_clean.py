@@ -11,7 +11,7 @@ from tierline.operators.clean import clean, fill_defaults
 ABC = table("t", integer("a"), string("b"), string("c"))
 
 
-def reference_chain(df, mapping):
+def literal_chain(df, mapping):
     """The defined order, literally: distinct, then fill, once per column."""
     for rule in mapping.source_rules:
         df = fill_defaults(df.dropDuplicates(), [rule])
@@ -30,7 +30,7 @@ def test_clean_chain_keeps_rows_made_equal_by_the_last_fill(spark, rows):
                           st.sampled_from([None, "_", "y"]), st.sampled_from([None, 5])), max_size=12))
 def test_one_distinct_equals_the_chain(spark, rows, data):
     df = spark.createDataFrame(data, "a bigint, b string, c string, unmapped int")
-    assert rows(clean(df, ABC)) == rows(reference_chain(df, ABC))
+    assert rows(clean(df, ABC)) == rows(literal_chain(df, ABC))
 
 
 def test_unmapped_columns_count_as_part_of_the_row(spark, rows):

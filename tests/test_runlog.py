@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,19 @@ def test_stream(spark, tmp_path, rows):
     assert run() == EXPECTED
     drop("2.json", [envelope(7, runlog.TO_SILVER, "success", "2024-01-02 00:00:00")])
     assert run() == [("7_bronze-2-silver", "7", "success"), EXPECTED[1]]
+
+
+def test_stream_applies_files_in_the_order_they_arrive(spark, tmp_path, rows):
+    """One file per batch; the last to arrive wins whatever its place by name."""
+    folder = tmp_path / "events"
+    folder.mkdir()
+    for age, (name, status) in enumerate((("z.json", "failed"), ("m.json", "partial"), ("a.json", "success"))):
+        source, kind, detail, _ = envelope(3, runlog.INGEST, status, "")
+        path = folder / name
+        path.write_text(json.dumps({"Source": source, "DetailType": kind, "Detail": detail}))
+        os.utime(path, (1_700_000_000 + age, 1_700_000_000 + age))
+    stream = start_run_log(spark, str(folder), f"{tmp_path}/log", f"{tmp_path}/checkpoint", max_files=1)
+    stream.awaitTermination()
+    log = runlog.RunLog(spark, f"{tmp_path}/log")
+    assert len(log.table.versions()) == 2 and log.table.versions()[-1] == 3
+    assert log.lookup(3, runlog.INGEST)["status"] == "success"

@@ -59,5 +59,6 @@ DIMENSION_TABLES = tuple(t.name for t in DIMENSIONS)
 FACT_TABLES = tuple(t.name for t in FACTS)
 MAPPING = {t.name: t for t in sorted(DIMENSIONS + FACTS, key=lambda t: t.name)}
 #: Facts are loaded by day, so they are stored by date; dimensions arrive whole.
-SLICES = {name: epoch_slices(days=30) for name in FACT_TABLES}
+SLICES = {name: epoch_slices(days=7) for name in FACT_TABLES}
+# Catalog databases.
 SILVER_DATABASE, GOLD_DATABASE = "pf_silver_db", "pf_gold_db"
