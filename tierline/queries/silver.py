@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 
 from tierline.mapping import (TableMapping, dated_key, day, decimal2, integer, read_mapping,
                               string, table)
 from tierline.operators import quality
 from tierline.plans.dairy import MAPPING
 from tierline.plans.jobs import load_silver_table, silver_rows
-from tierline.plans.parameters import FULL_LOAD
+from tierline.plans.parameters import FULL_LOAD, INCREMENTAL_LOAD
 from tierline.queries.registry import AS_OF, RUN_ID, given, query, source
 from tierline.session import scratch_path
 from tierline.sources.bronze import write_bronze
-from tierline.sources.snapshots import hash_slices
+from tierline.sources.snapshots import epoch_slices, hash_slices
 
 _ORDERS = table(
     "orders", dated_key("o_orderkey"), integer("o_orderkey"),
@@ -57,6 +59,34 @@ def silver_orders_stored(spark, sf_dir):
                              RUN_ID, FULL_LOAD, AS_OF, hash_slices(8)).read()
 
 
+_SHIFTED = "CASE o_orderstatus WHEN 'O' THEN 'P' WHEN 'P' THEN 'F' ELSE 'O' END"
+
+
+def _run_sql(run: int, status: str, window: str) -> str:
+    """Passing rows of one run over the orders of a date window."""
+    return (_SILVER_ORDERS.replace(f"'{RUN_ID}' AS etl_run_id", f"'{run}' AS etl_run_id")
+            .replace("REPLACE (", f"REPLACE ({status} AS o_orderstatus, ")
+            .replace("FROM orders)", f"FROM orders WHERE {window})"))
+
+
+@query("silver_orders_incremental", f"""
+    WITH base AS ({_run_sql(1, "o_orderstatus", "o_orderdate < DATE '2000-01-01'")}),
+    batch AS ({_run_sql(2, _SHIFTED, "o_orderdate >= DATE '1999-07-01'")})
+    SELECT * FROM base WHERE dwid NOT IN (SELECT dwid FROM batch) UNION ALL SELECT * FROM batch""")
+def silver_orders_incremental(spark, sf_dir):
+    """A full load, then an incremental one; rows the rules reject update nothing."""
+    base = scratch_path(spark, "silver")
+    runs = ((1, FULL_LOAD, "date < '2000-01-01'", "o_orderstatus"),
+            (2, INCREMENTAL_LOAD, "date >= '1999-07-01'", _SHIFTED))
+    for run, load_type, window, status in runs:
+        rows = bronze_orders(spark, sf_dir).filter(window)
+        write_bronze(rows.withColumn("o_orderstatus", F.expr(status)), f"{base}/bronze", run, "orders")
+        stored = load_silver_table(
+            spark, _ORDERS, f"{base}/bronze", f"{base}/silver", f"{base}/rejected", run, load_type,
+            AS_OF, epoch_slices(days=365, digits=9))
+    return stored.read()
+
+
 @query("mapping_from_csv", f"""
     SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size,
            round(CAST(p_retailprice AS FLOAT), 2) AS p_retailprice,
