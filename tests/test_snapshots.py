@@ -76,10 +76,12 @@ def test_new_rows_without_a_key_are_counted(spark, tmp_path, caplog):
 
 
 def test_epoch_slices(spark):
-    df = spark.sql(f"""SELECT {epoch_slices(30)} AS s FROM VALUES
-        ('16725312007'), ('1672617600R9'), ('1704067200R9'), ('x'), (NULL) AS t(dwid)""")
-    first, near, later, bad, null = [r[0] for r in df.collect()]
-    assert first == near and later != first and bad is None and null is None
+    df = spark.sql(f"""SELECT {epoch_slices(7)} AS s FROM VALUES
+        ('16725312007'), ('1672617600R9'), ('1704067200R9'), ('790646400R785'), ('79064640012'),
+        ('x'), (NULL) AS t(dwid)""")
+    first, near, later, early, early_too, bad, null = [r[0] for r in df.collect()]
+    assert first == near and later - first == 52 and early == early_too
+    assert bad is None and null is None
 
 
 def test_conflict_changes_nothing(spark, tmp_path, rows):

@@ -17,8 +17,7 @@ from tierline.sources.snapshots import SnapshotTable, epoch_slices, hash_slices
 
 _ORDERS = table("orders", dated_key("o_orderkey"), day("date"), integer("o_orderkey"),
                 string("o_orderstatus"), string("o_orderpriority"))
-# The orders end before September 2001, so their epoch seconds have nine digits.
-_SLICES = epoch_slices(days=365, digits=9)
+_SLICES = epoch_slices(days=36500)
 _EARLIER, _LATER = "2024-05-01 06:00:00", "2024-05-02 06:00:00"
 
 

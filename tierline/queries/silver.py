@@ -83,7 +83,7 @@ def silver_orders_incremental(spark, sf_dir):
         write_bronze(rows.withColumn("o_orderstatus", F.expr(status)), f"{base}/bronze", run, "orders")
         stored = load_silver_table(
             spark, _ORDERS, f"{base}/bronze", f"{base}/silver", f"{base}/rejected", run, load_type,
-            AS_OF, epoch_slices(days=365, digits=9))
+            AS_OF, epoch_slices(days=36500))
     return stored.read()
 
 

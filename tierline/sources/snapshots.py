@@ -45,15 +45,15 @@ def hash_slices(count: int, key: str = KEY) -> str:
     return f"pmod(xxhash64({key}), {min(count, MAX_SLICES)})"
 
 
-def epoch_slices(days: int = 30, key: str = KEY, digits: int = 10) -> str:
+def epoch_slices(days: int = 30, key: str = KEY) -> str:
     """Slice expression for facts whose key begins with epoch seconds of a date.
 
-    Rows of nearby dates share a slice, so a daily load touches one or two.
-    Ten digits hold for dates since September 2001; keys of other length are
-    sliced just as well, only by less of a date.
+    Rows of nearby dates share a slice, so a daily load touches one or two. The
+    first nine digits are used: tens of seconds since September 2001. Earlier
+    dates have nine digits in all and get slices a tenth as long.
     """
-    epoch = f"try_cast(substring(cast({key} AS string), 1, {digits}) AS bigint)"
-    return f"pmod(floor({epoch} / {86400 * days}), {MAX_SLICES})"
+    prefix = f"try_cast(substring(cast({key} AS string), 1, 9) AS bigint)"
+    return f"pmod(floor({prefix} / {8640 * days}), {MAX_SLICES})"
 
 
 ONE_SLICE = "0"
