@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
+
+import pytest
 
 from tierline.operators import quality
-from tierline.operators.upsert import matched_keys, updated_rows
+from tierline.operators.upsert import matched_keys, new_rows, updated_rows
 from tierline.plans.dairy import MAPPING
 from tierline.plans.jobs import silver_rows
 from tierline.queries import QUERIES
@@ -73,38 +76,62 @@ def test_large_batch_splits_by_key_with_the_table_on_the_left(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_a_hot_key_of_the_table_is_split(spark):
-    """A third of the rows share one key; adaptive execution splits that join task."""
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
-                "spark.sql.shuffle.partitions": "16"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
+@contextmanager
+def tiny_partitions(spark):
+    """Adaptive execution as if the test's partitions were large ones."""
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+              "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
         spark.conf.set(k, v)
     try:
-        table = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) AS dwid", "string(id) AS a")
-        batch = spark.range(-1, 1000).selectExpr("id AS dwid", "'new' AS a")
-        updated = updated_rows(table, batch)
-        assert sum(r.a == "new" for r in updated.collect()) == 20000 + 666
-        assert "skew=true" in updated._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_of_the_table_is_split(spark):
+    """A third of the rows share one key; adaptive execution splits that join task."""
+    table = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, -1, id) AS dwid", "string(id) AS a")
+    batch = spark.range(-1, 1000).selectExpr("id AS dwid", "'new' AS a")
+    with tiny_partitions(spark):
+        updated = updated_rows(table, batch)
+        assert sum(r.a == "new" for r in updated.collect()) == 20000 + 666
+        assert "skew=true" in executed(updated)
+
+
+@pytest.mark.parametrize("hot", ["-1L", "CAST(NULL AS bigint)"])
+def test_a_hot_new_key_of_the_batch_is_split(spark, hot):
+    """The same for a key, or none, in a third of the new rows."""
+    batch = spark.range(0, 60000, 1, 8).selectExpr(f"if(id % 3 = 0, {hot}, id) AS dwid", "string(id) AS a")
+    with tiny_partitions(spark):
+        new = new_rows(batch, spark.range(1, 1000).withColumnRenamed("id", "dwid"))
+        assert len(new.collect()) == 60000 - 666
+        assert "skew=true" in executed(new)
+
+
+def test_hot_keys_are_folded_before_the_shuffle(spark):
+    """However many rows carry a key, each task sends it on once."""
+    table = spark.range(0, 60000, 1, 8).selectExpr("if(id % 3 = 0, -1, id % 7) AS dwid")
+    with tiny_partitions(spark):
+        keys = matched_keys(table, table)
+        assert sorted(r.dwid for r in keys.collect()) == [-1, 0, 1, 2, 3, 4, 5, 6]
+        first = plan(keys).split("Exchange")[0]
+        assert "HashAggregate" in first
+
+
 def test_a_hot_slice_is_split_when_written(spark, tmp_path):
     """Half of the keys fall into one slice; it is written by several tasks."""
-    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "40000", "spark.sql.shuffle.partitions": "16"}
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
+    with tiny_partitions(spark):
         target = SnapshotTable(spark, f"{tmp_path}/t", slice_by="if(dwid % 2 = 0, 0, dwid % 7)")
         target.full_load(spark.range(0, 80000, 1, 8).selectExpr("id AS dwid", "uuid() AS a"))
-        files = {s: len(list(tmp_path.glob(f"t/data/*/slice_no={s}/*.parquet"))) for s in (0, 3)}
-        assert files[0] > 4 and files[3] <= files[0]
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    files = {s: len(list(tmp_path.glob(f"t/data/*/slice_no={s}/*.parquet"))) for s in (0, 3)}
+    assert files[0] > 4 and files[3] <= files[0]

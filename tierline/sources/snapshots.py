@@ -168,18 +168,17 @@ class SnapshotTable:
 
     def _upsert_stored(self, batch, stored_at, unique_keys, manifest, schema, staging) -> int:
         key, slice_by = self.key, manifest["slice_by"]
-        touched = self._slice_numbers(batch)
+        counted = self._slice_numbers(batch)
+        touched, without_key = set(counted), sum(counted.values())
         if not touched:
             return manifest["version"]
-
-        without_key = batch.filter(F.col(key).isNull()).count()
         if without_key:
             logger.warning("%s: %d rows without a key are added as new", self.root, without_key)
         small = files.bytes_below(self.spark, stored_at) <= BROADCAST_BYTES
         (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small)
          .write.parquet(f"{staging}/matched"))
         matched = self.spark.read.parquet(f"{staging}/matched")
-        matching = self._slice_numbers(matched)
+        matching = set(self._slice_numbers(matched))
         if matching and not unique_keys:
             upsert.check_conflicts(batch, matched, key)
 
@@ -198,11 +197,13 @@ class SnapshotTable:
             slices[s] = [version] if s in rewritten else slices.get(s, []) + [version]
         return self._publish(version, schema, slice_by, slices)
 
-    def _slice_numbers(self, sliced: DataFrame) -> set[str]:
-        rows = sliced.select(SLICE).distinct().take(MAX_SLICES + 2)
+    def _slice_numbers(self, sliced: DataFrame) -> dict[str, int]:
+        """The slices that occur, each with its number of rows without a key."""
+        without_key = F.count_if(F.col(self.key).isNull())
+        rows = sliced.groupBy(SLICE).agg(without_key).take(MAX_SLICES + 2)
         if len(rows) > MAX_SLICES + 1:
             raise ValueError(f"{self.root}: more than {MAX_SLICES} slices; widen slice_by")
-        return {str(r[0]) for r in rows}
+        return {str(number): count for number, count in rows}
 
     def expire(self, keep: int = 2) -> None:
         """Remove all manifests but the last ``keep``, and folders none of those uses."""
