@@ -112,14 +112,19 @@ def full_load(spark, sf_dir):
 def catalog_sql(spark, sf_dir):
     """Ad-hoc SQL over registered tables."""
     base = scratch_path(spark, "catalog")
+    database = "tierline_" + base[-8:]
     for name, key, slices in (("customer", "c_custkey", 4), ("nation", "n_nationkey", 1)):
         target = SnapshotTable(spark, f"{base}/{name}", key=key, slice_by=hash_slices(slices, key))
         target.full_load(given(spark, sf_dir, name))
-        target.register("tierline_silver", name, f"{base}/database")
-    return spark.sql("""
-        SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
-        FROM tierline_silver.customer JOIN tierline_silver.nation ON c_nationkey = n_nationkey
+        target.register(database, name, f"{base}/database")
+    result = spark.sql(f"""
+        SELECT n_name, count(*) AS customers,
+               CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+        FROM {database}.customer JOIN {database}.nation ON c_nationkey = n_nationkey
         GROUP BY n_name""")
+    # The query is resolved by now; leave no entries in a catalog others may share.
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result
 
 
 @query("dim_date", """
