@@ -49,7 +49,7 @@ _MERGED_SQL = f"""
     batch AS (SELECT dwid, date, o_orderkey, o_orderstatus || '+' AS o_orderstatus, o_orderpriority,
                      '{_LATER}' AS last_updated, '2' AS etl_run_id
               FROM keyed WHERE date >= DATE '1999-07-01')
-    SELECT * FROM base WHERE dwid IS NULL OR dwid NOT IN (SELECT dwid FROM batch WHERE dwid IS NOT NULL)
+    SELECT * FROM base WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch.dwid = base.dwid)
     UNION ALL SELECT * FROM batch"""
 
 

@@ -72,7 +72,8 @@ def _run_sql(run: int, status: str, window: str) -> str:
 @query("silver_orders_incremental", f"""
     WITH base AS ({_run_sql(1, "o_orderstatus", "o_orderdate < DATE '2000-01-01'")}),
     batch AS ({_run_sql(2, _SHIFTED, "o_orderdate >= DATE '1999-07-01'")})
-    SELECT * FROM base WHERE dwid NOT IN (SELECT dwid FROM batch) UNION ALL SELECT * FROM batch""")
+    SELECT * FROM base WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch.dwid = base.dwid)
+    UNION ALL SELECT * FROM batch""")
 def silver_orders_incremental(spark, sf_dir):
     """A full load, then an incremental one; rows the rules reject update nothing."""
     base = scratch_path(spark, "silver")
