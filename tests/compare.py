@@ -49,10 +49,10 @@ def differences(df, connection, sql: str) -> list[str]:
         return [f"columns {names} against {sorted(columns)}"]
     order = [columns.index(n) for n in names]
     theirs = sorted(tuple(_cell(r[i]) for i in order) for r in rows)
+    kinds = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
     for name, dtype in df.dtypes:
-        described = connection.execute(f"SELECT typeof(\"{name}\") FROM ({sql}) LIMIT 1").fetchone()
-        if described and dtype in _KINDS and described[0] != _KINDS[dtype]:
-            problems.append(f"type of {name}: {dtype} against {described[0]}")
+        if dtype in _KINDS and kinds[name] != _KINDS[dtype]:
+            problems.append(f"type of {name}: {dtype} against {kinds[name]}")
     if len(ours) != len(theirs):
         problems.append(f"{len(ours)} rows against {len(theirs)}")
     if ours != theirs:
