@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import exact_dedup, packing, pii, secret_scan, simhash
+from tierline.llm import bpe, exact_dedup, packing, pii, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_packing")
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                     public_tokenizers.PATTERN, digests=True)
+    return ids.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
