@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import bpe, exact_dedup, packing, pii, secret_scan, simhash
+from tierline.llm import bpe, exact_dedup, packing, pii, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,9 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                      public_tokenizers.PATTERN, digests=True)
     return ids.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
