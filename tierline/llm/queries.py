@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierline.llm import bpe, exact_dedup, licenses, packing, pii, secret_scan, simhash, topk, toxicity
+from tierline.llm import bpe, exact_dedup, licenses, packing, pii, secret_scan, simhash, substrings, topk, toxicity
 from tierline.llm.common import SPACES, whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,13 +97,16 @@ files AS (
          source || '/' || lang AS dir FROM documents),
 flagged AS (
   SELECT *, regexp_matches(body, '""" + licenses.MENTIONS + r"""') AND
-         len([w FOR w IN regexp_split_to_array(body, '[ 	-]+') IF w <> '']) <= 40 AS is_license FROM files),
+         len([w FOR w IN regexp_split_to_array(body, '[ 	-
+]+') IF w <> '']) <= 40 AS is_license FROM files),
 lines AS (
   SELECT doc_id, path, dir, is_license, -1 AS line, trim(body) AS notice FROM flagged WHERE is_license
   UNION ALL
   SELECT doc_id, path, dir, is_license, unnest(range(len(ls))) AS line, trim(unnest(ls)) AS notice
-  FROM (SELECT *, regexp_split_to_array(body, '?
-|') AS ls FROM flagged
+  FROM (SELECT *, regexp_split_to_array(body, '
+?
+|
+') AS ls FROM flagged
         WHERE regexp_matches(body, '""" + licenses.MENTIONS + r"""'))),
 found AS (SELECT * FROM lines WHERE line = -1 OR regexp_matches(notice, '""" + licenses.MENTIONS + r"""')),
 notices AS (SELECT notice, count(*) AS n FROM found GROUP BY notice),
@@ -149,3 +152,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", path,
                          F.rlike(text, F.lit(licenses.MENTIONS)) & short)
+
+
+@query("op8_repeated_substrings")
+def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substrings.remove_repeats(table(spark, sf_dir, "documents"), digests=True)
+            .withColumnRenamed("kept", "kept_sha256"))
