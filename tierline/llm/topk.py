@@ -93,7 +93,7 @@ class CoverTree:
             near = distances <= reach
             parts.append(left[near])
             left = left[~near]
-            if len(parts) > max(2, len(rows) // 8):
+            if len(parts) > max(2, len(rows) // 3):
                 return None
             if len(left):
                 distances = np.sqrt(((rows[left] - rows[left[0]]) ** 2).sum(axis=1))
@@ -131,7 +131,7 @@ class Search:
             return
         if not a[4] and not b[4]:
             self._leaves(group, self.d.order[b[0]:b[1]])
-        elif b[4] and (not a[4] or b[3] >= a[3]):
+        elif b[4] and (not a[4] or b[3] > 2 * a[3]):  # tight query groups first: their worst score is higher
             for _, child in sorted(((-self._bound(a, self.d.nodes[c]), c) for c in b[4])):
                 self._visit(i, child)
         else:
