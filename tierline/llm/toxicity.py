@@ -27,7 +27,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,6 +39,8 @@ PREFIXES = range(4, 8)
 #: and is strong from these log-odds on.
 SUPPORT, SHARE, PRECISION, STRONG_ODDS = 5, 0.01, 0.9, 5.0
 HELD_OUT_OF = 5
+#: Words whose symbols a worker remembers, and terms it counts before it passes them on.
+REMEMBERED, COUNTED_TERMS = 150_000, 200_000
 
 OTHER, STRONG, WEAK, THREAT, TARGET, NEGATOR, REPORT, QUOTE, END, NEGATED, REPORTED, AIMED, AIMED_THREAT = range(13)
 _MARKED = (STRONG, WEAK, THREAT)
@@ -56,6 +57,7 @@ REPORTING = """said says say called wrote claimed quoted reported alleged sagte
 dijo llamó escribió dit appelé écrit affirmé""".split()
 
 _TOKENS = re.compile("[^\\W\\d_]+|[.!?;:,\n\"“”«»]")
+_WORDS = re.compile(r"[^\W\d_]+")
 _CLAUSES = re.compile(b"[^\x08]*[\x01-\x03][^\x08]*")
 
 
@@ -154,7 +156,7 @@ class Symbols(dict):
         if symbol is None:
             found = [model.prefixes[word[:n]] for n in PREFIXES if len(word) >= n and word[:n] in model.prefixes]
             symbol = min(found) if found else self._fixed.get(word, OTHER)
-        if len(self) >= 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[word] = symbol
         return symbol
@@ -210,6 +212,32 @@ def _training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame
         F.first("text").alias("text"), F.max("toxic").alias("toxic")).drop("text_key"), "labelled")
 
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic texts, and in how many texts, each word and word beginning occurs.
+
+    Counts are passed on whenever ``COUNTED_TERMS`` are held; the caller adds them up.
+    """
+    counts: dict[tuple[int, str], list[int]] = {}
+
+    def batch():
+        columns = list(zip(*((cut, term, bad, whole) for (cut, term), (bad, whole) in counts.items()))) or [()] * 4
+        kinds = pa.int32(), pa.string(), pa.int64(), pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["cut", "term", "bad", "all"])
+
+    for rows in batches:
+        for toxic, text in zip(rows.column(0).to_pylist(), rows.column(1)):
+            words = set(_WORDS.findall(text.as_py().lower()))
+            terms = {(0, w) for w in words} | {(n, w[:n]) for w in words for n in PREFIXES if len(w) >= n}
+            for term in terms:
+                count = counts.setdefault(term, [0, 0])
+                count[0] += toxic
+                count[1] += 1
+            if len(counts) >= COUNTED_TERMS:
+                yield batch()
+                counts.clear()
+    yield batch()
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
     """A model from labels (doc_id, toxic) of at most ``sample`` rows that are not held out."""
     rows = _training_rows(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), sample)
@@ -218,14 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int =
     model = Model()
     if min(toxic, clean) < SUPPORT:
         return model
-    words = rows.select(F.monotonically_increasing_id().alias("row"), "toxic",
-                        F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
-    cuts = F.array(F.struct(F.lit(0).alias("cut"), F.col("word").alias("term")),
-                   *(F.when(F.length("word") >= n, F.struct(F.lit(n).alias("cut"), F.left("word", F.lit(n)).alias("term")))
-                     for n in PREFIXES))
-    counted = (words.filter("word <> ''").select("row", "toxic", F.explode(cuts).alias("t")).filter("t IS NOT NULL")
-               .select("row", "toxic", "t.cut", "t.term").distinct()
-               .groupBy("cut", "term").agg(F.sum("toxic").alias("bad"), F.count("*").alias("all")))
+    counted = (rows.select("toxic", "text").mapInArrow(_terms, "cut int, term string, bad long, all long")
+               .groupBy("cut", "term").agg(F.sum("bad").alias("bad"), F.sum("all").alias("all")))
     odds = F.log(((F.col("bad") + 0.5) / (toxic + 1)) / ((F.col("all") - F.col("bad") + 0.5) / (clean + 1)))
     kept = (counted.filter(F.col("bad") >= max(SUPPORT, SHARE * toxic)).filter(F.col("bad") >= PRECISION * F.col("all"))
             .withColumn("odds", odds).orderBy(F.desc("odds"), "cut", "term").limit(lexicon).collect())
@@ -259,9 +281,9 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
 def keep_clean(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is not predicted toxic, with all their columns."""
-    @F.pandas_udf("double")
-    def toxic(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def toxic(texts: pa.Array) -> pa.Array:
         symbols, table = Symbols(model), GRAMMAR.table()
-        found = np.array([features(t, symbols, table) for t in texts]).reshape(-1, FEATURES)
-        return pd.Series(_probability(model, found))
+        found = np.array([features(t.as_py(), symbols, table) for t in texts], np.float64).reshape(-1, FEATURES)
+        return pa.array(_probability(model, found))
     return docs.filter(toxic(whole_text(text_column)) < 0.5)
