@@ -70,7 +70,7 @@ def test_scan_with_table_names(spark, tmp_path, rows):
 
 
 DOCUMENT = {"data": {"routes": [{"id": "R1", "date": "2023-01-01"}, {"id": "R2", "date": "2023-01-02"}],
-                     "text": '[{"id": 1, "gone": null}]', "plain": [1, 2]}}
+                     "text": '[{"id": 1, "gone": null, "date": "2023-01-02T10:00"}, {"id": 2, "date": "2023-01-03"}]', "plain": [1, 2]}}
 
 
 @pytest.mark.parametrize("indent", [None, 2])
@@ -86,7 +86,24 @@ def test_payload(spark, tmp_path, rows, indent):
                          window=("2023-01-02", "2023-01-02"))
     found = landing.discover(spark, f"{tmp_path}/landing")
     assert rows(landing.read_json(spark, found["routes"]), "id") == [("R2",)]
-    assert landing.read_json(spark, found["text"]).columns == ["gone", "id"]
+    assert rows(landing.read_json(spark, found["text"]), "id", "gone") == [(1, None)]
+    landing.land_payload(spark, path, f"{tmp_path}/whole", "dims", ("text",))
+    assert landing.read_json(spark, f"{tmp_path}/whole/dims/text.json").count() == 2
+
+
+@pytest.mark.parametrize("value", ['[{"id": 1}]', [{"id": 1}]])
+def test_a_window_needs_a_date(spark, tmp_path, value):
+    put(tmp_path, "doc.json", json.dumps({"data": {"t": value}}))
+    with pytest.raises(ValueError, match="date"):
+        landing.land_payload(spark, f"{tmp_path}/doc.json", f"{tmp_path}/l", "facts", ("t",), window=("2023-01-02", "2023-01-02"))
+
+
+@pytest.mark.parametrize("schemas", [None, {"t": "id bigint, name string"}])
+def test_corrupt_lines_are_set_aside(spark, tmp_path, rows, schemas):
+    put(tmp_path, "landing/t.json", '{"id": 1, "name": "a"}\n{"id": 2, "na\n{"id": 3, "name": null}')
+    landing_to_bronze(spark, f"{tmp_path}/landing", f"{tmp_path}/b", 4, schemas=schemas)
+    assert rows(bronze.read_bronze(spark, f"{tmp_path}/b", 4, "t"), "id", "name") == [(1, "a"), (3, None)]
+    assert rows(spark.read.option("columnNameOfCorruptRecord", "x").json(f"{tmp_path}/b/corrupt/4/t/4"), "_corrupt_record") == [('{"id": 2, "na',)]
 
 
 def test_landed_rows_keep_null_columns(spark, tmp_path):

@@ -1,5 +1,6 @@
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,13 +49,34 @@ def test_stored_log_and_gates(spark, tmp_path, rows):
     assert log.gate(7, runlog.TO_SILVER) is False
 
 
-def test_last_applied_wins(spark, tmp_path):
+def test_the_latest_event_wins_in_whatever_batches(spark, tmp_path):
+    for name, batches in (("one", [EVENTS[:2]]), ("late", [EVENTS[1:2], EVENTS[:1]]), ("two", [EVENTS[:1], EVENTS[1:2]])):
+        log = runlog.RunLog(spark, f"{tmp_path}/{name}")
+        for batch in batches:
+            log.apply(frame(spark, batch), "Time")
+        assert log.lookup(7, runlog.TO_BRONZE)["status"] == "success"
+
+
+def test_without_times_the_last_applied_stays(spark, tmp_path):
     log = runlog.RunLog(spark, f"{tmp_path}/log")
-    log.apply(frame(spark, EVENTS[1:2]), "Time")
-    log.apply(frame(spark, EVENTS[:1]), "Time")
+    log.apply(frame(spark, EVENTS[1:2]))
+    log.apply(frame(spark, EVENTS[:1]))
     assert log.lookup(7, runlog.TO_BRONZE)["status"] == "failed"
 
 
+def test_two_writers_lose_no_event(spark, tmp_path):
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda run: runlog.RunLog(spark, f"{tmp_path}/log").report(run, runlog.INGEST, runlog.SUCCESS), range(8)))
+    assert runlog.RunLog(spark, f"{tmp_path}/log").table.read().count() == 8
+
+
+def test_a_record_is_read_from_its_slice(spark, tmp_path):
+    log = runlog.RunLog(spark, f"{tmp_path}/log")
+    log.apply(frame(spark, [envelope(i, runlog.INGEST, "success", "2024-01-01 10:00:00") for i in range(50)]), "Time")
+    assert len({f.rsplit("/", 2)[-2] for f in log.record(7, runlog.INGEST).inputFiles()}) == 1
+    assert log.gate(7, runlog.INGEST)
+
+
 def test_report(spark, tmp_path):
     log = runlog.RunLog(spark, f"{tmp_path}/log")
     log.report(5, runlog.TO_GOLD, runlog.SUCCESS)
@@ -112,5 +134,5 @@ def test_stream_applies_files_in_the_order_they_arrive(spark, tmp_path, rows):
     stream = start_run_log(spark, str(folder), f"{tmp_path}/log", f"{tmp_path}/checkpoint", max_files=1)
     stream.awaitTermination()
     log = runlog.RunLog(spark, f"{tmp_path}/log")
-    assert len(log.table.versions()) == 2 and log.table.versions()[-1] == 3
+    assert log.table.versions() == [1, 2, 3]
     assert log.lookup(3, runlog.INGEST)["status"] == "success"

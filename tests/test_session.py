@@ -3,19 +3,16 @@ import pytest
 from tierline import files, session
 
 
-def test_shuffle_count_is_only_raised(spark, tmp_path, monkeypatch):
+def test_shuffle_count_is_raised_for_a_while(spark, tmp_path, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     tmp_path.joinpath("x").write_bytes(b"0" * 1000)
-    try:
-        assert session.size_shuffles(spark, str(tmp_path)) == int(before)
-        monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 100)
-        assert session.size_shuffles(spark, str(tmp_path)) == 30
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
-        monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", 40)
-        monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 1)
-        assert session.size_shuffles(spark, str(tmp_path)) == 40
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert session.wanted_shuffles(spark, str(tmp_path)) == int(before)
+    monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 100)
+    with session.sized_shuffles(spark, str(tmp_path)) as count:
+        assert count == 30 and spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 0.03)
+    assert session.wanted_shuffles(spark, str(tmp_path)) == 100_000
 
 
 def test_scratch_paths_are_fresh_and_shared(spark):

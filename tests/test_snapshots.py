@@ -2,12 +2,12 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline import files
 from tierline.operators.upsert import DuplicateKeyError
-from tierline.sources import snapshots
-from tierline.sources.snapshots import (NULL_SLICE, ONE_SLICE, SnapshotTable, epoch_slices,
-                                        hash_slices, merge_into)
+from tierline.sources.snapshots import (NULL_SLICE, ONE_SLICE, SnapshotTable, date_slices,
+                                        epoch_slices, hash_slices, merge_into)
 from test_upsert import SCHEMA, by_hand
 
 
@@ -30,7 +30,7 @@ def test_loads_against_brute_force(spark, tmp_path, slice_by):
         expected = by_hand(state, batch)
         assert Counter(map(tuple, target.read().collect())) == expected
         state = list(expected.elements())
-        target.expire(keep=1)
+        target.expire(keep=1, seconds=0)
         assert Counter(map(tuple, target.read().collect())) == expected
 
 
@@ -52,22 +52,70 @@ def test_first_upsert_is_a_full_load(spark, tmp_path, rows):
 def test_only_slices_with_a_match_are_rewritten(spark, tmp_path, rows):
     target = make(spark, tmp_path, [(0, "a"), (1, "b"), (2, "c")], "dwid % 3")
     target.upsert(spark.createDataFrame([(1, "u"), (5, "n")], SCHEMA))
-    assert target.manifest()["slices"] == {"0": [1], "1": [2], "2": [1, 2]}
+    first, second = (sorted({w for ws in target.manifest(v)["slices"].values() for w in ws})[-1] for v in (1, 2))
+    assert target.manifest()["slices"] == {"0": [first], "1": [second], "2": [first, second]}
     assert rows(target.read()) == [(0, "a"), (1, "u"), (2, "c"), (5, "n")]
 
 
-def test_crowded_slices_are_rewritten(spark, tmp_path, monkeypatch, rows):
-    monkeypatch.setattr(snapshots, "MAX_FOLDERS", 2)
+def test_crowded_slices_are_compacted(spark, tmp_path, rows):
     target = make(spark, tmp_path, [(0, "a")], ONE_SLICE)
     for i in range(1, 5):
         target.upsert(spark.createDataFrame([(i, "n")], SCHEMA))
-        assert len(target.manifest()["slices"]["0"]) <= 2
-    assert target.read().count() == 5
+    before = rows(target.read())
+    assert len(target.manifest()["slices"]["0"]) == 5 and target.compact(6) == 5
+    assert target.compact(2) == 6 and len(target.manifest()["slices"]["0"]) == 1
+    assert rows(target.read()) == before and len(before) == 5
+
+
+def test_many_slices(spark, tmp_path):
+    """No number of slices is refused or lowered."""
+    rows = spark.range(5000).selectExpr("id AS dwid", "'a' AS a")
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by=hash_slices(1_000_000))
+    assert hash_slices(10_000).endswith("10000)")
+    with pytest.raises(ValueError):
+        hash_slices(0)
+    target.full_load(rows.limit(1))
+    target._slice_by = "cast(dwid AS int)"
+    target.full_load(rows.coalesce(1))
+    target.upsert(rows.withColumn("a", F.lit("b")).coalesce(1))
+    assert len(target.manifest()["slices"]) == 5000
+    read = target.read().groupBy("a").count().collect()
+    assert [tuple(r) for r in read] == [("b", 5000)]
+
+
+def test_date_slices_span_the_same_days_everywhere(spark):
+    for year in (1950, 1995, 2005, 2290):
+        days = spark.sql(f"SELECT {date_slices(7)} AS s FROM (SELECT explode(sequence(DATE'{year}-01-01', "
+                         f"DATE'{year}-12-31')) AS date)")
+        assert 52 <= days.distinct().count() <= 54
+
+
+def test_two_writers_do_not_mix(spark, tmp_path, rows):
+    first = make(spark, tmp_path, [(1, "a")])
+    second = SnapshotTable(spark, f"{tmp_path}/t", slice_by=hash_slices(4))
+    publish = second._publish
+
+    def slow(*args):  # the other writer publishes between this one's write and its turn
+        second._publish = publish
+        first.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
+        return publish(*args)
+    second._publish = slow
+    with pytest.raises(FileExistsError):
+        second.upsert(spark.createDataFrame([(3, "c")], SCHEMA))
+    assert rows(first.read()) == [(1, "a"), (2, "b")]
+    second.upsert(spark.createDataFrame([(3, "c")], SCHEMA))
+    assert rows(first.read()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_read_key(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(i, "a") for i in range(20)])
+    assert rows(target.read_key(7)) == [(7, "a")] and rows(target.read_key(99)) == []
+    assert len({f.rsplit("/", 2)[-2] for f in target.read_key(7).inputFiles()}) == 1
 
 
 def test_null_keys_have_a_slice(spark, tmp_path):
     target = make(spark, tmp_path, [(None, "a"), (3, "b")], "dwid % 2")
-    assert target.manifest()["slices"] == {str(NULL_SLICE): [1], "1": [1]}
+    assert set(target.manifest()["slices"]) == {str(NULL_SLICE), "1"}
 
 
 def test_new_rows_without_a_key_are_counted(spark, tmp_path, caplog):
@@ -91,18 +139,17 @@ def test_conflict_changes_nothing(spark, tmp_path, rows):
     assert target.versions() == [1] and rows(target.read()) == [(1, "a")]
 
 
-@pytest.mark.parametrize("mode", ["static", "dynamic"])
 @pytest.mark.parametrize("slice_by, leftover", [(ONE_SLICE, 0), ("dwid % 4", 3)])
-def test_leftovers_of_a_broken_write_are_replaced(spark, tmp_path, rows, slice_by, leftover, mode):
+def test_leftovers_of_a_broken_write_are_not_read(spark, tmp_path, rows, slice_by, leftover):
     target = make(spark, tmp_path, [(1, "a")], slice_by)
-    junk = f"{tmp_path}/t/data/version_no=2/slice_no={leftover}"
-    spark.createDataFrame([(8, "junk")], SCHEMA).write.parquet(junk)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    try:
-        target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    junk = f"{tmp_path}/t/data/version_no=000000000002-x"
+    spark.createDataFrame([(8, "junk")], SCHEMA).write.parquet(f"{junk}/slice_no={leftover}")
+    target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
     assert rows(target.read()) == [(1, "a"), (2, "b")]
+    target.expire()
+    assert files.exists(spark, junk)  # it might be a write in progress
+    target.expire(seconds=0)
+    assert not files.exists(spark, junk) and rows(target.read()) == [(1, "a"), (2, "b")]
 
 
 def test_other_columns_are_refused(spark, tmp_path):
@@ -124,14 +171,42 @@ def test_empty_loads(spark, tmp_path, rows):
 def test_expire_removes_unused_folders_only(spark, tmp_path, rows):
     target = make(spark, tmp_path, [(0, "a"), (1, "b")], "dwid % 2")
     target.upsert(spark.createDataFrame([(1, "u")], SCHEMA))
-    target.expire(keep=1)
+    target.expire(keep=1, seconds=0)
     assert target.versions() == [2]
-    assert files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=0")
-    assert not files.exists(spark, f"{tmp_path}/t/data/version_no=1/slice_no=1")
+    old = target.manifest()["slices"]["0"][0]
+    assert files.exists(spark, f"{tmp_path}/t/data/version_no={old}/slice_no=0")
+    assert not files.exists(spark, f"{tmp_path}/t/data/version_no={old}/slice_no=1")
     assert rows(target.read()) == [(0, "a"), (1, "u")]
     target.full_load(spark.createDataFrame([(5, "z")], SCHEMA))
-    target.expire(keep=1)
-    assert [p.rsplit("/", 1)[-1] for p, _ in files.children(spark, f"{tmp_path}/t/data")] == ["version_no=3"]
+    target.expire(keep=1, seconds=0)
+    assert [p.rsplit("=", 1)[-1][:12] for p, _ in files.children(spark, f"{tmp_path}/t/data")] == ["000000000003"]
+
+
+def test_young_versions_stay_for_their_readers(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(0, "a")])
+    for i in range(3):
+        target.upsert(spark.createDataFrame([(0, f"u{i}")], SCHEMA))
+        target.expire()
+    assert target.versions() == [1, 2, 3, 4] and rows(target.read(1)) == [(0, "a")]
+    target.expire(seconds=0)
+    assert target.versions() == [4]
+
+
+def test_a_registered_view_is_never_cut_short(spark, tmp_path):
+    target = make(spark, tmp_path, [(i, "a") for i in range(100)])
+    target.register("tierline_kept", "t", f"{tmp_path}/db")
+    for key in (1, 2, 3):
+        target.upsert(spark.createDataFrame([(key, "u")], SCHEMA))
+        target.expire(seconds=0)
+    assert spark.table("tierline_kept.t").filter("a = 'a'").count() == 100
+    target.register("tierline_kept", "t")
+    target.expire(seconds=0)
+    assert target.versions() == [4] and spark.table("tierline_kept.t").filter("a = 'u'").count() == 3
+    writer = target.manifest()["slices"]
+    number, folders = next(iter(writer.items()))
+    files.delete(spark, f"{tmp_path}/t/data/version_no={folders[0]}/slice_no={number}")
+    with pytest.raises(Exception, match="(?i)path_not_found|does not exist|not found"):
+        spark.sql("SELECT count(*) FROM tierline_kept.t").collect()
 
 
 def test_registered_view_follows_the_table(spark, tmp_path):

@@ -94,3 +94,17 @@ def test_mapping_file(spark, tmp_path):
     assert list(mapping) == ["a", "b"]
     assert mapping["a"].dq_rules == ["ColumnValues 'kind' in ['F','M']"]
     assert mapping["b"] == table("b", dated_key("id"), day("date"), integer("id"))
+
+
+def test_expressions_without_a_value_are_null_in_any_session(spark):
+    from tierline.mapping import generated, integer, table
+    mapping = table("t", generated("x", "integer", "100 / q"), generated("y", "integer", "cast(s AS int) + 1"), integer("q"))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    for mode in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", mode)
+        try:
+            rows = transform(spark.sql("SELECT * FROM VALUES (0L, 'a'), (4L, '5') AS t(q, s)"), mapping, 1, "now")
+            assert sorted((r.q, r.x, r.y) for r in rows.collect()) == [(0, None, None), (4, 25, 6)]
+            assert spark.conf.get("spark.sql.ansi.enabled") == mode
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)

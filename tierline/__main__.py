@@ -30,11 +30,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         made.add_argument("--input-date", required=True)
         made.add_argument("--start-date")
         made.add_argument("--backfill", choices=["0", "1"], default="0")
-        made.add_argument("--load-type", choices=LOAD_TYPES, default=INCREMENTAL_LOAD)
-    step("bronze", "landing to bronze")
+        _silver_options(made)
+        _bronze_options(made)
+    _bronze_options(step("bronze", "landing to bronze"))
     silver = step("silver", "bronze to silver")
-    silver.add_argument("--load-type", choices=LOAD_TYPES, default=INCREMENTAL_LOAD)
-    silver.add_argument("--mapping", help="mapping CSV; the dairy tables without it")
+    _silver_options(silver)
     gold = step("gold", "calendar dimension")
     gold.add_argument("--start", default=DEFAULT_SPAN[0])
     gold.add_argument("--end", default=DEFAULT_SPAN[1])
@@ -43,6 +43,30 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _pair(text: str) -> tuple[str, str]:
+    table, found, value = text.partition("=")
+    if not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not TABLE=VALUE")
+    return table, value
+
+
+def _bronze_options(step: argparse.ArgumentParser) -> None:
+    step.add_argument("--multi-line", action="store_true", help="a landed JSON file is one value, not lines")
+    step.add_argument("--schema", action="append", type=_pair, default=[], metavar="TABLE=DDL",
+                      help="columns of a landed table; saves the pass that infers them")
+
+
+def _silver_options(step: argparse.ArgumentParser) -> None:
+    step.add_argument("--load-type", choices=LOAD_TYPES, default=INCREMENTAL_LOAD)
+    step.add_argument("--mapping", help="mapping CSV; the dairy tables without it")
+    step.add_argument("--slices", action="append", type=_pair, default=[], metavar="TABLE=EXPRESSION",
+                      help="slice number of a silver table's rows, a function of the key")
+
+
+def _mapping(spark, args: argparse.Namespace):
+    return read_mapping(spark, args.mapping) if args.mapping else None
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = build_session(f"tierline-{args.job}")
@@ -53,16 +77,17 @@ def main(argv: list[str] | None = None) -> int:
         parameters = RunParameters(args.run_id, args.input_date, args.start_date or args.input_date,
                                    args.load_type, args.backfill)
         documents = args.dimension_documents, args.fact_documents
-        done = (jobs.run_steps(spark, base, parameters, *documents, database=silver_db)
+        done = (jobs.run_steps(spark, base, parameters, *documents, silver_db, _mapping(spark, args),
+                               dict(args.slices), dict(args.schema), args.multi_line)
                 if args.job == "run"
                 else jobs.ingest(spark, log, parameters, f"{base}/landing", *documents))
     elif args.job == "bronze":
-        done = jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", args.run_id, log)
+        done = jobs.landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", args.run_id, log,
+                                      dict(args.schema), args.multi_line)
     elif args.job == "silver":
-        mapping = read_mapping(spark, args.mapping) if args.mapping else None
         status, _ = jobs.bronze_to_silver(
             spark, f"{base}/bronze", f"{base}/silver", f"{base}/dq_failed", args.run_id,
-            args.load_type, mapping, log, database=silver_db)
+            args.load_type, _mapping(spark, args), log, slices=dict(args.slices), database=silver_db)
         done = status == "success"
     elif args.job == "gold":
         done = jobs.silver_to_gold(spark, f"{base}/gold", args.run_id, log, args.start, args.end, gold_db)

@@ -54,16 +54,48 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that it appears whole or not at all."""
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file or folder last changed, in epoch seconds."""
     fs, target = _handle(spark, path)
-    if fs.exists(target):
-        raise FileExistsError(path)
-    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".draft")
-    stream = fs.create(draft, True)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
+def _write(fs, target, text: str, overwrite: bool) -> None:
+    stream = fs.create(target, overwrite)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if not fs.rename(draft, target):
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, whatever was there."""
+    fs, target = _handle(spark, path)
+    _write(fs, target, text, True)
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it appears whole, and only if no other writer was first.
+
+    The writer that makes the claim beside it may publish; claims are made by
+    exclusive creation, so of several writers exactly one goes on.
+    """
+    fs, target = _handle(spark, path)
+    if fs.exists(target):
         raise FileExistsError(path)
+    jvm = spark.sparkContext._jvm
+    claim, draft = (jvm.org.apache.hadoop.fs.Path(f"{path}.{end}") for end in ("claim", "draft"))
+    try:
+        _write(fs, claim, "", False)
+    except Exception as error:
+        if fs.exists(claim) or fs.exists(target):
+            raise FileExistsError(path) from error
+        raise
+    try:
+        if fs.exists(target):
+            raise FileExistsError(path)
+        _write(fs, draft, text, True)
+        if not fs.rename(draft, target):
+            raise FileExistsError(path)
+    finally:
+        fs.delete(claim, False)

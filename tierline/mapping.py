@@ -18,9 +18,6 @@ NULL_DEFAULTS = {"date": "2022-01-01", "string": "_", "integer": "0", "float": "
 KEY = "dwid"
 AUDIT_COLUMNS = ("last_updated", "etl_run_id")
 
-#: A mapping is metadata; anything larger than this is a wrong file.
-MAX_MAPPING_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class ColumnRule:
@@ -86,9 +83,7 @@ def read_mapping(spark: SparkSession, path: str) -> dict[str, TableMapping]:
     rows = (spark.read.csv(path, header=True, inferSchema=False, escape='"')
             .select(*names)
             .na.fill("")
-            .take(MAX_MAPPING_ROWS + 1))
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError(f"{path} has more than {MAX_MAPPING_ROWS} rows")
+            .collect())
     return by_table(ColumnRule(**row.asDict()) for row in rows)
 
 

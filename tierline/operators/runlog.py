@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierline.sources.snapshots import ONE_SLICE, SnapshotTable
+from tierline import files
+from tierline.session import scratch_path
+from tierline.sources.snapshots import SnapshotTable, hash_slices
 
 # Event envelope, producers and message texts.
 EVENT_SOURCE = "pf-resources"
@@ -77,14 +82,14 @@ def log_records(events: DataFrame, *keep: str) -> DataFrame:
 
 
 def latest_records(records: DataFrame, *order: str) -> DataFrame:
-    """Last record per key. Records without a key are refused, as by a keyed store.
+    """Last record per key, with its ``order`` columns. Records without a key are refused,
+    as by a keyed store.
 
     ``order`` should decide the order; equal ones fall back on the content. An
     aggregate, so each task sends on one record per key, however hot the key.
     """
-    rank = F.struct(*order, "body")
-    return (records.filter(F.col(LOG_KEY).isNotNull())
-            .groupBy(LOG_KEY).agg(F.max_by("body", rank).alias("body")))
+    last = F.max(F.struct(*order, "body")).alias("last")
+    return records.filter(F.col(LOG_KEY).isNotNull()).groupBy(LOG_KEY).agg(last).select(LOG_KEY, "last.*")
 
 
 def gate_state(log: DataFrame) -> DataFrame:
@@ -103,25 +108,64 @@ def run_summary(log: DataFrame) -> DataFrame:
                     F.when(F.col("any_failed"), PARTIAL).otherwise(SUCCESS).alias("status")))
 
 
+#: Slices of the stored log, and how often a writer tries again when another was first.
+LOG_SLICES, ATTEMPTS = 64, 20
+
+
 class RunLog:
-    """The keyed run log as a table; the last event per key wins."""
+    """The keyed run log as a table; of each key the last event by time is kept.
 
-    def __init__(self, spark: SparkSession, root: str, slice_by: str = ONE_SLICE):
+    The time is stored with the record, so the result does not depend on how
+    events were cut into batches or in which order those were applied. Events
+    without a time count as older than all others; of these the last applied stays.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, slice_by: str = hash_slices(LOG_SLICES, LOG_KEY)):
         self.spark = spark
         self.table = SnapshotTable(spark, root, key=LOG_KEY, slice_by=slice_by)
 
     def apply(self, events: DataFrame, *order: str) -> None:
-        """Upsert a batch of events; applying the same batch again changes nothing."""
-        records = log_records(own_events(events), *order)
-        self.table.upsert(latest_records(records, *order), unique_keys=True)
+        """Upsert a batch of events; applying the same batch again changes nothing.
+
+        ``order`` names the columns that order events, the same in all batches.
+        Several writers may apply batches at a time: one that loses the race for
+        the next version starts again from the winner's.
+        """
+        records = latest_records(log_records(own_events(events), *order), *order)
+        # All writers of a log store the order under the same names.
+        places = [F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]
+        order = tuple(f"order_{i}" for i in range(len(order))) or ("order_0",)
+        records = records.select(LOG_KEY, "body", *(places or [F.lit(None).cast("timestamp").alias("order_0")]))
+        path = scratch_path(self.spark, "events")
+        records.write.parquet(path)
+        batch = self.spark.read.schema(records.schema).parquet(path)
+        try:
+            for attempt in range(ATTEMPTS):
+                try:
+                    self.table.upsert(self._newer(batch, order), unique_keys=True)
+                    break
+                except FileExistsError:
+                    if attempt == ATTEMPTS - 1:
+                        raise
+                    time.sleep(random.uniform(0, 0.2 * (attempt + 1)))
+        finally:
+            files.delete(self.spark, path)
         self.table.expire()
 
+    def _newer(self, batch: DataFrame, order: tuple[str, ...]) -> DataFrame:
+        """The records of the batch that no stored one is later than."""
+        if not self.table.exists():
+            return batch
+        stored = self.table.read().select(F.col(LOG_KEY).alias("__key"), F.struct(*order).alias("__stored"))
+        later = (F.col(LOG_KEY) == F.col("__key")) & (F.col("__stored") > F.struct(*order))
+        return batch.join(stored, later, "left_anti")
+
     def report(self, run_id: int | str, producer: str, status: str, update: str = "ok") -> None:
         self.apply(status_event(self.spark, run_id, producer, status, update), "Time")
 
     def record(self, run_id: int | str, producer: str) -> DataFrame:
         """The record of one step, found by its key; no row if it never reported."""
-        return self.table.read().filter(F.col(LOG_KEY) == f"{int(run_id)}_{producer}")
+        return self.table.read_key(f"{int(run_id)}_{producer}")
 
     def lookup(self, run_id: int | str, producer: str) -> dict | None:
         """Body of one record, or None."""

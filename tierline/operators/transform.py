@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import threading
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierline.functions.casts import to_type
 from tierline.functions.scalars import phone_tail
@@ -27,14 +29,40 @@ def load_time(as_of: datetime | str | None) -> Column:
     return F.lit(as_of)
 
 
+_ANSI = "spark.sql.ansi.enabled"
+_planning = threading.RLock()
+
+
+@contextmanager
+def null_on_error(spark: SparkSession) -> Iterator[None]:
+    """Expressions resolved within give null where they have no value, whatever the session's mode.
+
+    An expression takes its mode when it is resolved and keeps it.
+    """
+    with _planning:
+        before = spark.conf.get(_ANSI)
+        spark.conf.set(_ANSI, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(_ANSI, before)
+
+
 def transform(df: DataFrame, mapping: TableMapping, run_id: int | str,
               as_of: datetime | str | None = None,
               custom: CustomColumns | None = None) -> DataFrame:
     """Silver columns in mapping order, then ``last_updated`` and ``etl_run_id``.
 
-    Expressions see the cleaned columns under their source names. A ``CUSTOM``
-    column nobody supplies a derivation for is left out.
+    Expressions see the cleaned columns under their source names; those without
+    a value, as by division by zero, are null. A ``CUSTOM`` column nobody supplies
+    a derivation for is left out.
     """
+    with null_on_error(df.sparkSession):
+        return _transformed(df, mapping, run_id, as_of, custom)
+
+
+def _transformed(df: DataFrame, mapping: TableMapping, run_id: int | str, as_of: datetime | str | None,
+                 custom: CustomColumns | None) -> DataFrame:
     derived = [r for r in mapping.rules if r.transformation == EXPRESSION]
     types = dict(zip(derived, column_types(df, [F.expr(r.expr) for r in derived])))
     columns = []

@@ -18,15 +18,16 @@ def matched_keys(current: DataFrame, batch: DataFrame, key: str = KEY,
     """Keys of ``batch`` that exist in ``current``, at most one row per key.
 
     Reads only the key column of ``current`` (and columns that follow from the
-    key, in ``carry``). Keys are made distinct before the shuffle of the join,
-    so a hot key reaches its task once per map task. With a batch known to be
-    small its keys are broadcast instead and ``current`` is not shuffled.
-    Null keys never match.
+    key, in ``carry``). Both sides are folded to one row per key before they
+    meet, so a hot key of either is one row per map task, and the join needs no
+    shuffle beyond those of the folding. With a batch known to be small its keys
+    are broadcast instead and ``current`` is not shuffled before. Null keys never match.
     """
-    present, wanted = current.select(key, *carry), batch.select(key)
+    present, wanted = current.select(key, *carry), batch.select(key).filter(F.col(key).isNotNull()).distinct()
     if batch_is_small:
-        return present.join(F.broadcast(wanted.distinct()), key, "left_semi").distinct()
-    return present.distinct().join(wanted, key, "left_semi")
+        present, wanted = present.join(F.broadcast(wanted), key, "left_semi"), None
+    folded = present.groupBy(key).agg(*(F.first(c).alias(c) for c in carry)) if carry else present.distinct()
+    return folded if wanted is None else folded.join(wanted, key, "left_semi")
 
 
 def conflicting_keys(batch: DataFrame, matched: DataFrame, key: str = KEY) -> DataFrame:
@@ -73,6 +74,5 @@ def upsert(current: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
     Columns that only ``current`` has keep their value in updated rows and are
     null in new ones.
     """
-    matched = matched_keys(current, batch, key)
     return updated_rows(current, batch, key).unionByName(
-        new_rows(batch, matched, key), allowMissingColumns=True)
+        new_rows(batch, current.select(key).distinct(), key), allowMissingColumns=True)

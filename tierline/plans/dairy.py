@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from tierline.mapping import (dated_key, day, decimal2, identity_key, integer, phone, string,
                               table)
-from tierline.sources.snapshots import epoch_slices
 
 # Tables, columns, types, key formulas and quality rules below.
 # Null defaults follow from the type (see NULL_DEFAULTS).
@@ -58,7 +57,5 @@ FACTS = [
 DIMENSION_TABLES = tuple(t.name for t in DIMENSIONS)
 FACT_TABLES = tuple(t.name for t in FACTS)
 MAPPING = {t.name: t for t in sorted(DIMENSIONS + FACTS, key=lambda t: t.name)}
-#: Facts are loaded by day, so they are stored by date; dimensions arrive whole.
-SLICES = {name: epoch_slices(days=7) for name in FACT_TABLES}
 # Catalog databases.
 SILVER_DATABASE, GOLD_DATABASE = "pf_silver_db", "pf_gold_db"

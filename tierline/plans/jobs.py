@@ -7,21 +7,21 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tierline import files
-from tierline.mapping import TableMapping
+from tierline.mapping import KEY, TableMapping
 from tierline.operators import quality, runlog
 from tierline.operators.clean import clean
 from tierline.operators.transform import CustomColumns, transform
 from tierline.plans import dairy
 from tierline.plans.date_dim import DEFAULT_SPAN, load_date_dim
 from tierline.plans.parameters import FULL_LOAD, INCREMENTAL_LOAD, LOAD_TYPES, RunParameters
-from tierline.session import scratch_path, size_shuffles
+from tierline.session import scratch_path, sized_shuffles
 from tierline.sources import bronze as bronze_layer
 from tierline.sources import landing as landing_layer
-from tierline.sources.snapshots import ONE_SLICE, SnapshotTable
+from tierline.sources.snapshots import ONE_SLICE, SnapshotTable, date_slices, hash_slices
 
 logger = logging.getLogger(__name__)
 
@@ -58,16 +58,34 @@ def ingest(spark: SparkSession, log: runlog.RunLog, parameters: RunParameters, l
 def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, run_id: int | str,
                       log: runlog.RunLog | None = None,
                       schemas: dict[str, StructType | str] | None = None,
-                      multi_line: bool = False, at_once: int = 4) -> bool:
+                      multi_line: bool = False, at_once: int = 4,
+                      mapping: dict[str, TableMapping] | None = None) -> bool:
     """Every landed JSON dataset to ``<bronze>/<run_id>/<table>``.
 
     The first failure ends the job. Tables given in ``schemas`` skip the extra
-    pass over the data that type inference takes.
+    pass over the data that type inference takes. A dataset without rows has the
+    source columns of its mapping. Lines that are no JSON go to
+    ``<bronze>/corrupt/<run_id>/<table>``, not to bronze.
     """
+    mapping = dairy.MAPPING if mapping is None else mapping
+
     def convert(item: tuple[str, str]) -> None:
         table, path = item
-        df = landing_layer.read_json(spark, path, (schemas or {}).get(table), multi_line)
-        bronze_layer.write_bronze(df, bronze, run_id, table)
+        schema = landing_layer.with_corrupt((schemas or {}).get(table))
+        df = landing_layer.read_json(spark, path, schema, multi_line)
+        if not df.columns and table in mapping:
+            df = spark.createDataFrame([], ", ".join(f"`{r.source_column}` string" for r in mapping[table].source_rules))
+        if df.columns == [landing_layer.CORRUPT] and table in mapping:  # not one line is JSON
+            known = ", ".join(f"`{r.source_column}` string" for r in mapping[table].source_rules)
+            df = landing_layer.read_json(spark, path, landing_layer.with_corrupt(known), multi_line)
+        seen = Observation()
+        if landing_layer.CORRUPT in df.columns:
+            df = df.observe(seen, F.count_if(F.col(landing_layer.CORRUPT).isNotNull()).alias("lines"))
+        rows, corrupt = landing_layer.split_corrupt(df)
+        bronze_layer.write_bronze(rows, bronze, run_id, table)
+        if corrupt is not None and seen.get["lines"]:
+            logger.warning("%s: lines that are no JSON are in %s/corrupt/%s", table, bronze, run_id)
+            bronze_layer.write_rejected(corrupt, f"{bronze}/corrupt/{run_id}", table, run_id)
 
     try:
         _each(spark, convert, landing_layer.discover(spark, landing).items(), at_once)
@@ -137,6 +155,14 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
     return target
 
 
+def default_slices(mapping: dict[str, TableMapping]) -> dict[str, str]:
+    """Facts, whose key begins with their date, are stored by week; other tables by their key."""
+    def dated(table: TableMapping) -> bool:
+        return any(r.target_column == KEY and "unix_timestamp(date" in r.expr for r in table.rules) and any(
+            r.target_column == "date" and r.cast_to == "date" for r in table.rules)
+    return {n: date_slices(7) if dated(t) else hash_slices(8) for n, t in mapping.items()}
+
+
 def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: str,
                      run_id: int | str, load_type: str = INCREMENTAL_LOAD,
                      mapping: dict[str, TableMapping] | None = None,
@@ -152,8 +178,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
     """
     mapping = dairy.MAPPING if mapping is None else mapping
     as_of = as_of or datetime.now(timezone.utc)
-    slices = dairy.SLICES if slices is None else slices
-    size_shuffles(spark, f"{bronze}/{run_id}")
+    slices = default_slices(mapping) | (slices or {})
 
     def load(table: str) -> str:
         try:
@@ -165,7 +190,9 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
             return (f"There was issue while processing table:{table}\n"
                     f"ERROR: {_details(error)}\n")
 
-    problems = "".join(_each(spark, load, sorted(mapping), at_once))
+    largest = max((f"{bronze}/{run_id}/{t}" for t in mapping), key=lambda p: files.bytes_below(spark, p))
+    with sized_shuffles(spark, largest):
+        problems = "".join(_each(spark, load, sorted(mapping), at_once))
     status = runlog.PARTIAL if problems else runlog.SUCCESS
     if log:
         log.report(run_id, runlog.TO_SILVER, status, f" {problems}" if problems else "ok")
@@ -193,16 +220,22 @@ def silver_to_gold(spark: SparkSession, gold: str, run_id: int | str = 0,
 
 def run_steps(spark: SparkSession, base: str, parameters: RunParameters,
               dimension_documents: str | list[str], fact_documents: str | list[str],
-              database: str | None = None) -> bool:
-    """Ingest, bronze, silver, each only if the step before reported success."""
+              database: str | None = None, mapping: dict[str, TableMapping] | None = None,
+              slices: dict[str, str] | None = None, schemas: dict[str, StructType | str] | None = None,
+              multi_line: bool = False) -> bool:
+    """Ingest, bronze, silver, each only if the step before reported success.
+
+    ``schemas`` and ``multi_line`` are for the landed JSON, ``mapping`` and
+    ``slices`` for silver.
+    """
     log = runlog.RunLog(spark, f"{base}/run_log")
     run_id = parameters.run_id
     ingest(spark, log, parameters, f"{base}/landing", dimension_documents, fact_documents)
     if not log.gate(run_id, runlog.INGEST):
         return False
-    landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", run_id, log)
+    landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", run_id, log, schemas, multi_line, mapping=mapping)
     if not log.gate(run_id, runlog.TO_BRONZE):
         return False
     bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/dq_failed", run_id,
-                     parameters.load_type, log=log, database=database)
+                     parameters.load_type, mapping, log, slices=slices, database=database)
     return log.gate(run_id, runlog.TO_SILVER)

@@ -13,11 +13,11 @@ from tierline.plans.date_dim import load_date_dim
 from tierline.queries.registry import given, query, source
 from tierline.session import scratch_path
 from tierline.sources.landing import fact_window
-from tierline.sources.snapshots import SnapshotTable, epoch_slices, hash_slices
+from tierline.sources.snapshots import SnapshotTable, date_slices, hash_slices
 
 _ORDERS = table("orders", dated_key("o_orderkey"), day("date"), integer("o_orderkey"),
                 string("o_orderstatus"), string("o_orderpriority"))
-_SLICES = epoch_slices(days=36500)
+_SLICES = date_slices(days=36500)
 _EARLIER, _LATER = "2024-05-01 06:00:00", "2024-05-02 06:00:00"
 
 
@@ -31,11 +31,11 @@ def _order_rows(spark, sf_dir, first, last, status, run_id, as_of):
 
 
 def _base(spark, sf_dir):
-    return _order_rows(spark, sf_dir, "1990-01-01", "1999-12-31", "o_orderstatus", 1, _EARLIER)
+    return _order_rows(spark, sf_dir, "0001-01-01", "1999-12-31", "o_orderstatus", 1, _EARLIER)
 
 
 def _batch(spark, sf_dir):
-    return _order_rows(spark, sf_dir, "1999-07-01", "2010-12-31", "concat(o_orderstatus, '+')", 2, _LATER)
+    return _order_rows(spark, sf_dir, "1999-07-01", "9999-12-30", "concat(o_orderstatus, '+')", 2, _LATER)
 
 
 _KEYED = """
@@ -102,7 +102,7 @@ def full_load(spark, sf_dir):
     target.full_load(source(spark, sf_dir, "supplier", "s_suppkey AS dwid", "upper(s_name) AS s_name",
                             "0D AS s_acctbal"))
     target.full_load(source(spark, sf_dir, "supplier", "s_suppkey AS dwid", "s_name", "s_acctbal"))
-    target.expire(keep=1)
+    target.expire(keep=1, seconds=0)
     return target.read()
 
 
@@ -158,3 +158,24 @@ def business_quarter_query(spark, sf_dir):
     return (lines.groupBy(business_quarter(F.month("l_shipdate")).alias("quarter"))
             .agg(F.count(F.lit(1)).alias("lines"),
                  F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")))
+
+
+@query("catalog_after_expiry", """
+    SELECT c_custkey, CASE WHEN c_custkey IN (1, 2) THEN 'new' ELSE c_name END AS c_name FROM customer""")
+def catalog_after_expiry(spark, sf_dir):
+    """A view registered before its table was changed and expired still returns all of its rows."""
+    base = scratch_path(spark, "catalog")
+    database = "tierline_" + base[-8:]
+    target = SnapshotTable(spark, f"{base}/customer", key="c_custkey", slice_by=hash_slices(4, "c_custkey"))
+    rows = source(spark, sf_dir, "customer", "c_custkey", "c_name")
+    target.full_load(rows)
+    for key in (1, 2):
+        target.upsert(rows.filter(F.col("c_custkey") == key).withColumn("c_name", F.lit("new")))
+        target.expire(seconds=0)
+    target.register(database, "customer", f"{base}/database")
+    for key in (3, 4):
+        target.upsert(rows.filter(F.col("c_custkey") == key).withColumn("c_name", F.lit("later")))
+        target.expire(seconds=0)
+    result = spark.sql(f"SELECT c_custkey, c_name FROM {database}.customer")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return result

@@ -14,7 +14,7 @@ from tierline.plans.parameters import FULL_LOAD, INCREMENTAL_LOAD
 from tierline.queries.registry import AS_OF, RUN_ID, given, query, source
 from tierline.session import scratch_path
 from tierline.sources.bronze import write_bronze
-from tierline.sources.snapshots import epoch_slices, hash_slices
+from tierline.sources.snapshots import date_slices, hash_slices
 
 _ORDERS = table(
     "orders", dated_key("o_orderkey"), integer("o_orderkey"),
@@ -84,7 +84,7 @@ def silver_orders_incremental(spark, sf_dir):
         write_bronze(rows.withColumn("o_orderstatus", F.expr(status)), f"{base}/bronze", run, "orders")
         stored = load_silver_table(
             spark, _ORDERS, f"{base}/bronze", f"{base}/silver", f"{base}/rejected", run, load_type,
-            AS_OF, epoch_slices(days=36500))
+            AS_OF, date_slices(days=36500))
     return stored.read()
 
 

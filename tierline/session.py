@@ -5,14 +5,16 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 from tierline import files
 
-#: Target bytes per shuffle partition, and the most partitions one shuffle should have.
+#: Target bytes per shuffle partition.
 SHUFFLE_PARTITION_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
+_SHUFFLES = "spark.sql.shuffle.partitions"
 
 
 def build_session(app_name: str = "tierline", master: str | None = None,
@@ -20,13 +22,15 @@ def build_session(app_name: str = "tierline", master: str | None = None,
     """A session with the settings the jobs rely on.
 
     Surrogate keys hold epoch seconds of a date, so the time zone is pinned.
-    ANSI mode stays as the session has it: all casts here are ``try_`` forms.
+    ANSI mode is off, as mapping expressions expect; in another session the
+    transform step resolves them that way, and all casts here are ``try_`` forms.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     pinned = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -40,18 +44,25 @@ def build_session(app_name: str = "tierline", master: str | None = None,
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Raise the shuffle partition count to suit the bytes below ``paths``.
+def wanted_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Shuffle partitions to suit the bytes below ``paths``, at least as many as the session has.
 
-    Only ever raises it; adaptive execution joins partitions that stay small.
-    Parquet is about three times smaller than the rows that are shuffled.
+    Parquet is about three times smaller than the rows that are shuffled;
+    adaptive execution joins partitions that stay small.
     """
     stored = sum(files.bytes_below(spark, p) for p in paths)
-    wanted = min(math.ceil(3 * stored / SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
-    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > present:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, present)
+    return max(math.ceil(3 * stored / SHUFFLE_PARTITION_BYTES), int(spark.conf.get(_SHUFFLES)))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *paths: str) -> Iterator[int]:
+    """Within, shuffles have partitions to suit ``paths``; the session's own number comes back after."""
+    before, wanted = spark.conf.get(_SHUFFLES), wanted_shuffles(spark, *paths)
+    spark.conf.set(_SHUFFLES, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(_SHUFFLES, before)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ import logging
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tierline import files
 from tierline.operators.clean import column_types, quoted
@@ -56,6 +56,25 @@ def discover(spark: SparkSession, landing: str) -> dict[str, str]:
     return found
 
 
+#: Holds the text of a line that is no JSON; all other columns of such a row are null.
+CORRUPT = "_corrupt_record"
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Good rows, and the lines that could not be parsed if the scan keeps them."""
+    if CORRUPT not in df.columns:
+        return df, None
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull())
+
+
+def with_corrupt(schema: StructType | str | None) -> StructType | None:
+    """A schema that also keeps the lines which cannot be parsed."""
+    if schema is None:
+        return None
+    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return schema if CORRUPT in schema.names else StructType([*schema.fields, StructField(CORRUPT, StringType())])
+
+
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
               multi_line: bool = False) -> DataFrame:
     """Scan JSON lines (or one array per line); types are inferred without a schema.
@@ -107,8 +126,9 @@ def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
                  schema: StructType | str | None = None) -> None:
     """Write each table of the documents to ``<landing>/<folder>/<table>.json``.
 
-    With a ``window`` (first and last day) rows outside it are not landed;
-    that needs rows with a ``date``, text payloads are landed as they come.
+    With a ``window`` (first and last day) rows outside it are not landed. All rows
+    need a ``date`` then, also those of a list delivered as JSON text, which is
+    landed as a line per row; without a window such text is landed as it comes.
     The documents are parsed once into a columnar copy, of which each table
     then reads its own column. ``schema`` saves the pass that infers types.
     """
@@ -118,17 +138,36 @@ def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
         payload = spark.read.parquet(copy)
         for name in tables:
             rows = payload_table(payload, name)
-            if window and "date" in rows.columns:
-                rows = fact_window(rows, window[1], window[0], backfill="1")
+            as_text = isinstance(payload.schema[name].dataType, StringType)
+            if window:
+                rows = _text_rows(rows, name) if as_text else rows
+                if "date" not in rows.columns and payload_has_rows(rows):
+                    raise ValueError(f"Table {name!r} has no date, but a window of dates is asked for")
+                if "date" in rows.columns:
+                    rows = fact_window(rows, window[1], window[0], backfill="1")
             path = f"{landing}/{folder}/{name}.json"
-            if isinstance(payload.schema[name].dataType, StringType):
-                rows.write.mode("overwrite").text(path)
+            if as_text:
+                rows.select("value").write.mode("overwrite").text(path)
             else:
                 write_json(rows, path)
     finally:
         files.delete(spark, copy)
 
 
+def payload_has_rows(rows: DataFrame) -> bool:
+    return not rows.isEmpty()
+
+
+def _text_rows(texts: DataFrame, name: str) -> DataFrame:
+    """JSON text of a list of rows: a line per row, and its date."""
+    lists = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    rows = texts.select(F.explode(lists).alias("value")).select(
+        "value", F.get_json_object("value", "$.date").alias("date"))
+    if not rows.filter("date IS NULL").isEmpty():
+        raise ValueError(f"Table {name!r} has rows without a date, but a window of dates is asked for")
+    return rows
+
+
 def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
                 backfill: str = "0", column: str = "date") -> DataFrame:
     """Rows from ``start_date`` to ``input_date``, both included.

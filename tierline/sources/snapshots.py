@@ -2,15 +2,17 @@
 
 Layout below the table's root::
 
-    data/version_no=<n>/slice_no=<k>/part-*.parquet
+    data/version_no=<n>-<writer>/slice_no=<k>/part-*.parquet
     _manifests/<n>.json            which version folders make up each slice
+    _registered/<name>.json        which version a catalog view shows
 
 A slice is a function of the key, so a key never moves between slices. An
 upsert reads the key column of the slices its batch falls into, rewrites those
 that hold a matching key and adds a folder to those that do not. All other
 slices are neither read nor written. A version becomes visible when its
-manifest appears, and readers of the older one are not disturbed. One writer
-per table is assumed.
+manifest appears, and readers of the older one are not disturbed. Each write has
+a folder of its own; of two writers that start from the same version one
+publishes, the other fails with :class:`FileExistsError` and may try again.
 
 Where the catalog has a format with row-level operations, use
 :func:`merge_into` and leave storage to that format.
@@ -20,9 +22,11 @@ from __future__ import annotations
 
 import json
 import logging
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tierline import files
 from tierline.mapping import KEY
@@ -33,16 +37,25 @@ logger = logging.getLogger(__name__)
 
 SLICE, VERSION = "slice_no", "version_no"
 NULL_SLICE = -1
-#: Limits of the manifest: slices per table, and folders of one slice before it is rewritten.
-MAX_SLICES = 4096
-MAX_FOLDERS = 16
+#: Folders of one slice from which :meth:`SnapshotTable.compact` rewrites it.
+CROWDED = 16
+#: Slices that epochs are folded into, and seconds an unused version stays for its readers.
+EPOCH_SLICES = 4096
+KEEP_SECONDS = 7 * 86400
 #: Parquet bytes of a batch, all columns, up to which its distinct keys are broadcast.
 BROADCAST_BYTES = 8 << 20
 
 
 def hash_slices(count: int, key: str = KEY) -> str:
     """Slice expression for dimensions: keys spread evenly."""
-    return f"pmod(xxhash64({key}), {min(count, MAX_SLICES)})"
+    if count < 1:
+        raise ValueError(f"A table has at least one slice, not {count}")
+    return f"pmod(xxhash64({key}), {count})"
+
+
+def date_slices(days: int = 30, column: str = "date") -> str:
+    """Slice expression for facts by a date their key begins with; all slices span ``days`` days."""
+    return f"cast(floor(unix_date({column}) / {days}) AS int)"
 
 
 def epoch_slices(days: int = 30, key: str = KEY) -> str:
@@ -53,7 +66,7 @@ def epoch_slices(days: int = 30, key: str = KEY) -> str:
     dates have nine digits in all and get slices a tenth as long.
     """
     prefix = f"try_cast(substring(cast({key} AS string), 1, 9) AS bigint)"
-    return f"pmod(floor({prefix} / {8640 * days}), {MAX_SLICES})"
+    return f"pmod(floor({prefix} / {8640 * days}), {EPOCH_SLICES})"
 
 
 ONE_SLICE = "0"
@@ -82,8 +95,13 @@ class SnapshotTable:
         return json.loads(files.read_text(
             self.spark, f"{self.root}/_manifests/{version:012d}.json"))
 
+    def _next(self) -> tuple[int, str]:
+        """The next version's number and the folder of this write."""
+        version = (self.versions() or [0])[-1] + 1
+        return version, f"{version:012d}-{uuid.uuid4().hex}"
+
     def _publish(self, version: int, schema: StructType, slice_by: str,
-                 slices: dict[str, list[int]]) -> int:
+                 slices: dict[str, list[str]]) -> int:
         files.publish_text(
             self.spark, f"{self.root}/_manifests/{version:012d}.json",
             json.dumps({"version": version, "key": self.key, "slice_by": slice_by,
@@ -92,7 +110,7 @@ class SnapshotTable:
 
     # -- reading -----------------------------------------------------------
 
-    def _folders(self, slices: dict[str, list[int]]) -> list[str]:
+    def _folders(self, slices: dict[str, list[str]]) -> list[str]:
         return [f"{self.root}/data/{VERSION}={v}/{SLICE}={s}"
                 for s, versions in sorted(slices.items()) for v in versions]
 
@@ -100,7 +118,7 @@ class SnapshotTable:
         """Rows of the chosen slices, with the slice number."""
         schema = StructType.fromJson(manifest["schema"])
         chosen = {s: v for s, v in manifest["slices"].items() if only is None or s in only}
-        wide = StructType(schema.fields).add(VERSION, LongType()).add(SLICE, IntegerType())
+        wide = StructType(schema.fields).add(VERSION, StringType()).add(SLICE, IntegerType())
         if not chosen:
             return self.spark.createDataFrame([], wide).drop(VERSION)
         return (self.spark.read.schema(wide)
@@ -110,33 +128,39 @@ class SnapshotTable:
     def read(self, version: int | None = None) -> DataFrame:
         return self._read(self.manifest(version)).drop(SLICE)
 
+    def read_key(self, value: str | int) -> DataFrame:
+        """The rows of one key; only its slice is read."""
+        manifest = self.manifest()
+        kind = StructType.fromJson(manifest["schema"])[self.key].dataType
+        one = self.spark.range(1).select(F.lit(value).cast(kind).alias(self.key))
+        number = self._sliced(one, manifest["slice_by"]).first()[SLICE]
+        return self._read(manifest, {str(number)}).drop(SLICE).filter(F.col(self.key) == F.lit(value))
+
     # -- writing -----------------------------------------------------------
 
     def _sliced(self, df: DataFrame, slice_by: str) -> DataFrame:
         number = F.coalesce(F.expr(slice_by), F.lit(NULL_SLICE)).cast("int")
         return df.withColumn(SLICE, number)
 
-    def _write(self, sliced: DataFrame, version: int, slice_by: str) -> None:
-        folder = f"{self.root}/data/{VERSION}={version}"
+    def _write(self, sliced: DataFrame, writer: str, slice_by: str) -> None:
+        folder = f"{self.root}/data/{VERSION}={writer}"
         if slice_by == ONE_SLICE:
-            sliced.drop(SLICE).write.mode("overwrite").parquet(f"{folder}/{SLICE}=0")
+            sliced.drop(SLICE).write.parquet(f"{folder}/{SLICE}=0")
         else:
             # Gathers each slice into few files and splits slices that are too big.
-            # Static mode, whatever the session's: leftovers of a broken write must go.
-            (sliced.hint("rebalance", SLICE).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy(SLICE).parquet(folder))
+            sliced.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(folder)
 
-    def _written_slices(self, version: int) -> list[str]:
+    def _written_slices(self, writer: str) -> list[str]:
         names = (p.rsplit("/", 1)[-1] for p, folder in
-                 files.children(self.spark, f"{self.root}/data/{VERSION}={version}") if folder)
+                 files.children(self.spark, f"{self.root}/data/{VERSION}={writer}") if folder)
         return [n.split("=", 1)[1] for n in names if n.startswith(f"{SLICE}=")]
 
     def full_load(self, df: DataFrame) -> int:
         """Replace the table by ``df``; the old version stays whole until then."""
-        version = (self.versions() or [0])[-1] + 1
-        self._write(self._sliced(df, self._slice_by), version, self._slice_by)
+        version, writer = self._next()
+        self._write(self._sliced(df, self._slice_by), writer, self._slice_by)
         return self._publish(version, df.schema, self._slice_by,
-                             {s: [version] for s in self._written_slices(version)})
+                             {s: [writer] for s in self._written_slices(writer)})
 
     def upsert(self, batch: DataFrame, stored_at: str | None = None,
                unique_keys: bool = False) -> int:
@@ -182,40 +206,58 @@ class SnapshotTable:
         if matching and not unique_keys:
             upsert.check_conflicts(batch, matched, key)
 
-        crowded = {s for s in touched if len(manifest["slices"].get(s, ())) >= MAX_FOLDERS}
-        rewritten = matching | crowded
         rows = upsert.new_rows(batch, matched, key)
-        if rewritten:
+        if matching:
             rows = upsert.updated_rows(
-                self._read(manifest, rewritten),
-                batch.filter(F.col(SLICE).isin(*map(int, rewritten))), key).unionByName(rows)
-        version = self.versions()[-1] + 1
-        self._write(rows, version, slice_by)
-
+                self._read(manifest, matching),
+                batch.filter(F.col(SLICE).isin(*map(int, matching))), key).unionByName(rows)
+        writer = self._next()[1]
+        self._write(rows, writer, slice_by)
+        return self._replace(manifest, writer, matching)
+
+    def _replace(self, manifest: dict, writer: str, rewritten: set[str]) -> int:
+        """Publish the version after ``manifest``: a write replaces some slices and adds to others."""
         slices = dict(manifest["slices"])
-        for s in self._written_slices(version):
-            slices[s] = [version] if s in rewritten else slices.get(s, []) + [version]
-        return self._publish(version, schema, slice_by, slices)
+        for s in self._written_slices(writer):
+            slices[s] = [writer] if s in rewritten else slices.get(s, []) + [writer]
+        return self._publish(manifest["version"] + 1, StructType.fromJson(manifest["schema"]),
+                             manifest["slice_by"], slices)
+
+    def compact(self, crowded: int = CROWDED) -> int:
+        """Rewrite the slices that lie in ``crowded`` folders or more; a new version if there are any."""
+        manifest = self.manifest()
+        chosen = {s for s, writes in manifest["slices"].items() if len(writes) >= crowded}
+        if not chosen:
+            return manifest["version"]
+        writer = self._next()[1]
+        self._write(self._read(manifest, chosen), writer, manifest["slice_by"])
+        return self._replace(manifest, writer, chosen)
 
     def _slice_numbers(self, sliced: DataFrame) -> dict[str, int]:
         """The slices that occur, each with its number of rows without a key."""
         without_key = F.count_if(F.col(self.key).isNull())
-        rows = sliced.groupBy(SLICE).agg(without_key).take(MAX_SLICES + 2)
-        if len(rows) > MAX_SLICES + 1:
-            raise ValueError(f"{self.root}: more than {MAX_SLICES} slices; widen slice_by")
-        return {str(number): count for number, count in rows}
+        return {str(number): count for number, count in sliced.groupBy(SLICE).agg(without_key).collect()}
 
-    def expire(self, keep: int = 2) -> None:
-        """Remove all manifests but the last ``keep``, and folders none of those uses."""
+    def expire(self, keep: int = 1, seconds: float = KEEP_SECONDS) -> None:
+        """Remove versions nobody should read any more, and folders none of the others uses.
+
+        The last ``keep`` versions stay, those younger than ``seconds``, and any
+        that a catalog view shows. Writes in progress are younger than that, too;
+        what broken ones leave goes when it is older.
+        """
+        oldest = time.time() - seconds
         versions = self.versions()
-        kept = versions[-keep:]
-        used = {folder for v in kept for folder in self._folders(self.manifest(v)["slices"])}
-        for version in versions[:-keep]:
+        shown = {json.loads(files.read_text(self.spark, p))["version"]
+                 for p, _ in files.children(self.spark, f"{self.root}/_registered") if p.endswith(".json")}
+        gone = [v for v in versions[:-keep] if v not in shown
+                and files.modified(self.spark, f"{self.root}/_manifests/{v:012d}.json") <= oldest]
+        used = {folder for v in versions if v not in gone for folder in self._folders(self.manifest(v)["slices"])}
+        for version in gone:
             files.delete(self.spark, f"{self.root}/_manifests/{version:012d}.json")
         for path, _ in files.children(self.spark, f"{self.root}/data"):
             name = path.rsplit("/", 1)[-1]
-            if int(name.split("=")[1]) > kept[-1]:
-                continue  # a write in progress, or one that broke off
+            if int(name.split("=")[1].split("-")[0]) > versions[-1] or files.modified(self.spark, path) > oldest:
+                continue  # a write in progress, or a reader may still hold it
             slices = [p.rsplit("/", 1)[-1] for p, folder in files.children(self.spark, path) if folder]
             unused = [s for s in slices if f"{self.root}/data/{name}/{s}" not in used]
             if len(unused) == len(slices):
@@ -229,28 +271,26 @@ class SnapshotTable:
     def register(self, database: str, name: str, location: str | None = None) -> str:
         """Make the current version readable by SQL as ``database.name``.
 
-        A view over exactly the manifest's folders: replacing it switches all
-        later queries at once, and it shows the table's own columns only.
+        A view over exactly the manifest's folders, each named: one that is
+        missing makes a query fail instead of returning fewer rows. The version
+        is noted, so :meth:`expire` leaves it alone until another is registered.
         """
         place = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
         manifest = self.manifest()
-        columns = ", ".join(f"`{f['name']}`" for f in manifest["schema"]["fields"])
-        folders: dict[int, list[str]] = {}
-        for s, versions in sorted(manifest["slices"].items()):
-            for v in versions:
-                folders.setdefault(v, []).append(s)
-        if folders:
-            parts = ",".join(f"{VERSION}={v}/{SLICE}={{{','.join(s)}}}"
-                             for v, s in sorted(folders.items()))
-            source = f"parquet.`{self.root}/data/{{{parts}}}`"
-        else:
-            fields = StructType.fromJson(manifest["schema"])
-            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                              for f in fields)
-            source = f"(SELECT {nulls}) WHERE false"
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT {columns} FROM {source}")
+        fields = StructType.fromJson(manifest["schema"])
+        columns = ", ".join(f"`{f.name}`" for f in fields)
+        source = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{folder}`"
+                                    for folder in self._folders(manifest["slices"]))
+        if not source:
+            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+            source = f"SELECT {nulls} WHERE false"
+        note = f"{self.root}/_registered/{database}.{name}.json"
+        # Noted before the view changes: between the two the older version is still the view's.
+        files.replace_text(self.spark, f"{note}.next.json", json.dumps({"version": manifest["version"]}))
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {source}")
+        files.replace_text(self.spark, note, json.dumps({"version": manifest["version"]}))
+        files.delete(self.spark, f"{note}.next.json")
         return f"{database}.{name}"
 
 
