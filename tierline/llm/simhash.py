@@ -10,6 +10,11 @@ whole with numpy exclusive-or and bit counts. Of the links inside a pair of
 blocks a spanning forest is kept: the components are the same, and a large
 group of near copies never becomes all its pairs.
 
+Removal of near copies (:func:`near_copies`) uses five-word shingles and a similarity
+of 0.8: fingerprints of 128 bits that differ in at most ``WIDE_RADIUS`` make groups
+of candidates by the same tiles, and shingle sets decide. At that radius population
+counts skip little, so the comparisons grow with the square of the texts.
+
 Defined results: a null text is empty; empty texts have fingerprint zero and
 link like any other; rows that share an id are one document for the links; rows
 without an id get a fingerprint but take no part in linking (null component).
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
@@ -81,12 +87,19 @@ def tile_offsets(radius: int) -> list[int]:
 
 
 def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[int, int]]:
-    """Positions (i, j) of links between two blocks that keep their components."""
+    """Positions (i, j) of links between two blocks that keep their components.
+
+    A row of a block is a fingerprint, of one 64-bit word or several.
+    """
+    a, b = a.reshape(len(a), -1), b.reshape(len(b), -1)
     root, links = np.arange(len(b)), []
     strip = max(1, _STRIP // max(1, len(b)))
     for at in range(0, len(a), strip):
-        near = np.bitwise_count(a[at:at + strip, None] ^ b[None, :]) <= radius
-        for k in np.flatnonzero(near.sum(axis=1) > (1 if same else 0)):
+        differing = np.bitwise_count(a[at:at + strip, None, 0] ^ b[None, :, 0])
+        for word in range(1, a.shape[1]):
+            differing += np.bitwise_count(a[at:at + strip, None, word] ^ b[None, :, word])
+        near = differing <= radius
+        for k in np.flatnonzero(near.sum(axis=1) > 1 if same else near.any(axis=1)):
             i, hits = at + int(k), np.flatnonzero(near[k])
             roots, first = np.unique(root[hits], return_index=True)
             own = root[i] if same else -1
@@ -150,8 +163,127 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+#: For removal: words per shingle, similarity of the shingle sets, bits of the fingerprints that may differ.
+NEAR_WORDS, SIMILARITY, WIDE_RADIUS = 5, 0.8, 27
+
+
+def wide_fingerprint(text: str, words: int = NEAR_WORDS) -> tuple[int, int]:
+    """A fingerprint of 128 bits, as two signed numbers; see :func:`fingerprint`."""
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return 0, 0
+    joined = b" ".join(found)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    spans = max(1, len(found) - words + 1)
+    starts, ends = starts[:spans].tolist(), ends[min(words, len(found)) - 1:].tolist()
+    counts, digest = np.zeros(128, np.int64), xxhash.xxh3_128_digest
+    for at in range(0, spans, _HASHED):
+        hashes = b"".join([digest(joined[s:e]) for s, e in zip(starts[at:at + _HASHED], ends[at:at + _HASHED])])
+        counts += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 16), axis=1).sum(axis=0, dtype=np.int64)
+    high, low = np.packbits(2 * counts > spans).view(np.int64).tolist()
+    return high, low
+
+
+def shingles(text: str, words: int = NEAR_WORDS) -> set[bytes]:
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    return {b" ".join(found[i:i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = [wide_fingerprint(t.as_py()) for t in batch.column(1)]
+        columns = [pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "high", "low"])
+
+
+def _compare_wide(radius: int):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(row, prefix):
+            return np.stack([np.asarray(row[f"{prefix}{n}"], np.int64) for n in ("high", "low")], axis=1).view(np.uint64)
+
+        for batch in batches:
+            left, right = [], []
+            for row in batch.to_pylist():
+                for i, j in forest(block(row, ""), block(row, "other_"), row["same"], radius):
+                    left.append(row["ids"][i])
+                    right.append(row["other_ids"][j])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+    return compare
+
+
+def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, block: int = BLOCK) -> DataFrame:
+    """Links between ids of distinct wide fingerprints (high, low, least) that give their components.
+
+    A tile holds the fingerprints of one population count, of which there are 129.
+    """
+    tiled = distinct.withColumn("tile", F.bit_count("high") + F.bit_count("low"))
+    sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / block).alias("parts"))
+    blocks = stored(
+        tiled.join(F.broadcast(sizes), "tile").withColumn("part", F.pmod(F.xxhash64("high", "low"), "parts"))
+        .groupBy("tile", "part").agg(F.collect_list(F.struct("high", "low", "least")).alias("rows"))
+        .select("tile", "part", "rows.high", "rows.low", F.col("rows.least").alias("ids")), "wide-tiles")
+    left = blocks.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(radius)))).withColumn("near", F.col("tile") + F.col("step"))
+    right = blocks.select(F.col("tile").alias("near"), F.col("part").alias("other_part"), F.col("high").alias("other_high"),
+                          F.col("low").alias("other_low"), F.col("ids").alias("other_ids"))
+    pairs = (left.join(right, "near").filter("step <> 0 OR part <= other_part")
+             .select("high", "low", "ids", F.expr("step = 0 AND part = other_part").alias("same"),
+                     "other_high", "other_low", "other_ids"))
+    return pairs.mapInArrow(_compare_wide(radius), "a long, b long")
+
+
+def _similar(similarity: float):
+    @F.arrow_udf("boolean")
+    def similar(texts: pa.Array, leaders: pa.Array) -> pa.Array:
+        out, last, known = [], None, set()
+        for text, leader in zip(texts, leaders):
+            text, leader = text.as_py(), leader.as_py()
+            if leader != last:
+                last, known = leader, shingles(leader)
+            own = shingles(text)
+            out.append(len(own & known) >= similarity * len(own | known))
+        return pa.array(out, pa.bool_())
+    return similar
+
+
+def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                similarity: float = SIMILARITY) -> DataFrame:
+    """Ids of documents whose five-word shingles are similar enough to those of an earlier one that stays.
+
+    Wide fingerprints are compared in tiles like the others and give groups of
+    candidates. In each group the smallest id leads; documents similar to it are
+    near copies, and the rest of the group starts again without it, until nothing
+    is left. A document meets leaders only, never all of its group.
+    """
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text")).filter(
+        "doc_id IS NOT NULL")
+    rows = stored(texts.mapInArrow(_wide, "doc_id long, high long, low long"), "wide-fingerprints")
+    distinct = stored(rows.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "wide-distinct")
+    groups = connected_components(wide_links(distinct))
+    named = stored(distinct.join(groups, distinct["least"] == groups["node"], "left").filter("n > 1 OR component IS NOT NULL")
+                   .select("high", "low", F.coalesce("component", "least").alias("group")), "wide-groups")
+    members = rows.join(named, ["high", "low"]).groupBy("doc_id").agg(F.min("group").alias("group"))
+    waiting, rounds = texts.join(members, "doc_id"), []
+    while True:
+        waiting = stored(waiting, "candidates")
+        leaders = stored(waiting.groupBy("group").agg(F.min(F.struct("doc_id", "text")).alias("leader")), "leaders")
+        # Waiting documents are the left side: a large group can be split.
+        judged = stored(waiting.join(leaders, "group").filter("doc_id <> leader.doc_id").select(
+            "doc_id", "text", "group", _similar(similarity)("text", F.col("leader.text")).alias("similar")), "judged")
+        rounds.append(judged.filter("similar").select("doc_id"))
+        waiting = judged.filter("NOT similar").select("doc_id", "text", "group")
+        if waiting.isEmpty():
+            break
+    found = rounds[0]
+    for more in rounds[1:]:
+        found = found.unionByName(more)
+    return found.distinct()
+
+
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each group, and rows without an id."""
-    gone = (near_duplicates(docs, id_column, text_column)
-            .filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
+    """``docs`` without its near copies; rows without an id stay.
+
+    Each near copy is at least ``SIMILARITY`` like a document of a smaller id that stays.
+    """
+    gone = near_copies(docs, id_column, text_column).select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, F.col(f"`{id_column}`") == F.col("__gone"), "left_anti")
