@@ -73,14 +73,20 @@ def test_empty_table(documents, spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("units_")]
 
 
-def test_window_names_agree_exactly_on_equal_windows():
+@pytest.mark.parametrize("block", [50, 1 << 14])
+def test_window_names_agree_exactly_on_equal_windows(monkeypatch, block):
+    monkeypatch.setattr(substrings, "_BLOCK", block)
     rng = np.random.default_rng(18)
     data = rng.integers(0, 2, 3000).astype(np.uint8)
-    for length, names in zip((1, 7, 44, 100), substrings.window_names(data, 1, 7, 44, 100)):
+    whole, half = substrings.doubled_names(data, 64, 32)
+    for length, size, names in ((64, 64, whole), (32, 32, half), (44, 32, half), (100, 64, whole)):
+        if length != size:
+            names = substrings.window_names(names, size, np.arange(len(data) - length + 1), length)
         by_window = {}
         for i, name in enumerate(names.tolist()):
             assert by_window.setdefault(bytes(data[i:i + length]), name) == name
         assert len(set(by_window.values())) == len(by_window) and len(names) == 3001 - length
+    assert all(len(n) == 0 for n in substrings.doubled_names(data[:20], 32, 64))
 
 
 def test_numbers_survive_their_planes():

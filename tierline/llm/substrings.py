@@ -60,30 +60,47 @@ _U64 = np.uint64
 _A, _B, _C = _U64(0x9E3779B97F4A7C15), _U64(0xC2B2AE3D27D4EB4F), _U64(0x165667B19E3779F9)
 
 
-def _mix(a: np.ndarray, b) -> np.ndarray:
-    x = a * _A + b * _B
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * _A
+    x += b
     x ^= x >> _U64(29)
     x *= _C
-    x ^= x >> _U64(32)
     return x
 
 
-def window_names(data: np.ndarray, *lengths: int) -> list[np.ndarray]:
-    """For each length, a 64-bit name of the window of that length at every place of ``data``.
+def _settled(x: np.ndarray) -> np.ndarray:
+    """The same name with all its bits depending on all of its window."""
+    x = (x ^ (x >> _U64(32))) * _B
+    return x ^ (x >> _U64(29))
 
-    Windows double; a length between two powers is the pair of the windows at its ends.
-    """
+
+#: Places whose windows are named together, so that the work stays in the processor's cache.
+_BLOCK = 1 << 14
+
+
+def doubled_names(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """For each size, a power of two, a name of the window of that size at every place of ``data``."""
     table = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-    level, size, out = table[data], 1, {}
-    while True:
-        for length in lengths:
-            if size <= length < 2 * size and len(data) >= length:
-                shift = length - size
-                places = len(data) - length + 1
-                out[length] = _mix(level[:places], level[shift:shift + places] + _U64(length))
-        if 2 * size > max(lengths) or len(level) <= size:
-            return [out.get(n, np.empty(0, np.uint64)) for n in lengths]
-        level, size = _mix(level[:-size], level[size:]), 2 * size
+    out = [np.zeros(max(0, len(data) - n + 1), np.uint64) for n in sizes]
+    for start in range(0, len(data), _BLOCK):
+        level, size = table[data[start:start + _BLOCK + max(sizes) - 1]], 1
+        while len(level):
+            for names, n in zip(out, sizes):
+                if n == size:
+                    part = level[:min(_BLOCK, len(names) - start)]
+                    names[start:start + len(part)] = part
+            if size == max(sizes):
+                break
+            level, size = _mix(level[:-size], level[size:]), 2 * size
+    return out
+
+
+def window_names(doubled: np.ndarray, size: int, places: np.ndarray, length: int) -> np.ndarray:
+    """Names of the windows of ``length`` (from ``size`` to twice that) at some places.
+
+    Such a window is the pair of the windows of ``size`` at its ends.
+    """
+    return _settled(_mix(doubled[places], doubled[places + (length - size)] + _U64(length)))
 
 
 class Unit:
@@ -98,17 +115,16 @@ class Unit:
         top = np.iinfo(np.int64).max
         self.doc_ids = np.array([top if d is None else d for d in doc_ids], np.int64)
         short = LENGTH - PERIOD + 1
-        self.names, self.full = window_names(self.data, short, LENGTH)
-        if not windows:
-            self.full = self.full[:0]
-        offset = np.arange(len(self.data)) - np.repeat(self.starts, self.lengths)
-        left = np.repeat(self.lengths, self.lengths) - offset
-        sampled = np.zeros(PERIOD, bool)
-        sampled[list(COVER)] = True
-        room = (left >= short) & (np.repeat(self.lengths, self.lengths) >= LENGTH)
-        self.at = np.flatnonzero(sampled[offset % PERIOD] & room)
-        self.doc = np.searchsorted(self.ends, self.at, side="right")
-        self.name = self.names[self.at] if len(self.at) else np.empty(0, np.uint64)
+        # Samples of the longest text; a shorter one has the first of them that leave room for a tuple.
+        longest = int(self.lengths.max(initial=0))
+        offsets = (np.arange(0, longest + PERIOD, PERIOD)[:, None] + np.array(COVER)).ravel()
+        counts = np.where(self.lengths >= LENGTH, np.searchsorted(offsets, self.lengths - short, side="right"), 0)
+        self.doc = np.repeat(np.arange(len(self.lengths)), counts)
+        self.at = (np.concatenate([np.empty(0, np.int64), *(offsets[:n] for n in counts.tolist())])
+                   + np.repeat(self.starts, counts)).astype(np.int64)
+        halves = doubled_names(self.data, 32, 64) if windows else doubled_names(self.data, 32)
+        self.halves = halves[-1]
+        self.name = window_names(halves[0], 32, self.at, short)
         self.unique, self.inverse, counts = np.unique(self.name, return_inverse=True, return_counts=True)
         self.local = counts > 1
 
@@ -127,7 +143,8 @@ class Unit:
         at, doc = self.at[chosen], self.doc[chosen]
         first = np.maximum(at - PERIOD + 1, self.starts[doc])
         last = np.minimum(at, self.ends[doc] - LENGTH)
-        context = _mix(self.full[first], self.full[last] + ((at - first) * 256 + (last - first)).astype(np.uint64))
+        ends = [window_names(self.halves, 64, places, LENGTH) for places in (first, last)]
+        context = _settled(_mix(ends[0], ends[1] + ((at - first) * 256 + (last - first)).astype(np.uint64)))
         name, offset, ids = self.name[chosen], at - self.starts[doc], self.doc_ids[doc]
         order = np.lexsort((doc, offset, ids, context, name))
         self.first, self.last = first[order], last[order]
