@@ -22,6 +22,8 @@ from tierline.llm.common import stored, whole_text
 
 #: Cosine from which a notice counts.
 THRESHOLD = 0.6
+#: Into how many keys a directory's files are dealt for the join with its licence.
+SALTS = 32
 #: What a line must hold to be a header, and names of licence files (fixed values).
 MENTIONS = r"(?i)licen[sc]|copyright|spdx|public domain|rights reserved|creative commons|cc by"
 FILE_NAMES = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)[^/]*$"
@@ -106,7 +108,7 @@ def scan(files: DataFrame, id_column: str = "path", path: Column | None = None,
     whole = F.when(F.coalesce(named, F.lit(False)), F.array(F.struct(F.lit(-1).alias("line"), F.trim(text).alias("notice"))))
     none = F.array().cast("array<struct<line:int,notice:string>>")
     rows = stored(files.select(
-        F.monotonically_increasing_id().alias("tag"), F.col(id_column).alias(id_column), path.alias("file"),
+        F.monotonically_increasing_id().alias("tag"), F.col(id_column).alias("id"), path.alias("file"),
         F.coalesce(named, F.lit(False)).alias("is_license"),
         F.concat(F.coalesce(whole, none), F.coalesce(headers, none)).alias("notices")), "notices")
     found = (rows.filter(F.size("notices") > 0).select("tag", "file", "is_license", F.explode("notices").alias("n"))
@@ -129,12 +131,15 @@ def scan(files: DataFrame, id_column: str = "path", path: Column | None = None,
                .join(given.withColumnRenamed("dir", "up"), "up")
                .groupBy("dir").agg(F.max(F.struct("depth", "origin", "given")).alias("near"))
                .select("dir", "near.origin", "near.given"))
-    # The rows are the left side: a directory with very many files can be split.
-    wide = (rows.withColumn("dir", directory(F.col("file"))).drop("notices", "is_license")
-            .join(own.drop("file"), "tag", "left").join(nearest, "dir", "left"))
+    # Salted, so the files of a directory that holds a third of all are dealt to many tasks.
+    salts = F.explode(F.array(*(F.lit(n) for n in range(SALTS)))).alias("salt")
+    wide = (rows.join(own.drop("file", "is_license"), "tag", "left")
+            .select("id", "file", "is_license", "license", "similarity", directory(F.col("file")).alias("dir"),
+                    F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int").alias("salt"))
+            .join(nearest.select("dir", "origin", "given", salts), ["dir", "salt"], "left"))
     inherits = F.col("license").isNull() & F.col("given").isNotNull()
     return wide.select(
-        id_column, F.col("file").alias("path"), F.coalesce("license", "given").alias("license"),
+        F.col("id").alias(id_column), F.col("file").alias("path"), F.coalesce("license", "given").alias("license"),
         F.when(F.col("license").isNotNull(), F.when(F.col("is_license"), "file").otherwise("header"))
         .when(inherits, "inherited").otherwise("none").alias("found"),
         "similarity", F.when(inherits, F.col("origin")).alias("origin"))
