@@ -52,6 +52,14 @@ def test_ids_that_repeat_and_short_vectors(spark):
     assert topk.top_k(frame(spark, [(1, [1.0], 0)])).count() == 0
 
 
+def test_a_repeated_query_row_gives_no_hit_twice(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CELLS", 1)  # all rows lie in the part of the query
+    rng = np.random.default_rng(12)
+    rows = [(100, [1.0, 0.5, 0.25])] * 3 + [(i, rng.normal(size=3).tolist()) for i in range(1, 41)]
+    assert found(topk.top_k(frame(spark, [(i, v, 0) for i, v in rows]))) == brute(rows)
+    assert found(topk.top_k(frame(spark, [(i, v, 0) for i, v in rows + rows[:1]]), k=50)) == brute(rows, 50)
+
+
 def test_cover_tree_covers_and_separates():
     rng = np.random.default_rng(9)
     tree = topk.CoverTree(np.concatenate([c + 0.05 * rng.normal(size=(60, 8)) for c in 5 * rng.normal(size=(5, 8))]))

@@ -254,8 +254,10 @@ def top_k(embeddings: DataFrame, k: int = 10, scale: int = 1024, query: str = "v
         "vec_id", "v", "is_query", "cell", F.pmod(F.xxhash64("vec_id", "away"), "parts").cast("int").alias("part"))
 
     own = stored(parts.groupBy("cell", "part").applyInArrow(_own(k), _FOUND), "own-parts")
-    asked = own.groupBy("query_id").agg(F.min(F.struct("v", "cell", "part", "bound")).alias("q")).select("query_id", "q.*")
-    targets = (asked.mapInArrow(_open_cells(centres, radii), "query_id long, v array<long>, cell int, part int, "
+    # One row per query: a row that repeats was asked as often as it stands there.
+    asked = own.groupBy("query_id").agg(F.min(F.struct("v", "cell", "part", "bound", "ids", "scores")).alias("q")).select(
+        "query_id", "q.*")
+    targets = (asked.select("query_id", "v", "cell", "part", "bound").mapInArrow(_open_cells(centres, radii), "query_id long, v array<long>, cell int, part int, "
                                 "bound long, cells array<int>")
                .select("query_id", "v", "bound", F.col("cell").alias("own_cell"), F.col("part").alias("own_part"),
                        F.explode("cells").alias("cell"))
@@ -269,8 +271,7 @@ def top_k(embeddings: DataFrame, k: int = 10, scale: int = 1024, query: str = "v
     key = ["cell", "part", "batch"]
     hits = targets.groupBy(*key).cogroup(data.groupBy(*key)).applyInArrow(
         _others(k), "query_id long, vec_id long, score long")
-    met = (asked.select("query_id", "v").join(own, ["query_id", "v"])
-           .select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
+    met = (asked.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
            .select("query_id", F.col("hit.ids").alias("vec_id"), F.col("hit.scores").alias("score")))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.unionByName(met).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
