@@ -108,6 +108,15 @@ def test_other_personal_kinds_need_checksum_or_context(documents, by_id):
     assert found[0].scores == "1.0" and found[2].scores == "0.6"
 
 
+def test_bank_accounts_end_at_the_length_of_their_country(documents, by_id):
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"IBAN {german} BIC COBADEFFXXX", f"IBAN {british} EUR 500", f"IBAN {german} {british} 7", f"IBAN {german.replace(' ', '')} 12",
+             f"IBAN {german}1", f"IBAN AB12 {german} USD", "IBAN NO93 8601 1117 947 NOK", "IBAN MT84 MALT 0110 0001 2345 MTLC AST0 01S SWIFT"]
+    found = by_id(pii.report(documents(*texts)))
+    assert [[s for s in found[i].spans.split(",") if s.startswith("iban")] for i in range(8)] == [
+        ["iban:5:32"], ["iban:5:32"], ["iban:5:32", "iban:33:60"], ["iban:5:27"], [], ["iban:10:37"], ["iban:5:23"], ["iban:5:43"]]
+
+
 @pytest.mark.parametrize("report", [secret_scan.report, pii.report])
 def test_rows_and_columns(documents, report):
     docs = documents((1, "a@b.cd"), (1, "a@b.cd"), (None, f"token={HEX}")).withColumns(

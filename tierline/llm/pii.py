@@ -73,8 +73,22 @@ BASE = [
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}+", (), _card),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", ("+",), _phone),
 ]
+#: Characters of a bank account number by country (fixed values), with the lengths in use in unregistered countries.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+_REGISTERED = "(?:" + "|".join(
+    rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}"
+    for length, countries in IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])"
+#: Other countries: any length, up to the next number of a known length.
+_UNREGISTERED = (rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}"
+                 rf"(?:(?!\x20{_REGISTERED})\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9])")
+
 OTHER = [
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", (), mod97),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_REGISTERED}|{_UNREGISTERED})", (), mod97),
     Kind("national_id", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", ("-",), _national),
 ]
 KINDS = [*BASE, *OTHER]
