@@ -132,3 +132,36 @@ def test_a_large_group_of_near_copies_leaves_one(documents):
     base = " ".join(f"w{i}" for i in range(300))
     texts = [base.replace(f"w{i} ", f"x{i} ", 1) for i in range(200)]
     assert [r.doc_id for r in simhash.deduplicate(documents(*texts)).collect()] == [0]
+
+
+def _words(rng, n):
+    return ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(n)]
+
+
+def _similarity(a, b):
+    a, b = simhash.shingles(a), simhash.shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def test_a_repeated_passage_makes_a_near_copy(documents):
+    rng, texts = random.Random(22), []
+    for times in (10, 50, 200):
+        base = _words(rng, 300)
+        copy = base[:120] + base[100:120] * times + base[120:]
+        texts += [" ".join(base), " ".join(copy)]
+        assert _similarity(*texts[-2:]) > 0.97
+    assert sorted(r.doc_id for r in simhash.deduplicate(documents(*texts)).collect()) == [0, 2, 4]
+
+
+def test_bands_find_pairs_of_the_least_similarity():
+    rng, pairs, missed = random.Random(23), 0, 0
+    while pairs < 500:
+        base = _words(rng, 300)
+        changed = list(base)
+        for k in rng.sample(range(300), 6):
+            changed[k] = "changed"
+        a, b = " ".join(base), " ".join(changed)
+        if 0.8 <= _similarity(a, b) <= 0.85:
+            pairs += 1
+            missed += not set(simhash.band_keys(a)) & set(simhash.band_keys(b))
+    assert missed == 0

@@ -10,10 +10,10 @@ whole with numpy exclusive-or and bit counts. Of the links inside a pair of
 blocks a spanning forest is kept: the components are the same, and a large
 group of near copies never becomes all its pairs.
 
-Removal of near copies (:func:`near_copies`) uses five-word shingles and a similarity
-of 0.8: fingerprints of 128 bits that differ in at most ``WIDE_RADIUS`` make groups
-of candidates by the same tiles, and shingle sets decide. At that radius population
-counts skip little, so the comparisons grow with the square of the texts.
+Removal of near copies (:func:`near_copies`) uses sets of five-word shingles and a
+similarity of 0.8. Texts that agree in a band of min-hashes are candidates, so the
+work grows with the texts and not with their square; shingle sets decide, and the
+verified links make the groups.
 
 Defined results: a null text is empty; empty texts have fingerprint zero and
 link like any other; rows that share an id are one document for the links; rows
@@ -163,26 +163,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-#: For removal: words per shingle, similarity of the shingle sets, bits of the fingerprints that may differ.
-NEAR_WORDS, SIMILARITY, WIDE_RADIUS = 5, 0.8, 27
-
-
-def wide_fingerprint(text: str, words: int = NEAR_WORDS) -> tuple[int, int]:
-    """A fingerprint of 128 bits, as two signed numbers; see :func:`fingerprint`."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return 0, 0
-    joined = b" ".join(found)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    spans = max(1, len(found) - words + 1)
-    starts, ends = starts[:spans].tolist(), ends[min(words, len(found)) - 1:].tolist()
-    counts, digest = np.zeros(128, np.int64), xxhash.xxh3_128_digest
-    for at in range(0, spans, _HASHED):
-        hashes = b"".join([digest(joined[s:e]) for s, e in zip(starts[at:at + _HASHED], ends[at:at + _HASHED])])
-        counts += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 16), axis=1).sum(axis=0, dtype=np.int64)
-    high, low = np.packbits(2 * counts > spans).view(np.int64).tolist()
-    return high, low
+#: For removal: words per shingle, similarity of the shingle sets.
+NEAR_WORDS, SIMILARITY = 5, 0.8
+#: Bands of a text and minima per band: at similarity 0.8 no band is equal in 0.5904 ** 20, one pair in 37,000.
+BANDS, BAND_ROWS = 20, 4
+_MIXED = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64, endpoint=False)
+_FACTORS, _SHIFTS = _MIXED[0] | np.uint64(1), _MIXED[1]
 
 
 def shingles(text: str, words: int = NEAR_WORDS) -> set[bytes]:
@@ -190,46 +176,21 @@ def shingles(text: str, words: int = NEAR_WORDS) -> set[bytes]:
     return {b" ".join(found[i:i + words]) for i in range(max(1, len(found) - words + 1))}
 
 
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = [wide_fingerprint(t.as_py()) for t in batch.column(1)]
-        columns = [pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "high", "low"])
-
-
-def _compare_wide(radius: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def block(row, prefix):
-            return np.stack([np.asarray(row[f"{prefix}{n}"], np.int64) for n in ("high", "low")], axis=1).view(np.uint64)
-
-        for batch in batches:
-            left, right = [], []
-            for row in batch.to_pylist():
-                for i, j in forest(block(row, ""), block(row, "other_"), row["same"], radius):
-                    left.append(row["ids"][i])
-                    right.append(row["other_ids"][j])
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-    return compare
-
+def band_keys(text: str) -> list[int]:
+    """A key for each band of the text's min-hashes; every distinct shingle counts once."""
+    distinct = shingles(text)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), _HASHED >> 4):
+        least = np.minimum(least, (hashes[at:at + (_HASHED >> 4)] * _FACTORS + _SHIFTS).min(axis=1))
+    keys = [xxhash.xxh3_64_intdigest(band.tobytes(), seed=n) for n, band in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
 
-def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, block: int = BLOCK) -> DataFrame:
-    """Links between ids of distinct wide fingerprints (high, low, least) that give their components.
 
-    A tile holds the fingerprints of one population count, of which there are 129.
-    """
-    tiled = distinct.withColumn("tile", F.bit_count("high") + F.bit_count("low"))
-    sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / block).alias("parts"))
-    blocks = stored(
-        tiled.join(F.broadcast(sizes), "tile").withColumn("part", F.pmod(F.xxhash64("high", "low"), "parts"))
-        .groupBy("tile", "part").agg(F.collect_list(F.struct("high", "low", "least")).alias("rows"))
-        .select("tile", "part", "rows.high", "rows.low", F.col("rows.least").alias("ids")), "wide-tiles")
-    left = blocks.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(radius)))).withColumn("near", F.col("tile") + F.col("step"))
-    right = blocks.select(F.col("tile").alias("near"), F.col("part").alias("other_part"), F.col("high").alias("other_high"),
-                          F.col("low").alias("other_low"), F.col("ids").alias("other_ids"))
-    pairs = (left.join(right, "near").filter("step <> 0 OR part <= other_part")
-             .select("high", "low", "ids", F.expr("step = 0 AND part = other_part").alias("same"),
-                     "other_high", "other_low", "other_ids"))
-    return pairs.mapInArrow(_compare_wide(radius), "a long, b long")
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [band_keys(t.as_py()) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["row", "bands"])
 
 
 def _similar(similarity: float):
@@ -246,44 +207,72 @@ def _similar(similarity: float):
     return similar
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                similarity: float = SIMILARITY) -> DataFrame:
-    """Ids of documents whose five-word shingles are similar enough to those of an earlier one that stays.
+def _judged(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) with ``similar``. They are the left side: a text in very many pairs can be split."""
+    one = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+    return stored(pairs.join(one, "a").join(other, "b").select(
+        "a", "b", _similar(similarity)("text_a", "text_b").alias("similar")), "judged")
+
+
+def near_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the rows (row, text) that are similar enough to another, by verified links only.
 
-    Wide fingerprints are compared in tiles like the others and give groups of
-    candidates. In each group the smallest id leads; documents similar to it are
-    near copies, and the rest of the group starts again without it, until nothing
-    is left. A document meets leaders only, never all of its group.
+    Rows with an equal band are candidates. Each is first judged against the
+    least row it shares a band with, then against the least of each band, and at
+    last all pairs of a band that are not in one component yet are judged. So
+    a large group of near copies never becomes all its pairs, and no candidate
+    link between two components stays unjudged.
     """
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text")).filter(
-        "doc_id IS NOT NULL")
-    rows = stored(texts.mapInArrow(_wide, "doc_id long, high long, low long"), "wide-fingerprints")
-    distinct = stored(rows.groupBy("high", "low").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "wide-distinct")
-    groups = connected_components(wide_links(distinct))
-    named = stored(distinct.join(groups, distinct["least"] == groups["node"], "left").filter("n > 1 OR component IS NOT NULL")
-                   .select("high", "low", F.coalesce("component", "least").alias("group")), "wide-groups")
-    members = rows.join(named, ["high", "low"]).groupBy("doc_id").agg(F.min("group").alias("group"))
-    waiting, rounds = texts.join(members, "doc_id"), []
-    while True:
-        waiting = stored(waiting, "candidates")
-        leaders = stored(waiting.groupBy("group").agg(F.min(F.struct("doc_id", "text")).alias("leader")), "leaders")
-        # Waiting documents are the left side: a large group can be split.
-        judged = stored(waiting.join(leaders, "group").filter("doc_id <> leader.doc_id").select(
-            "doc_id", "text", "group", _similar(similarity)("text", F.col("leader.text")).alias("similar")), "judged")
-        rounds.append(judged.filter("similar").select("doc_id"))
-        waiting = judged.filter("NOT similar").select("doc_id", "text", "group")
-        if waiting.isEmpty():
-            break
-    found = rounds[0]
-    for more in rounds[1:]:
-        found = found.unionByName(more)
-    return found.distinct()
+    bands = stored(texts.mapInArrow(_banded, "row long, bands array<long>"), "bands")
+    bands = bands.select("row", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("row").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    members = stored(bands.join(shared, "band"), "band-members")
+    near = _judged(members.groupBy("row").agg(F.min("first").alias("b")).filter("row <> b").select(
+        F.col("row").alias("a"), "b"), texts.join(members.select("row").distinct(), "row", "left_semi"), similarity)
+    for last in (False, True):
+        named = connected_components(near.filter("similar").select("a", "b"))
+        label = F.coalesce("component", "row").alias("label")
+        labelled = members.join(named, members["row"] == named["node"], "left").select("band", "row", "first", label)
+        split = (labelled.groupBy("band").agg(F.min("label").alias("m"), F.max("label").alias("x"))
+                 .filter("m <> x").select("band"))
+        open_ = stored(labelled.join(split, "band"), "open-bands")
+        if open_.isEmpty():
+            return named
+        if last:
+            # Labels meet first, so the rows of one component are not paired.
+            labels = open_.select("band", "label").distinct()
+            meet = labels.join(labels.withColumnRenamed("label", "other"), "band").filter("label < other")
+            rows = open_.select("band", "label", F.col("row").alias("x"))
+            others = open_.select("band", F.col("label").alias("other"), F.col("row").alias("y"))
+            pairs = rows.join(meet, ["band", "label"]).join(others, ["band", "other"]).select(
+                F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+        else:
+            firsts = open_.filter("row = first").select("band", F.col("label").alias("first_label"))
+            pairs = open_.join(firsts, "band").filter("label <> first_label").select(
+                F.col("row").alias("a"), F.col("first").alias("b"))
+        pairs = stored(pairs.distinct().join(near.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            near = near.unionByName(_judged(pairs, texts, similarity))
+    return connected_components(near.filter("similar").select("a", "b"))
+
+
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows (row) of ``docs`` (row, doc_id, text) that go: in each group of near copies all but the least id.
+
+    A group is a connected component of the links between texts that are
+    similar enough. Of rows that share the least id the first row stays.
+    """
+    known = docs.filter("doc_id IS NOT NULL")
+    members = stored(near_links(known.select("row", "text"), similarity).join(
+        known.select(F.col("row").alias("node"), "doc_id"), "node"), "near-groups")
+    least = members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("stays"))
+    return members.join(least, "component").filter("node <> stays.node").select(F.col("node").alias("row"))
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without its near copies; rows without an id stay.
-
-    Each near copy is at least ``SIMILARITY`` like a document of a smaller id that stays.
-    """
-    gone = near_copies(docs, id_column, text_column).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(f"`{id_column}`") == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each group of near copies, that of the least id; rows without an id stay."""
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    gone = near_copies(numbered.select(F.col("__row").alias("row"), F.col(id_column).cast("long").alias("doc_id"),
+                                       whole_text(text_column).alias("text")))
+    return numbered.join(gone.withColumnRenamed("row", "__row"), "__row", "left_anti").drop("__row")
