@@ -165,3 +165,30 @@ def test_bands_find_pairs_of_the_least_similarity():
             pairs += 1
             missed += not set(simhash.band_keys(a)) & set(simhash.band_keys(b))
     assert missed == 0
+
+
+def test_groups_are_linked_through_any_member(documents):
+    rng = random.Random(24)
+    base = _words(rng, 300)
+
+    def edited(places):
+        return " ".join("new" if i in places else w for i, w in enumerate(base))
+
+    texts = {10: edited({20, 40, 60, 80, 100}), 20: edited({150, 170, 190, 210, 230}), 50: " ".join(base), 5: "quite another text"}
+    assert _similarity(texts[10], texts[50]) > 0.8 < _similarity(texts[20], texts[50]) and _similarity(texts[10], texts[20]) < 0.75
+    assert sorted(r.doc_id for r in simhash.deduplicate(documents(*texts.items())).collect()) == [5, 10]
+
+
+def test_edited_copies_of_one_text_against_brute_force(documents):
+    rng, texts = random.Random(25), []
+    for _ in range(4):
+        base = _words(rng, 200)
+        for _ in range(30):
+            copy = list(base)
+            for k in rng.sample(range(200), rng.randint(2, 7)):
+                copy[k] = "".join(rng.choices("nopq", k=5))
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if _similarity(texts[i], texts[j]) >= 0.8]
+    named = components(range(len(texts)), linked)
+    assert sorted(r.doc_id for r in simhash.deduplicate(documents(*texts)).collect()) == sorted(set(named.values()))
