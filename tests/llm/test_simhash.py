@@ -192,3 +192,10 @@ def test_edited_copies_of_one_text_against_brute_force(documents):
     linked = [(i, j) for i in range(len(texts)) for j in range(i) if _similarity(texts[i], texts[j]) >= 0.8]
     named = components(range(len(texts)), linked)
     assert sorted(r.doc_id for r in simhash.deduplicate(documents(*texts)).collect()) == sorted(set(named.values()))
+
+
+def test_removal_goes_by_row_where_texts_share_an_id(documents):
+    rng = random.Random(26)
+    a, b, c = (" ".join(_words(rng, 100)) for _ in range(3))
+    docs = documents((1, a), (7, a + " more"), (7, b), (8, b + " more"), (9, c), (9, c + " more"))
+    assert sorted((r.doc_id, r.text) for r in simhash.deduplicate(docs).collect()) == sorted([(1, a), (7, b), (9, c)])
