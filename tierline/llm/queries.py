@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierline.llm import bpe, exact_dedup, licenses, packing, pii, secret_scan, simhash, substrings, topk, toxicity
+from tierline.llm import (bpe, exact_dedup, language, licenses, packing, pii, prefix_trie, secret_scan, simhash, substrings,
+                          topk, toxicity, whitening)
 from tierline.llm.common import SPACES, whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +159,55 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (substrings.remove_repeats(table(spark, sf_dir, "documents"), digests=True)
             .withColumnRenamed("kept", "kept_sha256"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs)).withColumn("spans", F.size("spans"))
+
+
+@query("op13_prefix_trie", """
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS i
+  FROM given),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+           list_prepend(4294967295, [ascii(c) FOR c IN string_split(CAST(conv_id AS VARCHAR), '')]),
+           lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda bits, step: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)),
+         4294967295) % 6 AS h FROM (SELECT DISTINCT CAST(conv_id AS BIGINT) AS conv_id FROM given)),
+turns AS (
+  SELECT ids.conv_id, 0 AS part, i, role, text FROM ids JOIN own ON own.conv_id = ids.base AND i <= h
+  UNION ALL SELECT ids.conv_id, 1, i, role, text FROM ids JOIN own USING (conv_id) WHERE i > h),
+paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, list({'r': role, 't': text}) OVER w AS prefix, text
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, [], '' FROM ids),
+lengths AS (SELECT conv_id, max(depth) AS turns FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(length(text)) AS chars,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = turns), '') AS ends
+  FROM paths JOIN lengths USING (conv_id) GROUP BY prefix, depth),
+children AS (
+  SELECT prefix[1:depth - 1] AS prefix, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+below AS (
+  SELECT top.prefix, top.depth, sum((n.n_convs - 1) * CASE WHEN n.depth > 0 THEN n.chars ELSE 0 END) AS saved,
+         count(*) FILTER (children.n IS NULL) AS leaves
+  FROM nodes n JOIN paths top ON top.conv_id = n.conv_id AND top.depth <= n.depth
+  LEFT JOIN children ON children.prefix = n.prefix AND children.depth = n.depth GROUP BY top.prefix, top.depth)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(children.n, 0) AS n_children,
+       below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below ON below.prefix = n.prefix AND below.depth = n.depth
+LEFT JOIN nodes up ON n.depth > 0 AND up.depth = n.depth - 1 AND up.prefix = n.prefix[1:n.depth - 1]
+LEFT JOIN children ON children.prefix = n.prefix AND children.depth = n.depth""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(own))
