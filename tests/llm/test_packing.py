@@ -29,6 +29,18 @@ def test_ids_are_those_of_the_library(text):
     assert np.frombuffer(OURS.encode(text), "<u4").tolist() == LIBRARY(text)
 
 
+def test_ids_of_every_plain_character():
+    """Alone, inside words and in upper and lower case; also those that only their case moves out of the range."""
+    for c in [*map(chr, range(0x20, 0x250)), *"–—‘’‚“”„…€\t\n\r"]:
+        for text in (c, f"a{c}b", f"{c}we", f"K{c}ND x", f"1{c}2", f"{c}{c.lower()}{c.upper()}"):
+            assert np.frombuffer(OURS.encode(text), "<u4").tolist() == LIBRARY(text), repr(text)
+
+
+def test_ids_of_capitals_with_small_letters_elsewhere():
+    for text in ("AZƏRBAYCAN", "KƏND", "Ɛwe", "Ɔkyeame", "İstanbul", "ȺȾɃɄɅ"):
+        assert np.frombuffer(OURS.encode(text), "<u4").tolist() == LIBRARY(text)
+
+
 def test_blocks_do_not_change_ids(monkeypatch):
     ours, text = WordTokenizer(PATH), "one two's  three\n" * 50 + "x" * 300
     want = ours.encode(text)

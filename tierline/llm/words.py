@@ -27,7 +27,9 @@ BLOCK = 1 << 20
 # version of Unicode: Latin letters, ASCII and common punctuation.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBERS = "0-9²³¹¼-¾"
-_PLAIN = re.compile("[\t\n\r\x20-\x7e -ɏ–—‘-„…€]*")
+# A capital whose small letter lies elsewhere, or is several characters, is not among them.
+_BELOW = "".join(c for c in map(chr, range(0xA0, 0x250)) if all(0xA0 <= ord(s) < 0x250 for s in c.lower()) and len(c.lower()) == 1)
+_PLAIN = re.compile(f"[\\t\\n\\r\\x20-\\x7e{_BELOW}–—‘-„…€]*")
 
 
 class Cache(dict):
