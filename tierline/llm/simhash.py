@@ -10,14 +10,13 @@ whole with numpy exclusive-or and bit counts. Of the links inside a pair of
 blocks a spanning forest is kept: the components are the same, and a large
 group of near copies never becomes all its pairs.
 
-Removal of near copies (:func:`near_copies`) uses sets of five-word shingles and a
-similarity of 0.8. Texts that agree in a band of min-hashes are candidates, so the
-work grows with the texts and not with their square; shingle sets decide, and the
-verified links make the groups.
+Removal of near copies (:func:`deduplicate`) leaves one row of each such group.
 
 Defined results: a null text is empty; empty texts have fingerprint zero and
-link like any other; rows that share an id are one document for the links; rows
-without an id get a fingerprint but take no part in linking (null component).
+link like any other; texts of any length count whole, their shingles hashed in
+parts; rows that share an id are one document for the links; rows without an id
+get a fingerprint but take no part in linking (null component); an empty table
+gives no rows. Other columns are not looked at; removal returns them as they are.
 """
 
 from __future__ import annotations
@@ -27,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType
@@ -163,116 +161,32 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-#: For removal: words per shingle, similarity of the shingle sets.
-NEAR_WORDS, SIMILARITY = 5, 0.8
-#: Bands of a text and minima per band: at similarity 0.8 no band is equal in 0.5904 ** 20, one pair in 37,000.
-BANDS, BAND_ROWS = 20, 4
-_MIXED = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64, endpoint=False)
-_FACTORS, _SHIFTS = _MIXED[0] | np.uint64(1), _MIXED[1]
+def _free_name(wanted: str, taken: list[str]) -> str:
+    """A column name nobody uses, in whatever case."""
+    known = {t.lower() for t in taken}
+    while wanted.lower() in known:
+        wanted += "_"
+    return wanted
 
 
-def shingles(text: str, words: int = NEAR_WORDS) -> set[bytes]:
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    return {b" ".join(found[i:i + words]) for i in range(max(1, len(found) - words + 1))}
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group of near copies, that of the least id; rows without an id stay.
 
-
-def band_keys(text: str) -> list[int]:
-    """A key for each band of the text's min-hashes; every distinct shingle counts once."""
-    distinct = shingles(text)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-    least = np.full(BANDS * BAND_ROWS, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), _HASHED >> 4):
-        least = np.minimum(least, (hashes[at:at + (_HASHED >> 4)] * _FACTORS + _SHIFTS).min(axis=1))
-    keys = [xxhash.xxh3_64_intdigest(band.tobytes(), seed=n) for n, band in enumerate(least.reshape(BANDS, BAND_ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [band_keys(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["row", "bands"])
-
-
-def _similar(similarity: float):
-    @F.arrow_udf("boolean")
-    def similar(texts: pa.Array, leaders: pa.Array) -> pa.Array:
-        out, last, known = [], None, set()
-        for text, leader in zip(texts, leaders):
-            text, leader = text.as_py(), leader.as_py()
-            if leader != last:
-                last, known = leader, shingles(leader)
-            own = shingles(text)
-            out.append(len(own & known) >= similarity * len(own | known))
-        return pa.array(out, pa.bool_())
-    return similar
-
-
-def _judged(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) with ``similar``. They are the left side: a text in very many pairs can be split."""
-    one = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    return stored(pairs.join(one, "a").join(other, "b").select(
-        "a", "b", _similar(similarity)("text_a", "text_b").alias("similar")), "judged")
-
-
-def near_links(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of the rows (row, text) that are similar enough to another, by verified links only.
-
-    Rows with an equal band are candidates. Each is first judged against the
-    least row it shares a band with, then against the least of each band, and at
-    last all pairs of a band that are not in one component yet are judged. So
-    a large group of near copies never becomes all its pairs, and no candidate
-    link between two components stays unjudged.
-    """
-    bands = stored(texts.mapInArrow(_banded, "row long, bands array<long>"), "bands")
-    bands = bands.select("row", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("row").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = stored(bands.join(shared, "band"), "band-members")
-    near = _judged(members.groupBy("row").agg(F.min("first").alias("b")).filter("row <> b").select(
-        F.col("row").alias("a"), "b"), texts.join(members.select("row").distinct(), "row", "left_semi"), similarity)
-    for last in (False, True):
-        named = connected_components(near.filter("similar").select("a", "b"))
-        label = F.coalesce("component", "row").alias("label")
-        labelled = members.join(named, members["row"] == named["node"], "left").select("band", "row", "first", label)
-        split = (labelled.groupBy("band").agg(F.min("label").alias("m"), F.max("label").alias("x"))
-                 .filter("m <> x").select("band"))
-        open_ = stored(labelled.join(split, "band"), "open-bands")
-        if open_.isEmpty():
-            return named
-        if last:
-            # Labels meet first, so the rows of one component are not paired.
-            labels = open_.select("band", "label").distinct()
-            meet = labels.join(labels.withColumnRenamed("label", "other"), "band").filter("label < other")
-            rows = open_.select("band", "label", F.col("row").alias("x"))
-            others = open_.select("band", F.col("label").alias("other"), F.col("row").alias("y"))
-            pairs = rows.join(meet, ["band", "label"]).join(others, ["band", "other"]).select(
-                F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-        else:
-            firsts = open_.filter("row = first").select("band", F.col("label").alias("first_label"))
-            pairs = open_.join(firsts, "band").filter("label <> first_label").select(
-                F.col("row").alias("a"), F.col("first").alias("b"))
-        pairs = stored(pairs.distinct().join(near.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            near = near.unionByName(_judged(pairs, texts, similarity))
-    return connected_components(near.filter("similar").select("a", "b"))
-
-
-def near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Rows (row) of ``docs`` (row, doc_id, text) that go: in each group of near copies all but the least id.
-
-    A group is a connected component of the links between texts that are
-    similar enough. Of rows that share the least id the first row stays.
+    Groups are the components of :func:`near_duplicates`, taken row by row: rows
+    that share an id are linked by their texts only, and of those with the least
+    id of a group the first stays. Copies fold to one row per fingerprint before
+    anything is joined.
     """
-    known = docs.filter("doc_id IS NOT NULL")
-    members = stored(near_links(known.select("row", "text"), similarity).join(
-        known.select(F.col("row").alias("node"), "doc_id"), "node"), "near-groups")
-    least = members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("stays"))
-    return members.join(least, "component").filter("node <> stays.node").select(F.col("node").alias("row"))
-
-
-def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies, that of the least id; rows without an id stay."""
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    gone = near_copies(numbered.select(F.col("__row").alias("row"), F.col(id_column).cast("long").alias("doc_id"),
-                                       whole_text(text_column).alias("text")))
-    return numbered.join(gone.withColumnRenamed("row", "__row"), "__row", "left_anti").drop("__row")
+    row = _free_name("row_number", docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    prints = numbered.filter(F.col(id_column).isNotNull()).select(
+        F.col(row).alias("row"), F.col(id_column).alias("id"), _fingerprints(whole_text(text_column)).alias("print"))
+    distinct = stored(prints.groupBy("print").agg(F.min("row").alias("least"), F.min(F.struct("id", "row")).alias("best")),
+                      "distinct-fingerprints")
+    groups = connected_components(links(distinct.select("print", "least"), radius))
+    stay = (distinct.join(groups, distinct["least"] == groups["node"], "left")
+            .groupBy(F.coalesce("component", "least").alias("group")).agg(F.min("best").alias("best"))
+            .select(F.col("best.row").alias(row)))
+    return (numbered.join(stored(stay, "stay"), row, "left_semi")
+            .unionByName(numbered.filter(F.col(id_column).isNull())).drop(row))
