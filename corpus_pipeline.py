@@ -28,7 +28,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles are at least 0.8 alike, the one with the smallest id."""
+    """Of documents whose SimHash fingerprints link by two bits or fewer, the one with the smallest id."""
     return simhash.deduplicate(docs)
 
 
