@@ -106,10 +106,11 @@ def test_viterbi_against_all_labellings():
 
 def test_sequences_against_plain_strings():
     def bucket(letters):
-        rolling = 0
-        for size, c in enumerate(letters, 1):
-            rolling = (rolling * 0x100000001B3 + ord(c) + size) % (1 << 64)
-        return ((rolling ^ (rolling >> 29)) * 0x9E3779B97F4A7C15 % (1 << 64) >> 48) % language.BUCKETS
+        rolling = ord(letters[0]) * 0x9E3779B1 % (1 << 32)
+        for c in letters[1:]:
+            rolling = ((rolling ^ (rolling >> 15)) * 0x85EBCA77 + ord(c)) % (1 << 32)
+        mixed = rolling * 0xC2B2AE3D % (1 << 32)
+        return (mixed ^ (mixed >> 13)) >> 16
 
     text = "Ab, ÇĞe x дом"
     points = code_points(text)
@@ -117,11 +118,23 @@ def test_sequences_against_plain_strings():
     assert [text[a:b] for a, b in zip(starts, ends)] == ["Ab", "ÇĞe", "x", "дом"]
     assert [NAMES[k] for k in kinds] == ["latin", "latin", "latin", "cyrillic"]
     found, firsts = language.sequences(points, starts, ends)
-    stops = [*firsts[1:], len(found)]
+    stops = [*firsts[1:], len(found[0])]
     for word, a, b in zip(["ab", "çğe", "x", "дом"], firsts, stops):
         marked = f" {word} "
-        expected = sorted(bucket(marked[i:i + n]) for n in range(1, 5) for i in range(len(marked) - n + 1))
-        assert sorted(p for p in found[a:b].ravel().tolist() if p >= 0) == expected
+        for size, places in zip(language.SIZES, found):
+            expected = [bucket(marked[i:i + size]) for i in range(len(marked) - size + 1)]
+            assert [p for p in places[a:b].tolist() if p < language.BUCKETS] == expected
+
+
+def test_texts_labelled_together_or_apart(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(WORDS[rng.choice(list(WORDS))], k=rng.randint(0, 40))) for _ in range(50)] + ["", "1 2"]
+    scripts = np.ones((len(NAMES), 2), bool)
+    model = language.Model(("a", "b"), np.random.default_rng(1).normal(size=(language.BUCKETS + 1, 2)).astype(np.float32), scripts)
+    want = [[x.tolist() for x in t] for t in language._label(model, texts)]
+    monkeypatch.setattr(language, "TOGETHER", 10)
+    monkeypatch.setattr(language, "PIECE", 60)
+    assert [[x.tolist() for x in t] for t in language._label(model, texts)] == want and len(want) == len(texts)
 
 
 def test_query_on_held_out_rows(spark):

@@ -1,7 +1,7 @@
 """Language of texts: script ranges narrow the candidates, Viterbi labels the words.
 
 Training counts, over all documents with a known language that are not held out,
-the letter sequences inside words (one to four letters, with the word's edges)
+the letter sequences inside words (two to four letters, with the word's edges)
 and the letters of each script. Sequences are hashed to ``BUCKETS`` places, so a
 model is ``BUCKETS`` numbers a language however large the corpus is. Every task
 counts its rows first; only those tables are shuffled and added up.
@@ -33,16 +33,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tierline.llm.scripts import NAMES, code_points, small_letters, words
 
-#: Places for letter sequences, longest sequence, and the languages a model may have.
-BUCKETS, LONGEST, LANGUAGES = 1 << 16, 4, 400
+#: Places for letter sequences, their sizes, and the languages a model may have.
+BUCKETS, SIZES, LANGUAGES = 1 << 16, (2, 3, 4), 400
 #: Letters of a language in a script, as a share, from which the script's words may be of that language.
 SCRIPT_SHARE = 0.01
 #: What a change of language costs, in units of log-probability; what a word of a foreign script costs.
 SWITCH, FOREIGN = 12.0, 50.0
 #: Letter sequences overlap, so a word's evidence is scaled down.
 WEIGHT = 0.4
-#: Characters handled at a time.
-PIECE = 1 << 19
+#: Characters scored at a time, and scores (words by languages) labelled at a time.
+PIECE, TOGETHER = 1 << 19, 1 << 23
 HELD_OUT_OF, HELD_OUT = 3, 1
 UNKNOWN = "und"
 _CHUNK = 1 << 10
@@ -53,27 +53,33 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % HELD_OUT_OF == HELD_OUT, F.lit(False))
 
 
-def sequences(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all letter sequences of the words, and where each word's begin.
+def sequences(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Buckets of the letter sequences of the words, one array for each size, and where each word's begin.
 
     Words are laid out one after the other with a mark before and behind; a
-    sequence is up to ``LONGEST`` characters that lie in one word with its marks.
+    sequence is ``SIZES`` characters that lie in one word with its marks. Where
+    none of a size begins the bucket is ``BUCKETS``.
     """
     lengths = ends - starts + 2
+    number = np.arange(len(starts))
     firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    laid = np.full(int(lengths.sum()), 0x20, np.uint64)
-    inner = np.arange(int((lengths - 2).sum())) + np.repeat(2 * np.arange(len(starts)) + 1, lengths - 2)
-    source = np.arange(len(inner)) + np.repeat(starts - (firsts - 2 * np.arange(len(starts))), lengths - 2)
-    laid[inner] = small_letters()[points[source]]
-    left = np.repeat(firsts + lengths, lengths) - np.arange(len(laid))  # characters up to the word's end
-    found = np.zeros((len(laid), LONGEST), np.int64)
-    rolling = np.zeros(len(laid), np.uint64)
-    for size in range(1, LONGEST + 1):
-        rolling[:len(laid) - size + 1] = (rolling[:len(laid) - size + 1] * np.uint64(0x100000001B3)
-                                          + laid[size - 1:] + np.uint64(size))
-        mixed = (rolling ^ (rolling >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-        places = (mixed >> np.uint64(48)).astype(np.int64) % BUCKETS
-        found[:, size - 1] = np.where(left >= size, places, -1)
+    laid = np.full(int(lengths.sum()), 0x20, np.uint32)
+    letters = np.arange(len(laid) - 2 * len(starts))
+    laid[letters + np.repeat(2 * number + 1, lengths - 2)] = small_letters()[
+        points[letters + np.repeat(starts - (firsts - 2 * number), lengths - 2)]]
+    last = np.zeros(len(laid), bool)  # places whose sequence would leave the word
+    last[firsts + lengths - 1] = True
+    leaves, found = last.copy(), []
+    rolling = laid * np.uint32(0x9E3779B1)
+    for size in range(2, SIZES[-1] + 1):
+        rolling = (rolling[:-1] ^ (rolling[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA77) + laid[size - 1:]
+        if size in SIZES:
+            mixed = rolling * np.uint32(0xC2B2AE3D)
+            places = np.full(len(laid), BUCKETS, np.int64)
+            places[:len(mixed)] = (mixed ^ (mixed >> np.uint32(13))) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+            places[leaves] = BUCKETS
+            found.append(places)
+        leaves[:-1] |= leaves[1:].copy()
     return found, firsts
 
 
@@ -87,7 +93,8 @@ class _Counts:
         starts, ends, kinds = words(points)
         if len(starts):
             found, _ = sequences(points, starts, ends)
-            self.places += np.bincount(found[found >= 0], minlength=BUCKETS)
+            for places in found:
+                self.places += np.bincount(places, minlength=BUCKETS + 1)[:BUCKETS]
             self.scripts += np.bincount(kinds, weights=ends - starts, minlength=len(NAMES)).astype(np.int64)
 
 
@@ -148,7 +155,7 @@ def _added(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-probabilities (bucket by language) and the candidates of each script (script by language)."""
+    """Log-probabilities (bucket by language, and a last row of zeros) and the candidates of each script."""
 
     languages: tuple[str, ...]
     places: np.ndarray
@@ -178,17 +185,16 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     shares = scripts / np.maximum(scripts.sum(axis=0), 1)
     candidates = shares >= SCRIPT_SHARE
     candidates[~candidates.any(axis=1)] = True
-    return Model(languages, (WEIGHT * smoothed).astype(np.float32), candidates)
+    return Model(languages, np.vstack((WEIGHT * smoothed, np.zeros(len(languages)))).astype(np.float32), candidates)
 
 
 def word_scores(model: Model, points: np.ndarray, starts, ends, kinds) -> np.ndarray:
     """Scores (word by language); those of languages that are no candidates are lowered."""
     found, firsts = sequences(points, starts, ends)
-    scores = np.zeros((len(starts), len(model.languages)), np.float32)
-    for column in found.T:
-        values = model.places[column]
-        values[column < 0] = 0
-        scores += np.add.reduceat(values, firsts, axis=0)
+    evidence = model.places.take(found[0], axis=0)
+    for places in found[1:]:
+        evidence += model.places.take(places, axis=0)
+    scores = np.add.reduceat(evidence, firsts, axis=0)
     # Relative to the best candidate, so long texts lose no digits.
     scores = np.where(model.candidates[kinds], scores, scores.min(axis=1, keepdims=True) - np.float32(FOREIGN))
     return scores - scores.max(axis=1, keepdims=True)
@@ -204,60 +210,91 @@ def viterbi(scores: np.ndarray, firsts: np.ndarray, counts: np.ndarray, switch:
     order = order[counts[order] > 0]
     firsts, counts = firsts[order], counts[order]
     labels, steps = np.zeros(len(scores), np.int32), int(counts[0]) if len(counts) else 0
-    active = np.searchsorted(-counts, -np.arange(steps), side="left")  # sequences longer than the step
-    stay, came = np.ones(scores.shape, bool), np.zeros(len(scores), np.int32)
-    last = np.zeros((len(order), scores.shape[1]))
+    active = np.searchsorted(-counts, -np.arange(steps), side="left").tolist()  # sequences longer than the step
+    moved, came = np.zeros(scores.shape, bool), np.zeros(len(scores), np.int32)
+    last = np.zeros((len(order), scores.shape[1]), scores.dtype)
+    label = np.zeros(len(order), np.int32)
     for step in range(steps):
-        n = active[step]
-        at, best = firsts[:n] + step, last[:n]
+        n, best = active[step], last[:active[step]]
+        at = firsts[:n] + step
         if step:
             top = best.argmax(axis=1)
-            reach = best[np.arange(n), top][:, None] - switch
-            stays = best >= reach
-            stay[at], came[at] = stays, top
-            best = np.where(stays, best, reach)
-        best = best + scores[at]
-        last[:n] = best - best.max(axis=1, keepdims=True)
-    label = last.argmax(axis=1)
+            # Sums are relative to the best one, so that is zero.
+            moved[at], came[at] = best < -switch, top
+            np.maximum(best, -switch, out=best)
+        best += scores[at]
+        best -= best.max(axis=1, keepdims=True)
+        over = active[step + 1] if step + 1 < steps else 0
+        if over < n:
+            label[over:n] = best[over:].argmax(axis=1)
     for step in range(steps - 1, -1, -1):
         n = active[step]
         at, now = firsts[:n] + step, label[:n]
         labels[at] = now
         if step:
-            label[:n] = np.where(stay[at, now], now, came[at])
+            gone = moved[at, now]
+            if gone.any():
+                label[:n] = np.where(gone, came[at], now)
     return labels
 
 
+class _Words:
+    """Words of several texts with their scores, waiting to be labelled together."""
+
+    def __init__(self, model: Model):
+        self.model, self.starts, self.ends, self.scores, self.counts = model, [], [], [], []
+
+    def add(self, texts: list[str]) -> None:
+        """Short texts, scored together, or a single one of any length."""
+        if len(texts) > 1:
+            points = code_points("\n".join(texts))
+            begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+            starts, ends, kinds = words(points)
+            counts = np.diff(np.searchsorted(starts, begins))
+            self._score(points, starts, ends, kinds, np.repeat(begins[:-1], counts))
+            self.counts += counts.tolist()
+        else:
+            self.counts.append(0)
+            for at, part in pieces(texts[0]):
+                points = code_points(part)
+                starts, ends, kinds = words(points)
+                self._score(points, starts, ends, kinds, -at)
+                self.counts[-1] += len(starts)
+
+    def _score(self, points, starts, ends, kinds, before) -> None:
+        self.starts.append(starts - before)
+        self.ends.append(ends - before)
+        if len(starts):
+            self.scores.append(word_scores(self.model, points, starts, ends, kinds))
+
+    @property
+    def size(self) -> int:
+        return sum(map(len, self.scores)) * len(self.model.languages)
+
+    def labelled(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts, ends and labels of the words of each text."""
+        firsts = np.concatenate(([0], np.cumsum(self.counts))).astype(np.int64)
+        labels = np.zeros(0, np.int32)
+        if self.scores:
+            labels = viterbi(np.concatenate(self.scores), firsts[:-1], np.diff(firsts))
+        starts, ends = np.concatenate(self.starts), np.concatenate(self.ends)
+        for a, b in zip(firsts[:-1], firsts[1:]):
+            yield starts[a:b], ends[a:b], labels[a:b]
+
+
 def _label(model: Model, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Starts, ends and labels of the words of each text."""
-    starts, ends, scores, counts = [], [], [], []
-    if len(texts) > 1:  # a group of short texts: their words are scored together
-        points = code_points("\n".join(texts))
-        begins = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-        s, e, kinds = words(points)
-        counts = np.diff(np.searchsorted(s, begins))
-        if len(s):
-            scores.append(word_scores(model, points, s, e, kinds))
-        own = np.repeat(begins[:-1], counts)
-        starts, ends = s - own, e - own
-    else:
-        for at, part in pieces(texts[0]):
-            points = code_points(part)
-            s, e, kinds = words(points)
-            starts.append(s + at)
-            ends.append(e + at)
-            if len(s):
-                scores.append(word_scores(model, points, s, e, kinds))
-        starts, ends = np.concatenate(starts), np.concatenate(ends)
-        counts = np.array([len(starts)])
-    if not scores:
-        for _ in texts:
-            yield starts[:0], ends[:0], starts[:0]
+    """Starts, ends and labels of the words of each text, about ``TOGETHER`` scores at a time."""
+    if not model.languages:
+        yield from ((np.zeros(0, np.int64),) * 3 for _ in texts)
         return
-    firsts = np.concatenate(([0], np.cumsum(counts)))
-    labels = viterbi(np.concatenate(scores), firsts[:-1], np.asarray(counts))
-    for a, b in zip(firsts[:-1], firsts[1:]):
-        yield starts[a:b], ends[a:b], labels[a:b]
+    waiting = _Words(model)
+    for group in _grouped(texts):
+        waiting.add(group)
+        if waiting.size >= TOGETHER:
+            yield from waiting.labelled()
+            waiting = _Words(model)
+    if waiting.counts:
+        yield from waiting.labelled()
 
 
 def _spans(model: Model, shared):
@@ -266,16 +303,15 @@ def _spans(model: Model, shared):
         for batch in batches:
             predicted, shares, begins, stops, langs = [], [], [], [], []
             texts = [t.as_py() or "" for t in batch.column("text")]
-            for group in _grouped(texts):
-                for starts, ends, labels in _label(model, group) if model.languages else ((np.zeros(0, int),) * 3 for _ in group):
-                    letters = np.bincount(labels, weights=ends - starts, minlength=len(model.languages) or 1)
-                    total = letters.sum()
-                    predicted.append(model.languages[int(letters.argmax())] if total else UNKNOWN)
-                    shares.append(float(letters.max() / total) if total else 0.0)
-                    edges = np.flatnonzero(np.diff(labels)) + 1
-                    begins.append(starts[np.concatenate(([0], edges))] if total else starts)
-                    stops.append(ends[np.concatenate((edges - 1, [len(ends) - 1]))] if total else ends)
-                    langs.append([model.languages[k] for k in labels[np.concatenate(([0], edges))]] if total else [])
+            for starts, ends, labels in _label(model, texts):
+                letters = np.bincount(labels, weights=ends - starts, minlength=len(model.languages) or 1)
+                total = letters.sum()
+                predicted.append(model.languages[int(letters.argmax())] if total else UNKNOWN)
+                shares.append(float(letters.max() / total) if total else 0.0)
+                edges = np.flatnonzero(np.diff(labels)) + 1
+                begins.append(starts[np.concatenate(([0], edges))] if total else starts)
+                stops.append(ends[np.concatenate((edges - 1, [len(ends) - 1]))] if total else ends)
+                langs.append([model.languages[k] for k in labels[np.concatenate(([0], edges))]] if total else [])
             longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(predicted, pa.string()),
