@@ -62,7 +62,7 @@ CASES = [table(1, 60, 6, ["a", "bb", None]), table(2, 60, 9, ["a"]), table(3, 40
          [(5, 0, "user", "x" * 300_000), (6, 0, "user", "x" * 300_000)]]
 
 
-@pytest.mark.parametrize("block", [3, 4096])
+@pytest.mark.parametrize("block", [3, 512])
 @pytest.mark.parametrize("case", range(len(CASES)))
 def test_trie_against_every_prefix(spark, case, block):
     if block < 16 and case in (2, 6, 7):

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tierline.llm.common import stored, whole_text
 
 #: Conversations in a block, and blocks from which blocks grow instead.
-BLOCK, BLOCKS = 4096, 1 << 16
+BLOCK, BLOCKS = 512, 1 << 16
 #: Conversations that share their first turns: an id less its remainder by this; turns taken are below HEADS.
 FAMILY, HEADS = 100, 6
 _EMPTY = hashlib.sha256(b"").hexdigest()
