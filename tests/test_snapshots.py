@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tierline import files
 from tierline.operators.upsert import DuplicateKeyError
 from tierline.sources.snapshots import (NULL_SLICE, ONE_SLICE, SnapshotTable, date_slices,
-                                        epoch_slices, hash_slices, merge_into)
+                                        hash_slices, merge_into)
 from test_upsert import SCHEMA, by_hand
 
 
@@ -123,15 +124,6 @@ def test_new_rows_without_a_key_are_counted(spark, tmp_path, caplog):
     assert "2 rows without a key" in caplog.text
 
 
-def test_epoch_slices(spark):
-    df = spark.sql(f"""SELECT {epoch_slices(7)} AS s FROM VALUES
-        ('16725312007'), ('1672617600R9'), ('1704067200R9'), ('790646400R785'), ('79064640012'),
-        ('x'), (NULL) AS t(dwid)""")
-    first, near, later, early, early_too, bad, null = [r[0] for r in df.collect()]
-    assert first == near and later - first == 52 and early == early_too
-    assert bad is None and null is None
-
-
 def test_conflict_changes_nothing(spark, tmp_path, rows):
     target = make(spark, tmp_path, [(1, "a")])
     with pytest.raises(DuplicateKeyError):
@@ -221,6 +213,101 @@ def test_registered_view_follows_the_table(spark, tmp_path):
     assert spark.table("tierline_test.t").columns == ["dwid", "a"]
 
 
+def folder_table(spark, database, name="t"):
+    """The partitioned table beside the view."""
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect()]
+    return [f"{database}.{n}" for n in names if n != name]
+
+
+def test_the_catalog_holds_one_partition_per_folder_and_prunes_them(spark, tmp_path):
+    target = make(spark, tmp_path, [(i, "a") for i in range(60)], "dwid % 20")
+    target.upsert(spark.createDataFrame([(100, "n"), (3, "u")], SCHEMA))
+    target.register("tierline_parts", "t", f"{tmp_path}/db")
+    (held,) = folder_table(spark, "tierline_parts")
+    assert spark.sql(f"SHOW PARTITIONS {held}").count() == 21  # slice 0 lies in two folders
+    one = spark.sql(f"SELECT * FROM {held} WHERE slice_no = 3 AND dwid > 3")
+    assert sorted(r.dwid for r in one.collect()) == [23, 43]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "slice_no" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert spark.table("tierline_parts.t").filter("a = 'u'").collect() == [(3, "u")]
+
+
+def test_versions_stand_side_by_side_until_the_one_after(spark, tmp_path):
+    target = make(spark, tmp_path, [(1, "a"), (2, "a")], "dwid")
+    target.register("tierline_swap", "t", f"{tmp_path}/db")
+    running = spark.table("tierline_swap.t")  # resolved, its partitions not yet listed
+    target.full_load(spark.createDataFrame([(3, "b")], SCHEMA))
+    target.register("tierline_swap", "t")
+    assert sorted(map(tuple, running.collect())) == [(1, "a"), (2, "a")]
+    assert spark.table("tierline_swap.t").collect() == [(3, "b")]
+    target.full_load(spark.createDataFrame([(4, "c")], SCHEMA))
+    target.register("tierline_swap", "t")
+    (held,) = folder_table(spark, "tierline_swap")
+    assert sorted({r["partition"].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {held}").collect()}) == [
+        "snapshot_no=2", "snapshot_no=3"]
+    target.register("tierline_swap", "t")  # again, without a new version
+    assert spark.table("tierline_swap.t").collect() == [(4, "c")]
+
+
+def test_a_missing_file_or_folder_makes_a_query_fail(spark, tmp_path):
+    for what in ("file", "folder"):
+        target = SnapshotTable(spark, f"{tmp_path}/{what}", slice_by="dwid % 4")
+        target.full_load(spark.range(40).selectExpr("id AS dwid", "'a' AS a"))
+        target.register("tierline_gap", what, f"{tmp_path}/db")
+        assert spark.table(f"tierline_gap.{what}").count() == 40
+        (writer,) = target.manifest()["slices"]["2"]
+        folder = f"{tmp_path}/{what}/data/version_no={writer}/slice_no=2"
+        files.delete(spark, folder if what == "folder" else next(
+            p for p, _ in files.children(spark, folder) if p.endswith(".parquet")))
+        spark.catalog.refreshTable(f"tierline_gap.{what}")
+        with pytest.raises(Exception, match="30 of 40 rows"):
+            spark.sql(f"SELECT dwid FROM tierline_gap.{what} WHERE dwid = 1").collect()
+    with pytest.raises(Exception, match="(?i)not.found|does.not.exist"):
+        target.register("tierline_gap", "folder")
+
+
+def test_other_columns_get_a_partition_table_of_their_own(spark, tmp_path):
+    target = make(spark, tmp_path, [(1, "a")])
+    target.register("tierline_wider", "t", f"{tmp_path}/db")
+    target.full_load(spark.createDataFrame([(1, "a", 5)], SCHEMA + ", more int"))
+    target.register("tierline_wider", "t")
+    assert spark.table("tierline_wider.t").collect() == [(1, "a", 5)]
+    assert len(folder_table(spark, "tierline_wider")) == 1
+
+
+def test_a_thousand_slices_are_planned_quickly(spark, tmp_path):
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by="cast(dwid AS int)")
+    target.full_load(spark.range(1000).selectExpr("id AS dwid", "'a' AS a").coalesce(2))
+    started = time.time()
+    target.register("tierline_many", "t", f"{tmp_path}/db")
+    registered = time.time()
+    result = spark.sql("SELECT count(*), sum(dwid) FROM tierline_many.t")
+    result._jdf.queryExecution().executedPlan()
+    planned = time.time()
+    assert tuple(result.first()) == (1000, 499_500)
+    print(f"registered in {registered - started:.1f} s, planned in {planned - registered:.1f} s")
+    assert planned - registered < 5
+
+
+def test_an_upsert_based_on_an_older_version_fails(spark, tmp_path, rows):
+    target = make(spark, tmp_path, [(1, "a")])
+    seen = target.latest()
+    target.upsert(spark.createDataFrame([(2, "b")], SCHEMA))
+    with pytest.raises(FileExistsError):
+        target.upsert(spark.createDataFrame([(1, "c")], SCHEMA), based_on=seen)
+    assert rows(target.read()) == [(1, "a"), (2, "b")]
+
+
+def test_expire_opens_no_manifest_without_something_to_remove(spark, tmp_path, monkeypatch):
+    target = make(spark, tmp_path, [(1, "a")])
+    for i in range(3):
+        target.upsert(spark.createDataFrame([(1, f"u{i}")], SCHEMA))
+    opened = []
+    monkeypatch.setattr(target, "manifest", lambda version=None: opened.append(version))
+    target.expire()
+    assert opened == [] and target.versions() == [1, 2, 3, 4]
+
+
 def test_merge_statement_is_left_to_the_catalog(spark, tmp_path):
     """Plain Parquet tables have no row-level operations; the statement itself is sound."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS merge_target USING parquet LOCATION '{tmp_path}/m' AS "

@@ -238,4 +238,5 @@ def run_steps(spark: SparkSession, base: str, parameters: RunParameters,
         return False
     bronze_to_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/dq_failed", run_id,
                      parameters.load_type, mapping, log, slices=slices, database=database)
+    log.tidy()
     return log.gate(run_id, runlog.TO_SILVER)

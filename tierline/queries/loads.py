@@ -106,6 +106,17 @@ def full_load(spark, sf_dir):
     return target.read()
 
 
+def _kept(result, database):
+    """The rows of a query on registered tables, written, so that the catalog's entries can go.
+
+    Others may share the catalog, and partitions are looked up when a query is planned.
+    """
+    spark, path = result.sparkSession, scratch_path(result.sparkSession, "result")
+    result.write.parquet(path)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(result.schema).parquet(path)
+
+
 @query("catalog_sql", """
     SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
     FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
@@ -122,9 +133,7 @@ def catalog_sql(spark, sf_dir):
                CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM {database}.customer JOIN {database}.nation ON c_nationkey = n_nationkey
         GROUP BY n_name""")
-    # The query is resolved by now; leave no entries in a catalog others may share.
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return result
+    return _kept(result, database)
 
 
 @query("dim_date", """
@@ -176,6 +185,24 @@ def catalog_after_expiry(spark, sf_dir):
     for key in (3, 4):
         target.upsert(rows.filter(F.col("c_custkey") == key).withColumn("c_name", F.lit("later")))
         target.expire(seconds=0)
-    result = spark.sql(f"SELECT c_custkey, c_name FROM {database}.customer")
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-    return result
+    return _kept(spark.sql(f"SELECT c_custkey, c_name FROM {database}.customer"), database)
+
+
+@query("catalog_many_slices", """
+    SELECT o_orderpriority, count(*) AS orders, count(*) FILTER (CAST(o_orderdate AS DATE) >= DATE '2001-06-01') AS updated,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderpriority""")
+def catalog_many_slices(spark, sf_dir):
+    """A registered table of a thousand slices, some of them in a second folder, read by SQL."""
+    base = scratch_path(spark, "catalog")
+    database = "tierline_" + base[-8:]
+    target = SnapshotTable(spark, f"{base}/orders", key="o_orderkey", slice_by=date_slices(2))
+    orders = source(spark, sf_dir, "orders", "o_orderkey", "CAST(o_orderdate AS DATE) AS date", "o_orderstatus",
+                    "o_orderpriority", "o_totalprice", "'first' AS load")
+    target.full_load(orders.filter("o_orderkey % 16 > 0 OR date < DATE '2001-06-01'"))
+    target.upsert(orders.filter("date >= DATE '2001-06-01'").withColumn("load", F.lit("second")))
+    target.register(database, "orders", f"{base}/database")
+    return _kept(spark.sql(f"""
+        SELECT o_orderpriority, count(*) AS orders, count_if(load = 'second') AS updated,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+        FROM {database}.orders WHERE o_orderstatus <> 'P' GROUP BY o_orderpriority"""), database)

@@ -4,7 +4,7 @@ Layout below the table's root::
 
     data/version_no=<n>-<writer>/slice_no=<k>/part-*.parquet
     _manifests/<n>.json            which version folders make up each slice
-    _registered/<name>.json        which version a catalog view shows
+    _registered/<name>.json        which version the catalog shows
 
 A slice is a function of the key, so a key never moves between slices. An
 upsert reads the key column of the slices its batch falls into, rewrites those
@@ -20,6 +20,7 @@ Where the catalog has a format with row-level operations, use
 
 from __future__ import annotations
 
+import hashlib
 import json
 import logging
 import time
@@ -39,9 +40,10 @@ SLICE, VERSION = "slice_no", "version_no"
 NULL_SLICE = -1
 #: Folders of one slice from which :meth:`SnapshotTable.compact` rewrites it.
 CROWDED = 16
-#: Slices that epochs are folded into, and seconds an unused version stays for its readers.
-EPOCH_SLICES = 4096
+#: Seconds an unused version stays for its readers.
 KEEP_SECONDS = 7 * 86400
+#: Partition column of registered tables that tells versions apart, and partitions named in one statement.
+SNAPSHOT, STATEMENT = "snapshot_no", 200
 #: Parquet bytes of a batch, all columns, up to which its distinct keys are broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -58,17 +60,6 @@ def date_slices(days: int = 30, column: str = "date") -> str:
     return f"cast(floor(unix_date({column}) / {days}) AS int)"
 
 
-def epoch_slices(days: int = 30, key: str = KEY) -> str:
-    """Slice expression for facts whose key begins with epoch seconds of a date.
-
-    Rows of nearby dates share a slice, so a daily load touches one or two. The
-    first nine digits are used: tens of seconds since September 2001. Earlier
-    dates have nine digits in all and get slices a tenth as long.
-    """
-    prefix = f"try_cast(substring(cast({key} AS string), 1, 9) AS bigint)"
-    return f"pmod(floor({prefix} / {8640 * days}), {EPOCH_SLICES})"
-
-
 ONE_SLICE = "0"
 
 
@@ -95,9 +86,9 @@ class SnapshotTable:
         return json.loads(files.read_text(
             self.spark, f"{self.root}/_manifests/{version:012d}.json"))
 
-    def _next(self) -> tuple[int, str]:
-        """The next version's number and the folder of this write."""
-        version = (self.versions() or [0])[-1] + 1
+    def _next(self, after: int | None = None) -> tuple[int, str]:
+        """The number of the version after the given one, or the last, and the folder of this write."""
+        version = ((self.versions() or [0])[-1] if after is None else after) + 1
         return version, f"{version:012d}-{uuid.uuid4().hex}"
 
     def _publish(self, version: int, schema: StructType, slice_by: str,
@@ -155,26 +146,36 @@ class SnapshotTable:
                  files.children(self.spark, f"{self.root}/data/{VERSION}={writer}") if folder)
         return [n.split("=", 1)[1] for n in names if n.startswith(f"{SLICE}=")]
 
-    def full_load(self, df: DataFrame) -> int:
-        """Replace the table by ``df``; the old version stays whole until then."""
-        version, writer = self._next()
+    def full_load(self, df: DataFrame, after: int | None = None) -> int:
+        """Replace the table by ``df``; the old version stays whole until then.
+
+        With ``after`` it is the version after that one, or fails if another writer was first.
+        """
+        version, writer = self._next(after)
         self._write(self._sliced(df, self._slice_by), writer, self._slice_by)
         return self._publish(version, df.schema, self._slice_by,
                              {s: [writer] for s in self._written_slices(writer)})
 
+    def latest(self) -> dict | None:
+        """The manifest of the current version; None before the first load."""
+        versions = self.versions()
+        return self.manifest(versions[-1]) if versions else None
+
     def upsert(self, batch: DataFrame, stored_at: str | None = None,
-               unique_keys: bool = False) -> int:
+               unique_keys: bool = False, based_on: dict | None = None) -> int:
         """Type-1 keyed load: update matching rows, insert the others.
 
         A missing table is a full load. Fails, changing nothing, when several
         batch rows match one existing row; ``unique_keys`` says that cannot be.
         The batch is read several times, so it is first written to the shared
         folder, which also keeps a lost executor from recomputing its whole
-        history. Give ``stored_at`` if it already is a scan of that path.
+        history. Give ``stored_at`` if it already is a scan of that path. A batch
+        that was chosen by what a version holds gives its manifest as ``based_on``:
+        if there is a later version by now, :class:`FileExistsError` says so.
         """
-        if not self.exists():
-            return self.full_load(batch)
-        manifest = self.manifest()
+        manifest = based_on or self.latest()
+        if manifest is None:
+            return self.full_load(batch, after=0)
         schema = StructType.fromJson(manifest["schema"])
         if dict(batch.dtypes) != {f.name: f.dataType.simpleString() for f in schema}:
             raise ValueError(f"Columns differ from the table {self.root}: "
@@ -211,7 +212,7 @@ class SnapshotTable:
             rows = upsert.updated_rows(
                 self._read(manifest, matching),
                 batch.filter(F.col(SLICE).isin(*map(int, matching))), key).unionByName(rows)
-        writer = self._next()[1]
+        writer = self._next(manifest["version"])[1]
         self._write(rows, writer, slice_by)
         return self._replace(manifest, writer, matching)
 
@@ -229,10 +230,14 @@ class SnapshotTable:
         chosen = {s for s, writes in manifest["slices"].items() if len(writes) >= crowded}
         if not chosen:
             return manifest["version"]
-        writer = self._next()[1]
+        writer = self._next(manifest["version"])[1]
         self._write(self._read(manifest, chosen), writer, manifest["slice_by"])
         return self._replace(manifest, writer, chosen)
 
+    def read_slices_of(self, batch: DataFrame, manifest: dict) -> DataFrame:
+        """The rows of the slices that the batch's rows belong to, whether or not they match."""
+        return self._read(manifest, set(self._slice_numbers(self._sliced(batch, manifest["slice_by"])))).drop(SLICE)
+
     def _slice_numbers(self, sliced: DataFrame) -> dict[str, int]:
         """The slices that occur, each with its number of rows without a key."""
         without_key = F.count_if(F.col(self.key).isNull())
@@ -247,17 +252,24 @@ class SnapshotTable:
         """
         oldest = time.time() - seconds
         versions = self.versions()
+        if not versions:
+            return
         shown = {json.loads(files.read_text(self.spark, p))["version"]
                  for p, _ in files.children(self.spark, f"{self.root}/_registered") if p.endswith(".json")}
         gone = [v for v in versions[:-keep] if v not in shown
                 and files.modified(self.spark, f"{self.root}/_manifests/{v:012d}.json") <= oldest]
-        used = {folder for v in versions if v not in gone for folder in self._folders(self.manifest(v)["slices"])}
+        old = []  # folders no write in progress uses, and no reader that began since
+        for path, _ in files.children(self.spark, f"{self.root}/data"):
+            number = int(path.rsplit("/", 1)[-1].split("=")[1].split("-")[0])
+            if number <= versions[-1] and files.modified(self.spark, path) <= oldest:
+                old.append(path)
+        # Manifests are opened only if there is something to remove.
+        used = {folder for v in versions if old and v not in gone
+                for folder in self._folders(self.manifest(v)["slices"])}
         for version in gone:
             files.delete(self.spark, f"{self.root}/_manifests/{version:012d}.json")
-        for path, _ in files.children(self.spark, f"{self.root}/data"):
+        for path in old:
             name = path.rsplit("/", 1)[-1]
-            if int(name.split("=")[1].split("-")[0]) > versions[-1] or files.modified(self.spark, path) > oldest:
-                continue  # a write in progress, or a reader may still hold it
             slices = [p.rsplit("/", 1)[-1] for p, folder in files.children(self.spark, path) if folder]
             unused = [s for s in slices if f"{self.root}/data/{name}/{s}" not in used]
             if len(unused) == len(slices):
@@ -271,28 +283,74 @@ class SnapshotTable:
     def register(self, database: str, name: str, location: str | None = None) -> str:
         """Make the current version readable by SQL as ``database.name``.
 
-        A view over exactly the manifest's folders, each named: one that is
-        missing makes a query fail instead of returning fewer rows. The version
-        is noted, so :meth:`expire` leaves it alone until another is registered.
+        The files are an external table of the catalog, ``<name>__<schema>``,
+        with one partition per folder. Its first partition column is the version
+        the folder was registered for, so the partitions of two versions stand side
+        by side and the view ``name`` changes from one to the other in one statement.
+        The catalog resolves the partitions: filters on ``slice_no`` or
+        ``version_no`` of the table read their folders only, and any engine that
+        knows partitioned Parquet tables can read it.
+
+        Catalogs take a missing folder for an empty one, so the view compares the
+        number of rows in the files' footers with that at registration and fails
+        if they differ. The version is noted, so :meth:`expire` leaves its folders
+        alone until another is registered.
         """
         place = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
         manifest = self.manifest()
-        fields = StructType.fromJson(manifest["schema"])
-        columns = ", ".join(f"`{f.name}`" for f in fields)
-        source = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{folder}`"
-                                    for folder in self._folders(manifest["slices"]))
-        if not source:
-            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
-            source = f"SELECT {nulls} WHERE false"
+        schema = StructType.fromJson(manifest["schema"])
+        rows = self._read(manifest).count()  # a missing folder fails here
+        held = self._partition_table(database, name, schema)
         note = f"{self.root}/_registered/{database}.{name}.json"
         # Noted before the view changes: between the two the older version is still the view's.
         files.replace_text(self.spark, f"{note}.next.json", json.dumps({"version": manifest["version"]}))
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS {source}")
-        files.replace_text(self.spark, note, json.dumps({"version": manifest["version"]}))
+        before = self._registered(held)
+        version = manifest["version"]
+        self._partitions(held, "ADD IF NOT EXISTS", [
+            f"{self._partition(version, writer, number)} LOCATION '{self.root}/data/{VERSION}={writer}/{SLICE}={number}'"
+            for number, writers in sorted(manifest["slices"].items()) for writer in writers])
+        columns = ", ".join(f"`{f.name}`" for f in schema)
+        self.spark.sql(f"""
+            CREATE OR REPLACE VIEW `{database}`.`{name}` AS
+            SELECT {columns} FROM {held} WHERE {SNAPSHOT} = {version}
+            AND (SELECT CASE WHEN count(*) = {rows} THEN true
+                        ELSE raise_error(concat('files of {database}.{name} not found: ', count(*), ' of {rows} rows are there')) END
+                 FROM {held} WHERE {SNAPSHOT} = {version})""")
+        files.replace_text(self.spark, note, json.dumps({"version": version}))
         files.delete(self.spark, f"{note}.next.json")
+        # The version shown last stays one time more, for queries that began with it.
+        last = max((v for v, _, _ in before if v < version), default=version)
+        self._partitions(held, "DROP IF EXISTS", [self._partition(*p) for p in before if p[0] not in (last, version)], ", ")
+        for table in self.spark.sql(f"SHOW TABLES IN `{database}` LIKE '{name}__*'").collect():
+            if f"`{database}`.`{table['tableName']}`" != held and len(table["tableName"]) == len(name) + 14:
+                self.spark.sql(f"DROP TABLE `{database}`.`{table['tableName']}`")  # of other columns; its files stay
         return f"{database}.{name}"
 
+    def _partition_table(self, database: str, name: str, schema: StructType) -> str:
+        """The external table that holds the partitions of versions with these columns."""
+        digest = hashlib.sha256(schema.json().encode()).hexdigest()[:12]
+        held = f"`{database}`.`{name}__{digest}`"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(f"""
+            CREATE TABLE IF NOT EXISTS {held} ({columns}, {SNAPSHOT} BIGINT, {VERSION} STRING, {SLICE} INT) USING parquet
+            PARTITIONED BY ({SNAPSHOT}, {VERSION}, {SLICE}) LOCATION '{self.root}/data'""")
+        return held
+
+    def _registered(self, held: str) -> list[tuple[int, str, str]]:
+        """Version, writer and slice of each partition the catalog knows."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {held}").collect()
+        parts = (dict(p.split("=", 1) for p in r["partition"].split("/")) for r in rows)
+        return [(int(p[SNAPSHOT]), p[VERSION], p[SLICE]) for p in parts]
+
+    @staticmethod
+    def _partition(version: int, writer: str, number: str) -> str:
+        return f"PARTITION ({SNAPSHOT} = {version}, {VERSION} = '{writer}', {SLICE} = {number})"
+
+    def _partitions(self, held: str, action: str, partitions: list[str], between: str = " ") -> None:
+        for at in range(0, len(partitions), STATEMENT):
+            self.spark.sql(f"ALTER TABLE {held} {action} {between.join(partitions[at:at + STATEMENT])}")
+
 
 def merge_into(batch: DataFrame, table: str, key: str = KEY) -> None:
     """The same upsert as one statement, for catalogs with row-level operations."""
