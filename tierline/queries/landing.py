@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tierline.plans.jobs import landing_to_bronze
 from tierline.queries.registry import RUN_ID, given, query, source
@@ -57,6 +57,29 @@ def payload_split(spark, sf_dir):
     return payload_table(read_payload(spark, _documents(spark, sf_dir), multi_line=False), "amounts")
 
 
+@query("payload_huge_document", """
+    SELECT 'orders' AS name, o_orderkey AS id, o_orderpriority AS note, o_totalprice AS amount FROM orders
+    UNION ALL SELECT 'customer', c_custkey, c_name || '}, {"', c_acctbal FROM customer""")
+def payload_huge_document(spark, sf_dir):
+    """One document in one file, its rows cut out by byte ranges, landed and read as JSON."""
+    base = scratch_path(spark, "document")
+    orders = source(spark, sf_dir, "orders", "1 AS part", "o_orderkey AS id",
+                    "to_json(named_struct('id', o_orderkey, 'note', o_orderpriority, 'amount', o_totalprice)) AS value")
+    customers = source(spark, sf_dir, "customer", "3 AS part", "c_custkey AS id",
+                       '''to_json(named_struct('id', c_custkey, 'note', concat(c_name, '}, {"'), 'amount', c_acctbal)) AS value''')
+    frame = spark.createDataFrame([(0, '{"status": {"rows": [{"id": 0}]}, "data": {"orders": ['),
+                                   (2, '], "empty": [], "customer": ['), (4, ']}}')], "part int, value string")
+    last = Window.partitionBy("part").orderBy(F.desc("id"))
+    rows = orders.unionByName(customers).select("part", "id", F.concat(
+        "value", F.when(F.row_number().over(last) > 1, ",").otherwise("")).alias("value"))
+    (rows.unionByName(frame.withColumn("id", F.lit(0).cast("long"))).repartition(1).sortWithinPartitions("part", "id")
+     .select("value").write.text(f"{base}/document"))
+    land_payload(spark, f"{base}/document", f"{base}/landing", "facts", ("orders", "customer", "empty"), by_ranges=True)
+    landed = [read_json(spark, f"{base}/landing/facts/{n}.json", "id long, note string, amount double")
+              .select(F.lit(n).alias("name"), "*") for n in ("orders", "customer")]
+    return landed[0].unionByName(landed[1])
+
+
 @query("payload_text_landed", "SELECT c_custkey AS id, c_name AS name FROM customer")
 def payload_text_landed(spark, sf_dir):
     """A table delivered as JSON text is landed as it is and read as JSON."""

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tierline import files
 from tierline.operators.clean import column_types, quoted
 from tierline.session import scratch_path
+from tierline.sources.payload_ranges import cut_documents
 
 logger = logging.getLogger(__name__)
 
@@ -123,7 +124,7 @@ def payload_table(payload: DataFrame, name: str) -> DataFrame:
 def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
                  folder: str, tables: tuple[str, ...], multi_line: bool = True,
                  window: tuple[str, str] | None = None,
-                 schema: StructType | str | None = None) -> None:
+                 schema: StructType | str | None = None, by_ranges: bool = False) -> None:
     """Write each table of the documents to ``<landing>/<folder>/<table>.json``.
 
     With a ``window`` (first and last day) rows outside it are not landed. All rows
@@ -131,25 +132,32 @@ def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
     landed as a line per row; without a window such text is landed as it comes.
     The documents are parsed once into a columnar copy, of which each table
     then reads its own column. ``schema`` saves the pass that infers types.
+
+    ``by_ranges`` is for documents too large for one task: many tasks cut the rows
+    out of each (:mod:`tierline.sources.payload_ranges`), no types are inferred, and
+    every table has to be a list of rows, landed as the text they come in.
     """
     copy = scratch_path(spark, "payload")
     try:
+        if by_ranges:
+            cut_documents(spark, documents, tables).write.parquet(copy)
+            cut = spark.read.parquet(copy)
+            for name in tables:
+                _land_lines(cut.filter(F.col("name") == name).select("value"), f"{landing}/{folder}/{name}.json", name, window)
+            return
         read_payload(spark, documents, schema, multi_line).write.parquet(copy)
         payload = spark.read.parquet(copy)
         for name in tables:
-            rows = payload_table(payload, name)
-            as_text = isinstance(payload.schema[name].dataType, StringType)
+            rows, path = payload_table(payload, name), f"{landing}/{folder}/{name}.json"
+            if isinstance(payload.schema[name].dataType, StringType):
+                _land_lines(_text_rows(rows) if window else rows, path, name, window)
+                continue
             if window:
-                rows = _text_rows(rows, name) if as_text else rows
                 if "date" not in rows.columns and payload_has_rows(rows):
                     raise ValueError(f"Table {name!r} has no date, but a window of dates is asked for")
                 if "date" in rows.columns:
                     rows = fact_window(rows, window[1], window[0], backfill="1")
-            path = f"{landing}/{folder}/{name}.json"
-            if as_text:
-                rows.select("value").write.mode("overwrite").text(path)
-            else:
-                write_json(rows, path)
+            write_json(rows, path)
     finally:
         files.delete(spark, copy)
 
@@ -158,14 +166,23 @@ def payload_has_rows(rows: DataFrame) -> bool:
     return not rows.isEmpty()
 
 
-def _text_rows(texts: DataFrame, name: str) -> DataFrame:
-    """JSON text of a list of rows: a line per row, and its date."""
-    lists = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
-    rows = texts.select(F.explode(lists).alias("value")).select(
-        "value", F.get_json_object("value", "$.date").alias("date"))
-    if not rows.filter("date IS NULL").isEmpty():
+def _land_lines(lines: DataFrame, path: str, name: str, window: tuple[str, str] | None) -> None:
+    """Write lines of JSON text, of a window only those with a date in it; one pass finds lines without a date."""
+    seen = Observation()
+    if window:
+        dated = lines.select("value", F.get_json_object("value", "$.date").alias("date")).observe(
+            seen, F.count_if(F.col("date").isNull()).alias("undated"))
+        lines = fact_window(dated, window[1], window[0], backfill="1").select("value")
+    lines.write.mode("overwrite").text(path)
+    if window and seen.get["undated"]:
+        files.delete(lines.sparkSession, path)
         raise ValueError(f"Table {name!r} has rows without a date, but a window of dates is asked for")
-    return rows
+
+
+def _text_rows(texts: DataFrame) -> DataFrame:
+    """JSON text of a list of rows: a line per row."""
+    lists = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+    return texts.select(F.explode(lists).alias("value"))
 
 
 def fact_window(df: DataFrame, input_date: str, start_date: str | None = None,
