@@ -109,7 +109,7 @@ def run_summary(log: DataFrame) -> DataFrame:
 
 
 #: Slices of the stored log, and how often a writer tries again when another was first.
-LOG_SLICES, ATTEMPTS = 64, 20
+LOG_SLICES, ATTEMPTS = 8, 20
 
 
 class RunLog:
@@ -131,7 +131,15 @@ class RunLog:
         Several writers may apply batches at a time: one that loses the race for
         the next version starts again from the winner's.
         """
-        records = latest_records(log_records(own_events(events), *order), *order)
+        self.put(latest_records(log_records(own_events(events), *order), *order), *order)
+
+    def put(self, records: DataFrame, *order: str) -> None:
+        """Upsert records of one row per key (``task_run_id``, ``body`` and the order).
+
+        Only the slices of the batch are read. What is newer is decided by one
+        version of the log and written after that one: if another writer came
+        between, both are done again.
+        """
         # All writers of a log store the order under the same names.
         places = [F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]
         order = tuple(f"order_{i}" for i in range(len(order))) or ("order_0",)
@@ -142,7 +150,8 @@ class RunLog:
         try:
             for attempt in range(ATTEMPTS):
                 try:
-                    self.table.upsert(self._newer(batch, order), unique_keys=True)
+                    manifest = self.table.latest()
+                    self.table.upsert(self._newer(batch, order, manifest), unique_keys=True, based_on=manifest)
                     break
                 except FileExistsError:
                     if attempt == ATTEMPTS - 1:
@@ -150,16 +159,25 @@ class RunLog:
                     time.sleep(random.uniform(0, 0.2 * (attempt + 1)))
         finally:
             files.delete(self.spark, path)
-        self.table.expire()
 
-    def _newer(self, batch: DataFrame, order: tuple[str, ...]) -> DataFrame:
-        """The records of the batch that no stored one is later than."""
-        if not self.table.exists():
+    def _newer(self, batch: DataFrame, order: tuple[str, ...], manifest: dict | None) -> DataFrame:
+        """The records of the batch that no stored one of that version is later than."""
+        if manifest is None:
             return batch
-        stored = self.table.read().select(F.col(LOG_KEY).alias("__key"), F.struct(*order).alias("__stored"))
+        stored = self.table.read_slices_of(batch, manifest).select(
+            F.col(LOG_KEY).alias("__key"), F.struct(*order).alias("__stored"))
         later = (F.col(LOG_KEY) == F.col("__key")) & (F.col("__stored") > F.struct(*order))
         return batch.join(stored, later, "left_anti")
 
+    def tidy(self) -> None:
+        """Gather slices that lie in many folders and remove versions nobody reads; once per run is enough."""
+        if self.table.exists():
+            try:
+                self.table.compact()
+            except FileExistsError:  # another writer was first; the next run gathers them
+                pass
+            self.table.expire()
+
     def report(self, run_id: int | str, producer: str, status: str, update: str = "ok") -> None:
         self.apply(status_event(self.spark, run_id, producer, status, update), "Time")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tierline.operators import runlog
 from tierline.queries.registry import given, query
 from tierline.session import scratch_path
-from tierline.streaming.run_events import start_run_log
+from tierline.streaming.run_events import start_run_log, start_run_state, state_log
 
 # A user stands for a run, the event type for the reporting job, a low value for trouble.
 _STATUS = "CASE WHEN value < 2 THEN 'failed' WHEN value < 5 THEN 'partial' ELSE 'success' END"
@@ -85,6 +85,23 @@ def run_log_stream(spark, sf_dir):
     return _flat(runlog.RunLog(spark, f"{base}/log").table.read())
 
 
+@query("run_log_state_stream", f"""
+    SELECT *, true AS in_table FROM ({_LOG_SQL})""")
+def run_log_state_stream(spark, sf_dir):
+    """The log as keyed state of a stream whose files come in an order of their own, beside the table it feeds.
+
+    Files hold the events of a user, so most of them come later than events of a later time.
+    """
+    base = scratch_path(spark, "state")
+    (_events(spark, sf_dir).select("Source", "DetailType", "Detail", "Time")
+     .repartition(6, F.get_json_object("Detail", "$.run_id")).write
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{base}/events"))
+    start_run_state(spark, f"{base}/events", f"{base}/log", f"{base}/checkpoint", max_files=2).awaitTermination()
+    table = _flat(runlog.RunLog(spark, f"{base}/log").table.read())
+    state = _flat(state_log(spark, f"{base}/checkpoint"))
+    return state.join(table.withColumn("in_table", F.lit(True)), state.columns, "left")
+
+
 @query("status_gate", f"""
     WITH log AS ({_LOG_SQL}),
     steps AS (SELECT DISTINCT user_id || '_' || producer AS task_run_id FROM events,
