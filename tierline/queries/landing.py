@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 from tierline.plans.jobs import landing_to_bronze
 from tierline.queries.registry import RUN_ID, given, query, source
 from tierline.session import scratch_path
+from tierline.sources import variant_bronze
 from tierline.sources.bronze import read_bronze
 from tierline.sources.landing import (fact_window, land_payload, payload_table, read_json,
                                       read_payload, scan_landing, write_json)
@@ -38,6 +39,36 @@ def json_to_bronze(spark, sf_dir):
         "event_id", "event_type", "props.k", "value")
 
 
+_EVENTS_SQL = """
+    SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value FROM events"""
+
+
+def _nested_events(spark, sf_dir):
+    return given(spark, sf_dir, "events").select("event_id", "event_type", "value", F.from_json("props", "k bigint").alias("props"))
+
+
+@query("bronze_variant", _EVENTS_SQL)
+def bronze_variant(spark, sf_dir):
+    """The same rows, their JSON parsed once into variants and typed from those."""
+    base = scratch_path(spark, "bronze")
+    write_json(_nested_events(spark, sf_dir), f"{base}/landing/facts/events.json")
+    variant_bronze.landing_to_typed(spark, f"{base}/landing", f"{base}/bronze", RUN_ID)
+    return read_bronze(spark, f"{base}/bronze", RUN_ID, "events").select("event_id", "event_type", "props.k", "value")
+
+
+@query("bronze_available_now", _EVENTS_SQL)
+def bronze_available_now(spark, sf_dir):
+    """Landed in two parts, each taken by a run of the stream in batches; a third run finds nothing new."""
+    base, rows = scratch_path(spark, "bronze"), _nested_events(spark, sf_dir)
+    for part in (rows.filter("event_type = 'click'"), rows.filter("event_type <> 'click' OR event_type IS NULL"), None):
+        if part is not None:
+            part.repartition(3).write.mode("append").option("ignoreNullFields", False).json(f"{base}/landing/facts/events.json")
+        variant_bronze.start_landing_stream(spark, f"{base}/landing", f"{base}/bronze", RUN_ID, f"{base}/checkpoint",
+                                            max_files=2).awaitTermination()
+    variant_bronze.settle(spark, f"{base}/bronze", RUN_ID)
+    return read_bronze(spark, f"{base}/bronze", RUN_ID, "events").select("event_id", "event_type", "props.k", "value")
+
+
 def _documents(spark, sf_dir):
     """API documents: per customer a list of one buyer and one of two amounts."""
     path = scratch_path(spark, "documents")
