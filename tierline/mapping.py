@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, fields
 
@@ -58,6 +59,13 @@ class TableMapping:
     def dq_rules(self) -> list[str]:
         return [r.dq_rule for r in self.rules if r.dq_rule != UNSET]
 
+    @property
+    def key_parts(self) -> tuple[str, ...]:
+        """Silver columns that the key's expression is made of, as far as they hold the ids as they are."""
+        words = {w for r in self.rules if r.target_column == KEY for w in re.findall(r"\w+", r.expr)}
+        return tuple(r.target_column for r in self.source_rules
+                     if r.source_column in words and r.target_column != KEY and r.transformation == UNSET)
+
     @property
     def insert_columns(self) -> list[str]:
         """Columns a new row fills: all mapped ones, then the audit columns."""

@@ -133,7 +133,9 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
         if load_type == FULL_LOAD:
             target.full_load(rows)
         else:
-            target.upsert(rows, stored_at)
+            # A column the mapping gained or lost since the last run needs no full load.
+            target.upsert(rows, stored_at, evolve=target.differs(rows), update=mapping.update_columns,
+                          insert=mapping.insert_columns, witness=mapping.key_parts)
 
     if not (check_quality and mapping.dq_rules):
         load(transform(clean(source, mapping), mapping, run_id, as_of, custom))

@@ -14,6 +14,10 @@ manifest appears, and readers of the older one are not disturbed. Each write has
 a folder of its own; of two writers that start from the same version one
 publishes, the other fails with :class:`FileExistsError` and may try again.
 
+Columns may change with an upsert that says so: the table's types become the
+common ones (:mod:`tierline.functions.lattice`), files written before keep theirs,
+which the manifest notes per write, and are cast when they are read.
+
 Where the catalog has a format with row-level operations, use
 :func:`merge_into` and leave storage to that format.
 """
@@ -26,10 +30,11 @@ import logging
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tierline import files
+from tierline.functions.lattice import merged
 from tierline.mapping import KEY
 from tierline.operators import upsert
 from tierline.session import scratch_path
@@ -91,30 +96,55 @@ class SnapshotTable:
         version = ((self.versions() or [0])[-1] if after is None else after) + 1
         return version, f"{version:012d}-{uuid.uuid4().hex}"
 
-    def _publish(self, version: int, schema: StructType, slice_by: str,
-                 slices: dict[str, list[str]]) -> int:
+    def _publish(self, version: int, schema: StructType, slice_by: str, slices: dict[str, list[str]],
+                 older: dict | None = None) -> int:
+        """``older`` has the types of the writes that were made with others: ``schemas`` and, by writer, ``written``."""
+        used = {w for writers in slices.values() for w in writers}
+        written = {w: n for w, n in (older or {}).get("written", {}).items() if w in used}
+        changed = {"schemas": older["schemas"], "written": written} if written else {}
         files.publish_text(
             self.spark, f"{self.root}/_manifests/{version:012d}.json",
             json.dumps({"version": version, "key": self.key, "slice_by": slice_by,
-                        "schema": schema.jsonValue(), "slices": slices}))
+                        "schema": schema.jsonValue(), "slices": slices} | changed))
         return version
 
+    @staticmethod
+    def _widened(manifest: dict, schema: StructType) -> dict:
+        """The manifest as it would be with these columns; writes so far keep the ones they have."""
+        schemas, written = [*manifest.get("schemas", []), manifest["schema"]], dict(manifest.get("written", {}))
+        for writers in manifest["slices"].values():
+            for writer in writers:
+                written.setdefault(writer, len(schemas) - 1)
+        return manifest | {"schema": schema.jsonValue(), "schemas": schemas, "written": written}
+
     # -- reading -----------------------------------------------------------
 
     def _folders(self, slices: dict[str, list[str]]) -> list[str]:
         return [f"{self.root}/data/{VERSION}={v}/{SLICE}={s}"
                 for s, versions in sorted(slices.items()) for v in versions]
 
+    def _by_schema(self, manifest: dict, only: set[str] | None = None) -> list[tuple[StructType, dict[str, list[str]]]]:
+        """The chosen slices' writes, by the columns they were made with."""
+        found: dict[int, dict[str, list[str]]] = {}
+        for number, writers in manifest["slices"].items():
+            for writer in writers if only is None or number in only else ():
+                place = manifest.get("written", {}).get(writer, -1)
+                found.setdefault(place, {}).setdefault(number, []).append(writer)
+        schemas = [*manifest.get("schemas", []), manifest["schema"]]
+        return [(StructType.fromJson(schemas[place]), slices) for place, slices in sorted(found.items())]
+
     def _read(self, manifest: dict, only: set[str] | None = None) -> DataFrame:
-        """Rows of the chosen slices, with the slice number."""
-        schema = StructType.fromJson(manifest["schema"])
-        chosen = {s: v for s, v in manifest["slices"].items() if only is None or s in only}
-        wide = StructType(schema.fields).add(VERSION, StringType()).add(SLICE, IntegerType())
-        if not chosen:
-            return self.spark.createDataFrame([], wide).drop(VERSION)
-        return (self.spark.read.schema(wide)
-                .option("basePath", f"{self.root}/data")
-                .parquet(*self._folders(chosen)).drop(VERSION))
+        """Rows of the chosen slices, with the slice number, older writes cast to the columns of now."""
+        schema, rows = StructType.fromJson(manifest["schema"]), None
+        for own, slices in self._by_schema(manifest, only):
+            wide = StructType(own.fields).add(VERSION, StringType()).add(SLICE, IntegerType())
+            part = (self.spark.read.schema(wide).option("basePath", f"{self.root}/data")
+                    .parquet(*self._folders(slices)).drop(VERSION))
+            part = part if own == schema else part.select(*_cast(own, schema), SLICE)
+            rows = part if rows is None else rows.unionByName(part)
+        if rows is None:
+            return self.spark.createDataFrame([], StructType([*schema.fields, StructField(SLICE, IntegerType())]))
+        return rows
 
     def read(self, version: int | None = None) -> DataFrame:
         return self._read(self.manifest(version)).drop(SLICE)
@@ -161,8 +191,16 @@ class SnapshotTable:
         versions = self.versions()
         return self.manifest(versions[-1]) if versions else None
 
+    def differs(self, rows: DataFrame) -> bool:
+        """Whether the rows have other columns than the table, or other types."""
+        manifest = self.latest()
+        return manifest is not None and dict(rows.dtypes) != {
+            f.name: f.dataType.simpleString() for f in StructType.fromJson(manifest["schema"])}
+
     def upsert(self, batch: DataFrame, stored_at: str | None = None,
-               unique_keys: bool = False, based_on: dict | None = None) -> int:
+               unique_keys: bool = False, based_on: dict | None = None, evolve: bool = False,
+               update: list[str] | None = None, insert: list[str] | None = None,
+               witness: tuple[str, ...] = ()) -> int:
         """Type-1 keyed load: update matching rows, insert the others.
 
         A missing table is a full load. Fails, changing nothing, when several
@@ -172,27 +210,44 @@ class SnapshotTable:
         history. Give ``stored_at`` if it already is a scan of that path. A batch
         that was chosen by what a version holds gives its manifest as ``based_on``:
         if there is a later version by now, :class:`FileExistsError` says so.
+
+        With ``evolve`` the batch may have other columns: new ones are added,
+        changed ones take the common type, and those it lacks keep their values in
+        updated rows and are null in new ones. ``update`` and ``insert`` name the
+        columns that existing and new rows take from the batch (all). Rows with
+        one key must agree in the ``witness`` columns, which the key is made of;
+        else :class:`KeyCollisionError` names some and nothing is changed.
         """
         manifest = based_on or self.latest()
         if manifest is None:
+            upsert.check_collisions(batch, None, self.key, witness)
             return self.full_load(batch, after=0)
         schema = StructType.fromJson(manifest["schema"])
-        if dict(batch.dtypes) != {f.name: f.dataType.simpleString() for f in schema}:
+        if evolve:
+            wider = merged(schema, batch.schema)
+            if wider[self.key].dataType != schema[self.key].dataType:
+                raise ValueError(f"The key of {self.root} is {schema[self.key].dataType.simpleString()}, not "
+                                 f"{batch.schema[self.key].dataType.simpleString()}")
+            if [(f.name, f.dataType) for f in wider] != [(f.name, f.dataType) for f in schema]:
+                manifest, schema = self._widened(manifest, wider), wider
+        elif dict(batch.dtypes) != {f.name: f.dataType.simpleString() for f in schema}:
             raise ValueError(f"Columns differ from the table {self.root}: "
                              f"{batch.schema.simpleString()} against {schema.simpleString()}")
         staging = scratch_path(self.spark, "upsert")
-        batch = self._sliced(batch.select(*schema.names), manifest["slice_by"])
+        kinds = {f.name: f.dataType for f in schema}
+        batch = self._sliced(batch.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in schema.names
+                                            if c in batch.columns)), manifest["slice_by"])
         try:
-            if not stored_at:
+            if not stored_at or evolve:
                 stored_at = f"{staging}/batch"
                 batch.write.parquet(stored_at)
-                batch = self.spark.read.parquet(stored_at)
-            return self._upsert_stored(batch, stored_at, unique_keys, manifest, schema, staging)
+                batch = self.spark.read.schema(batch.schema).parquet(stored_at)
+            return self._upsert_stored(batch, stored_at, unique_keys, manifest, staging, update, insert, witness)
         finally:
             files.delete(self.spark, staging)
 
-    def _upsert_stored(self, batch, stored_at, unique_keys, manifest, schema, staging) -> int:
-        key, slice_by = self.key, manifest["slice_by"]
+    def _upsert_stored(self, batch, stored_at, unique_keys, manifest, staging, update, insert, witness) -> int:
+        key, slice_by, names = self.key, manifest["slice_by"], StructType.fromJson(manifest["schema"]).names
         counted = self._slice_numbers(batch)
         touched, without_key = set(counted), sum(counted.values())
         if not touched:
@@ -200,18 +255,24 @@ class SnapshotTable:
         if without_key:
             logger.warning("%s: %d rows without a key are added as new", self.root, without_key)
         small = files.bytes_below(self.spark, stored_at) <= BROADCAST_BYTES
-        (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small)
+        (upsert.matched_keys(self._read(manifest, touched), batch, key, (SLICE,), small, witness)
          .write.parquet(f"{staging}/matched"))
         matched = self.spark.read.parquet(f"{staging}/matched")
         matching = set(self._slice_numbers(matched))
+        upsert.check_collisions(batch, matched, key, witness)
         if matching and not unique_keys:
             upsert.check_conflicts(batch, matched, key)
 
         rows = upsert.new_rows(batch, matched, key)
+        if insert is not None:
+            rows = rows.select(*(c for c in rows.columns if c in (*insert, key, SLICE)))
         if matching:
+            taken = batch if update is None else batch.select(*(c for c in batch.columns if c in (*update, key, SLICE)))
             rows = upsert.updated_rows(
                 self._read(manifest, matching),
-                batch.filter(F.col(SLICE).isin(*map(int, matching))), key).unionByName(rows)
+                taken.filter(F.col(SLICE).isin(*map(int, matching))), key).unionByName(rows, allowMissingColumns=True)
+        kinds = {f.name: f.dataType for f in StructType.fromJson(manifest["schema"])}
+        rows = rows.select(*(F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names), SLICE)
         writer = self._next(manifest["version"])[1]
         self._write(rows, writer, slice_by)
         return self._replace(manifest, writer, matching)
@@ -222,7 +283,7 @@ class SnapshotTable:
         for s in self._written_slices(writer):
             slices[s] = [writer] if s in rewritten else slices.get(s, []) + [writer]
         return self._publish(manifest["version"] + 1, StructType.fromJson(manifest["schema"]),
-                             manifest["slice_by"], slices)
+                             manifest["slice_by"], slices, manifest)
 
     def compact(self, crowded: int = CROWDED) -> int:
         """Rewrite the slices that lie in ``crowded`` folders or more; a new version if there are any."""
@@ -301,29 +362,33 @@ class SnapshotTable:
         manifest = self.manifest()
         schema = StructType.fromJson(manifest["schema"])
         rows = self._read(manifest).count()  # a missing folder fails here
-        held = self._partition_table(database, name, schema)
         note = f"{self.root}/_registered/{database}.{name}.json"
         # Noted before the view changes: between the two the older version is still the view's.
         files.replace_text(self.spark, f"{note}.next.json", json.dumps({"version": manifest["version"]}))
-        before = self._registered(held)
-        version = manifest["version"]
-        self._partitions(held, "ADD IF NOT EXISTS", [
-            f"{self._partition(version, writer, number)} LOCATION '{self.root}/data/{VERSION}={writer}/{SLICE}={number}'"
-            for number, writers in sorted(manifest["slices"].items()) for writer in writers])
-        columns = ", ".join(f"`{f.name}`" for f in schema)
-        self.spark.sql(f"""
-            CREATE OR REPLACE VIEW `{database}`.`{name}` AS
-            SELECT {columns} FROM {held} WHERE {SNAPSHOT} = {version}
-            AND (SELECT CASE WHEN count(*) = {rows} THEN true
-                        ELSE raise_error(concat('files of {database}.{name} not found: ', count(*), ' of {rows} rows are there')) END
-                 FROM {held} WHERE {SNAPSHOT} = {version})""")
+        version, parts, last = manifest["version"], [], {}
+        for own, slices in self._by_schema(manifest) or [(schema, {})]:
+            held = self._partition_table(database, name, own)
+            before = self._registered(held)
+            self._partitions(held, "ADD IF NOT EXISTS", [
+                f"{self._partition(version, writer, number)} LOCATION '{self.root}/data/{VERSION}={writer}/{SLICE}={number}'"
+                for number, writers in sorted(slices.items()) for writer in writers])
+            columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in own.names
+                                else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            parts.append((held, f"SELECT {columns} FROM {held} WHERE {SNAPSHOT} = {version}"))
+            last[held] = before
+        counts = " UNION ALL ".join(f"SELECT count(*) AS n FROM {held} WHERE {SNAPSHOT} = {version}" for held, _ in parts)
+        whole = (f"(SELECT CASE WHEN sum(n) = {rows} THEN true ELSE raise_error(concat("
+                 f"'files of {database}.{name} not found: ', sum(n), ' of {rows} rows are there')) END FROM ({counts}))")
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS "
+                       + " UNION ALL ".join(f"{select} AND {whole}" for _, select in parts))
         files.replace_text(self.spark, note, json.dumps({"version": version}))
         files.delete(self.spark, f"{note}.next.json")
         # The version shown last stays one time more, for queries that began with it.
-        last = max((v for v, _, _ in before if v < version), default=version)
-        self._partitions(held, "DROP IF EXISTS", [self._partition(*p) for p in before if p[0] not in (last, version)], ", ")
+        for held, before in last.items():
+            kept = (max((v for v, _, _ in before if v < version), default=version), version)
+            self._partitions(held, "DROP IF EXISTS", [self._partition(*p) for p in before if p[0] not in kept], ", ")
         for table in self.spark.sql(f"SHOW TABLES IN `{database}` LIKE '{name}__*'").collect():
-            if f"`{database}`.`{table['tableName']}`" != held and len(table["tableName"]) == len(name) + 14:
+            if f"`{database}`.`{table['tableName']}`" not in last and len(table["tableName"]) == len(name) + 14:
                 self.spark.sql(f"DROP TABLE `{database}`.`{table['tableName']}`")  # of other columns; its files stay
         return f"{database}.{name}"
 
@@ -352,6 +417,11 @@ class SnapshotTable:
             self.spark.sql(f"ALTER TABLE {held} {action} {between.join(partitions[at:at + STATEMENT])}")
 
 
+def _cast(own: StructType, wanted: StructType) -> list[Column]:
+    """The wanted columns from those there are; missing ones are null."""
+    return [(F.col(f"`{f.name}`") if f.name in own.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted]
+
+
 def merge_into(batch: DataFrame, table: str, key: str = KEY) -> None:
     """The same upsert as one statement, for catalogs with row-level operations."""
     values = {c: F.col(f"source.{c}") for c in batch.columns}
