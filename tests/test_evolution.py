@@ -1,0 +1,141 @@
+"""Columns that change between loads, column sets, and keys that collide."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tierline.functions.lattice import common_type, merged
+from tierline.mapping import dated_key, day, identity_key, integer, phone, string, table
+from tierline.operators.upsert import KeyCollisionError, key_collisions, matched_keys
+from tierline.plans.jobs import load_silver_table
+from tierline.sources.bronze import write_bronze
+from tierline.sources.snapshots import SnapshotTable, hash_slices
+
+
+def kind(text):
+    return StructType.fromDDL(f"c {text}")["c"].dataType
+
+
+@pytest.mark.parametrize("a, b, common", [
+    ("int", "bigint", "bigint"), ("tinyint", "smallint", "smallint"), ("bigint", "double", "double"), ("float", "int", "double"),
+    ("float", "float", "float"), ("decimal(10,2)", "int", "decimal(12,2)"), ("decimal(10,2)", "decimal(8,4)", "decimal(12,4)"),
+    ("decimal(38,10)", "bigint", "decimal(38,10)"), ("decimal(38,0)", "decimal(38,10)", "double"), ("decimal(10,2)", "float", "double"),
+    ("date", "timestamp", "timestamp"), ("date", "timestamp_ntz", "timestamp_ntz"), ("bigint", "string", "string"),
+    ("boolean", "int", "string"), ("void", "date", "date"), ("array<int>", "array<double>", "array<double>"),
+    ("struct<a: int>", "struct<a: bigint, b: string>", "struct<a:bigint,b:string>"), ("map<string,int>", "map<string,bigint>", "map<string,bigint>")])
+def test_common_types(spark, a, b, common):
+    assert common_type(kind(a), kind(b)).simpleString() == common
+    if not a.startswith("struct"):
+        assert common_type(kind(b), kind(a)).simpleString() == common
+
+
+def test_single_and_nested_types_have_none_in_common(spark):
+    with pytest.raises(ValueError):
+        common_type(kind("int"), kind("array<int>"))
+
+
+def test_columns_keep_their_order(spark):
+    a, b = StructType.fromDDL("k long, x int"), StructType.fromDDL("y string, x double, k long")
+    assert merged(a, b).simpleString() == "struct<k:bigint,x:double,y:string>"
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("slice_by", ["0", hash_slices(3), "dwid % 5"])
+def test_versions_with_other_columns(spark, tmp_path, slice_by):
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by=slice_by)
+    target.full_load(spark.createDataFrame([(1, 5, "a"), (2, 6, "b"), (3, 7, "c"), (None, 8, "d")], "dwid long, n long, old string"))
+    with pytest.raises(ValueError, match="Columns differ"):
+        target.upsert(spark.createDataFrame([(2, 0.5)], "dwid long, n double"))
+    target.upsert(spark.createDataFrame([(2, 0.5, True), (9, 1.5, False)], "dwid long, n double, new boolean"), evolve=True)
+    expected = [(1, 5.0, "a", None), (2, 0.5, "b", True), (3, 7.0, "c", None), (9, 1.5, None, False), (None, 8.0, "d", None)]
+    assert target.read().columns == ["dwid", "n", "old", "new"] and rows_of(target.read()) == sorted(expected, key=str)
+    assert rows_of(target.read(1)) == sorted([(1, 5, "a"), (2, 6, "b"), (3, 7, "c"), (None, 8, "d")], key=str)
+    assert tuple(target.read_key(1).first()) == (1, 5.0, "a", None)
+    # Three generations of types in one table; then text.
+    target.upsert(spark.createDataFrame([(3, "many")], "dwid long, n string"), evolve=True)
+    expected = [(1, "5", "a", None), (2, "0.5", "b", True), (3, "many", "c", None), (9, "1.5", None, False), (None, "8", "d", None)]
+    seen = [(k, n.removesuffix(".0"), *rest) for k, n, *rest in rows_of(target.read())]
+    assert sorted(seen, key=str) == sorted(expected, key=str)
+    target.register("tierline_generations", f"t{abs(hash(slice_by)) % 1000}", f"{tmp_path}/db")
+    assert rows_of(spark.table(f"tierline_generations.t{abs(hash(slice_by)) % 1000}")) == rows_of(target.read())
+    before = rows_of(target.read())
+    target.compact(1)
+    assert rows_of(target.read()) == before and "written" not in target.manifest()
+    target.expire(seconds=0)
+    assert rows_of(target.read()) == before
+
+
+def test_the_key_keeps_its_type(spark, tmp_path):
+    target = SnapshotTable(spark, f"{tmp_path}/t")
+    target.full_load(spark.createDataFrame([(1, "a")], "dwid long, a string"))
+    with pytest.raises(ValueError, match="key"):
+        target.upsert(spark.createDataFrame([("1", "a")], "dwid string, a string"), evolve=True)
+
+
+def test_column_sets(spark, tmp_path):
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by=hash_slices(2))
+    schema = "dwid long, a string, b string"
+    target.full_load(spark.createDataFrame([(1, "a1", "b1"), (2, "a2", "b2")], schema))
+    target.upsert(spark.createDataFrame([(2, "A", "B"), (3, "A", "B")], schema), update=["a"], insert=["b"])
+    assert rows_of(target.read()) == [(1, "a1", "b1"), (2, "A", "b2"), (3, None, "B")]
+
+
+def test_a_mapping_that_gains_and_loses_a_column_needs_no_full_load(spark, tmp_path):
+    write_bronze(spark.createDataFrame([(1, "x", "y"), (2, "z", "w")], "id long, a string, b string"), f"{tmp_path}/bronze", 1, "t")
+    first, second = (table("t", identity_key("id"), integer("id"), string(c)) for c in ("a", "b"))
+
+    def load(mapping, run):
+        return load_silver_table(spark, mapping, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/rejected", run, as_of="now")
+    load(first, 1)
+    write_bronze(spark.createDataFrame([(2, "Z", "W"), (3, "Z", "V")], "id long, a string, b string"), f"{tmp_path}/bronze", 2, "t")
+    rows = load(second, 2).read().select("dwid", "a", "b", "etl_run_id")
+    assert rows_of(rows) == [(1, "x", None, "1"), (2, "z", "W", "2"), (3, None, "V", "2")]
+
+
+def test_parts_of_keys():
+    assert table("t", dated_key("id"), day("date"), integer("id"), string("x")).key_parts == ("date", "id")
+    assert table("t", dated_key("p", "d"), day("date"), integer("p", "product"), integer("d")).key_parts == ("date", "product", "d")
+    assert table("t", identity_key("id"), integer("id"), phone("phone")).key_parts == ("id",)
+
+
+SCHEMA = "dwid long, a long, b long"
+
+
+@pytest.mark.parametrize("stored, batch, collides", [
+    ([(112, 1, 12)], [(112, 11, 2)], True), ([(112, 1, 12)], [(112, 1, 12)], False), ([], [(112, 1, 12), (112, 11, 2)], True),
+    ([(5, 0, 5)], [(112, 1, 12), (112, 11, 2)], True), ([(112, 1, None)], [(112, 1, 12)], True), ([(112, 1, None)], [(112, 1, None)], False),
+    ([(112, 1, 12), (112, 11, 2)], [(112, 1, 12)], True), ([(None, 1, 12)], [(None, 11, 2)], False), ([(112, 1, 12)], [(7, 0, 7)], False)])
+def test_colliding_keys_change_nothing(spark, tmp_path, stored, batch, collides):
+    target = SnapshotTable(spark, f"{tmp_path}/t", slice_by=hash_slices(2))
+    if stored:
+        target.full_load(spark.createDataFrame(stored, SCHEMA))
+    new = spark.createDataFrame(batch, SCHEMA)
+    if collides:
+        with pytest.raises(KeyCollisionError, match="112"):
+            target.upsert(new, witness=("a", "b"))
+        assert not stored or rows_of(target.read()) == rows_of(spark.createDataFrame(stored, SCHEMA))
+        if not stored:
+            assert not target.exists()
+    else:
+        target.upsert(new, witness=("a", "b"))
+        assert target.read().count() == len({(k, a, b) for k, a, b in stored + batch})
+
+
+def test_collisions_name_both_ids(spark):
+    stored, batch = (spark.createDataFrame([r], SCHEMA) for r in ((112, 1, 12), (112, 11, 2)))
+    for small in (True, False):
+        row = key_collisions(batch, matched_keys(stored, batch, batch_is_small=small, witness=("a", "b")), witness=("a", "b")).first()
+        assert (row.dwid, tuple(row["first"]), tuple(row["other"])) == (112, (1, 12), (11, 2))
+
+
+def test_a_load_of_colliding_facts_is_refused(spark, tmp_path):
+    mapping = table("t", dated_key("p", "d"), day("date"), integer("p"), integer("d"))
+    for run, ids in ((1, (1, 12)), (2, (11, 2))):
+        write_bronze(spark.createDataFrame([("2024-01-01", *ids)], "date string, p long, d long"), f"{tmp_path}/bronze", run, "t")
+    load = lambda run: load_silver_table(spark, mapping, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/bad", run)
+    load(1)
+    with pytest.raises(KeyCollisionError, match="1, 12.*11, 2"):
+        load(2)

@@ -1,9 +1,10 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.mapping import identity_key, integer, string, table
+from tierline.mapping import CUSTOM, ColumnRule, identity_key, integer, string, table
 from tierline.operators import runlog
 from tierline.plans import dairy, jobs
 from tierline.plans.parameters import FULL_LOAD, INCREMENTAL_LOAD, RunParameters
@@ -120,6 +121,27 @@ def test_one_failing_table_leaves_the_others(spark, tmp_path, rows):
     assert rows(SnapshotTable(spark, f"{tmp_path}/s/good").read(), "dwid", "t") == [(1, "a")]
 
 
+def test_a_table_beyond_its_time_is_cancelled_alone(spark, tmp_path):
+    names = [f"t{i}" for i in range(4)]
+    for name in names:
+        write_bronze(spark.createDataFrame([(1, name)], "id long, name string"), f"{tmp_path}/bronze", 3, name)
+    waits = ColumnRule("t2", "NA", "waits", "string", is_generated="Y", transformation=CUSTOM)
+    mapping = {n: table(n, identity_key("id"), integer("id"), *([lambda _: waits] if n == "t2" else [])) for n in names}
+    log = runlog.RunLog(spark, f"{tmp_path}/log")
+    status, problems = jobs.bronze_to_silver(
+        spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/bad", 3, mapping=mapping, log=log,
+        custom={"t2": {"waits": lambda _: F.expr("reflect('java.lang.Thread', 'sleep', 60000L)")}}, table_seconds={"t2": 1})
+    assert status == "partial" and "table:t2" in problems and problems.count("table:") == 1 and "longer than 1 s" in problems
+    assert log.lookup(3, runlog.TO_SILVER)["status"] == "partial"
+    assert [SnapshotTable(spark, f"{tmp_path}/silver/{n}").exists() for n in names] == [True, True, False, True]
+    # The thread is as before, and work within its time is left alone.
+    assert not spark.sparkContext.getLocalProperty("spark.job.tags")
+    with jobs.time_limit(spark, 60, "short"):
+        assert spark.range(3).count() == 3
+    with pytest.raises(TimeoutError, match="idle took longer"), jobs.time_limit(spark, 0.1, "idle"):
+        time.sleep(0.5)  # no Spark job to cancel
+
+
 def test_quality_can_be_skipped(spark, tmp_path, caplog):
     mapping = dairy.MAPPING["farmers_data"]
     write_bronze(spark.createDataFrame([farmer(1, gender="X")]), f"{tmp_path}/b", 1, "farmers_data")

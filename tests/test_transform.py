@@ -72,6 +72,20 @@ def test_custom_columns(spark):
     assert run(df, mapping, custom={"size": lambda d: F.lit("big")}).first()["size"] == "big"
 
 
+def test_custom_columns_by_sql_functions(spark, tmp_path):
+    rules = [ColumnRule("t", "NA", n, "string", is_generated="Y", transformation=CUSTOM) for n in ("size", "given", "other")]
+    mapping = table("t", integer("id"), string("note"), *(lambda _, r=r: r for r in rules))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tierline_fn LOCATION '{tmp_path}/fn'")
+    spark.sql("CREATE OR REPLACE FUNCTION tierline_fn.t__size(id BIGINT, note STRING) RETURNS STRING RETURN concat(note, id)")
+    spark.sql("CREATE OR REPLACE FUNCTION tierline_fn.t__given() RETURNS STRING RETURN 'catalog'")
+    spark.sql("CREATE OR REPLACE FUNCTION tierline_fn.u__other() RETURNS STRING RETURN 'of another table'")
+    df = spark.createDataFrame([(5, "n")], "id bigint, note string")
+    row = run(df, mapping, functions="tierline_fn").first()
+    assert (row["size"], row["given"]) == ("n5", "catalog") and "other" not in row
+    assert run(df, mapping, functions="tierline_fn", custom={"given": lambda d: F.lit("code")}).first()["given"] == "code"
+    assert "size" not in run(df, mapping, functions="no_such_database").columns
+
+
 def test_expression_types(spark):
     df = spark.createDataFrame([("1.7", 2.345)], "t string, d double")
     mapping = table("t", generated("whole", "integer", "t"), generated("real", "float", "d"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tierline.functions.casts import to_type
 from tierline.functions.scalars import phone_tail
@@ -48,15 +50,44 @@ def null_on_error(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_ANSI, before)
 
 
+def function_parameters(spark: SparkSession, function: str) -> list[str] | None:
+    """Names of a SQL function's parameters, as the catalog keeps them; None if there is no such function."""
+    if not spark.catalog.functionExists(function):
+        return None
+    for row in spark.sql(f"DESCRIBE FUNCTION EXTENDED {function}").collect():
+        label, _, rest = row[0].partition(": ")
+        if label == "Usage" and rest.startswith("{"):
+            return StructType.fromDDL(json.loads(rest).get("sqlFunction.inputParam", "")).names
+    return None  # a function of another kind
+
+
+def catalog_columns(spark: SparkSession, mapping: TableMapping, functions: str) -> CustomColumns:
+    """Derivations of ``CUSTOM`` columns by SQL functions ``<functions>.<table>__<target>``.
+
+    Their parameters are named after cleaned columns.
+    """
+    found = {}
+    for rule in mapping.rules:
+        function = f"`{functions}`.`{mapping.name}__{rule.target_column}`"
+        names = function_parameters(spark, function) if rule.transformation == CUSTOM else None
+        if names is not None:
+            call = f"{function}({', '.join(f'`{n}`' for n in names)})"
+            found[rule.target_column] = lambda df, call=call: F.expr(call)
+    return found
+
+
 def transform(df: DataFrame, mapping: TableMapping, run_id: int | str,
               as_of: datetime | str | None = None,
-              custom: CustomColumns | None = None) -> DataFrame:
+              custom: CustomColumns | None = None, functions: str | None = None) -> DataFrame:
     """Silver columns in mapping order, then ``last_updated`` and ``etl_run_id``.
 
     Expressions see the cleaned columns under their source names; those without
-    a value, as by division by zero, are null. A ``CUSTOM`` column nobody supplies
-    a derivation for is left out.
+    a value, as by division by zero, are null. A ``CUSTOM`` column comes from
+    ``custom``, else from a SQL function of the database ``functions``
+    (:func:`catalog_columns`); one that neither has is left out.
     """
+    if functions:
+        custom = {**catalog_columns(df.sparkSession, mapping, functions), **(custom or {})}
     with null_on_error(df.sparkSession):
         return _transformed(df, mapping, run_id, as_of, custom)
 

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import logging
+import threading
+import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
@@ -25,6 +29,8 @@ from tierline.sources.snapshots import ONE_SLICE, SnapshotTable, date_slices, ha
 
 logger = logging.getLogger(__name__)
 
+_INTERRUPT = "spark.job.interruptOnCancel"
+
 
 def _details(error: Exception) -> str:
     return str(error.args[0]) if error.args else str(error) or "Unknown error"
@@ -34,11 +40,50 @@ def _each(spark: SparkSession, work, items, at_once: int) -> list:
     """Apply ``work`` to each item, ``at_once`` of them submitting Spark jobs together."""
     pool = ThreadPoolExecutor(max_workers=at_once)
     try:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
+        # Wrapped one by one: each item has local properties, and so job tags, of its own.
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]]
     finally:
         pool.shutdown(cancel_futures=True)
 
 
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None, what: str) -> Iterator[None]:
+    """Spark jobs this thread submits within are cancelled after ``seconds``; those of other threads go on.
+
+    They carry a tag of their own. Later jobs are cancelled too until the work
+    within has ended, which then fails with :class:`TimeoutError`.
+    """
+    if seconds is None:
+        yield
+        return
+    tag, over, done = f"tierline-{uuid.uuid4().hex}", threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if not done.wait(seconds):
+            over.set()
+            while not done.is_set():
+                spark.sparkContext.cancelJobsWithTag(tag)
+                done.wait(1)
+    watcher = threading.Thread(target=watch, daemon=True)
+    before = spark.sparkContext.getLocalProperty(_INTERRUPT)
+    spark.sparkContext.addJobTag(tag)
+    spark.sparkContext.setLocalProperty(_INTERRUPT, "true")  # also tasks that wait
+    watcher.start()
+    try:
+        yield
+    except Exception as error:
+        if over.is_set():
+            raise TimeoutError(f"{what} took longer than {seconds:g} s") from error
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        spark.sparkContext.removeJobTag(tag)
+        spark.sparkContext.setLocalProperty(_INTERRUPT, before)
+    if over.is_set():
+        raise TimeoutError(f"{what} took longer than {seconds:g} s")
+
+
 def ingest(spark: SparkSession, log: runlog.RunLog, parameters: RunParameters, landing: str,
            dimension_documents: str | list[str], fact_documents: str | list[str],
            dimensions: tuple[str, ...] = dairy.DIMENSION_TABLES,
@@ -101,9 +146,9 @@ def landing_to_bronze(spark: SparkSession, landing: str, bronze: str, run_id: in
 
 def silver_rows(df: DataFrame, mapping: TableMapping, run_id: int | str,
                 as_of: datetime | str | None = None,
-                custom: CustomColumns | None = None) -> DataFrame:
+                custom: CustomColumns | None = None, functions: str | None = None) -> DataFrame:
     """Clean and transform one bronze table and evaluate its quality rules."""
-    shaped = transform(clean(df, mapping), mapping, run_id, as_of, custom)
+    shaped = transform(clean(df, mapping), mapping, run_id, as_of, custom, functions)
     return quality.evaluate(shaped, mapping.dq_rules)
 
 
@@ -117,7 +162,7 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
                       rejected: str, run_id: int | str, load_type: str = INCREMENTAL_LOAD,
                       as_of: datetime | str | None = None, slice_by: str = ONE_SLICE,
                       custom: CustomColumns | None = None, check_quality: bool = True,
-                      database: str | None = None) -> SnapshotTable:
+                      database: str | None = None, functions: str | None = None) -> SnapshotTable:
     """One table from bronze to silver; failing rows go to ``<rejected>``.
 
     With quality rules the evaluated rows are written once to the shared
@@ -138,11 +183,11 @@ def load_silver_table(spark: SparkSession, mapping: TableMapping, bronze: str, s
                           insert=mapping.insert_columns, witness=mapping.key_parts)
 
     if not (check_quality and mapping.dq_rules):
-        load(transform(clean(source, mapping), mapping, run_id, as_of, custom))
+        load(transform(clean(source, mapping), mapping, run_id, as_of, custom, functions))
     else:
         staging = scratch_path(spark, "quality")
         try:
-            evaluated = silver_rows(source, mapping, run_id, as_of, custom)
+            evaluated = silver_rows(source, mapping, run_id, as_of, custom, functions)
             evaluated.write.partitionBy(quality.RESULT).parquet(staging)
             staged = spark.read.schema(evaluated.schema).parquet(staging)
             _log_outcomes(mapping, staged)
@@ -172,11 +217,14 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
                      slices: dict[str, str] | None = None,
                      custom: dict[str, CustomColumns] | None = None,
                      check_quality: bool = True, database: str | None = None,
-                     at_once: int = 4) -> tuple[str, str]:
+                     at_once: int = 4, functions: str | None = None,
+                     table_seconds: float | dict[str, float] | None = None) -> tuple[str, str]:
     """All mapped tables; a table that fails does not stop the others.
 
     Returns the status and the collected messages. ``at_once`` tables are
-    submitted together so that small ones do not leave the cluster idle.
+    submitted together so that small ones do not leave the cluster idle. A table
+    that takes longer than ``table_seconds`` (of all, or by name) is cancelled alone
+    and counts as failed. ``functions`` is a database of SQL functions for ``CUSTOM`` columns.
     """
     mapping = dairy.MAPPING if mapping is None else mapping
     as_of = as_of or datetime.now(timezone.utc)
@@ -184,9 +232,11 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
 
     def load(table: str) -> str:
         try:
-            load_silver_table(spark, mapping[table], bronze, silver, rejected, run_id, load_type,
-                              as_of, slices.get(table, ONE_SLICE),
-                              (custom or {}).get(table), check_quality, database)
+            seconds = table_seconds.get(table) if isinstance(table_seconds, dict) else table_seconds
+            with time_limit(spark, seconds, table):
+                load_silver_table(spark, mapping[table], bronze, silver, rejected, run_id, load_type,
+                                  as_of, slices.get(table, ONE_SLICE),
+                                  (custom or {}).get(table), check_quality, database, functions)
             return ""
         except Exception as error:
             return (f"There was issue while processing table:{table}\n"

@@ -9,6 +9,7 @@ from tierline.mapping import (CUSTOM, ColumnRule, dated_key, day, decimal2, gene
 from tierline.operators.clean import clean, drop_duplicate_rows, fill_defaults
 from tierline.operators.transform import transform
 from tierline.queries.registry import AS_OF, RUN_ID, given, query, source
+from tierline.session import scratch_path
 from tierline.sources.bronze import null_row
 
 _DAY = "date_format(o_orderdate, 'yyyy-MM-dd')"
@@ -205,6 +206,27 @@ def custom_supplied(spark, sf_dir):
         {"size_class": lambda df: F.when(df.o_totalprice >= 250000, "large").otherwise("small")})
 
 
+@query("custom_sql_function", """
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice >= 250000 THEN 'large' ELSE 'small' END || ' ' || o_orderstatus AS size_class,
+           CAST(year(o_orderdate) AS VARCHAR) AS season, '2024-05-01 06:00:00' AS last_updated, '7' AS etl_run_id FROM orders""")
+def custom_sql_function(spark, sf_dir):
+    """Custom columns come from SQL functions of the catalog, found by table and column name."""
+    base = scratch_path(spark, "functions")
+    database = "tierline_" + base[-8:]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    spark.sql(f"""CREATE FUNCTION {database}.orders__size_class(o_totalprice DOUBLE, o_orderstatus STRING) RETURNS STRING
+                  RETURN concat(CASE WHEN o_totalprice >= 250000 THEN 'large' ELSE 'small' END, ' ', o_orderstatus)""")
+    spark.sql(f"""CREATE FUNCTION {database}.orders__season(o_orderdate TIMESTAMP) RETURNS STRING
+                  RETURN CAST(year(o_orderdate) AS STRING)""")
+    price = ColumnRule("orders", "o_totalprice", "o_totalprice", "float")
+    mapping = table("orders", integer("o_orderkey"), lambda _: price, lambda _: _custom("size_class"), lambda _: _custom("season"),
+                    lambda _: _custom("nobody_supplies"))
+    try:
+        return transform(given(spark, sf_dir, "orders"), mapping, RUN_ID, AS_OF, functions=database)
+    finally:  # the functions' bodies are part of the plan by now
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @query("null_row_union", """
     SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders UNION ALL SELECT NULL, NULL, NULL""")
 def null_row_union(spark, sf_dir):

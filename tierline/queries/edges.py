@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
-from tierline.mapping import generated, identity_key, integer, string, table
+from tierline.mapping import CUSTOM, ColumnRule, generated, identity_key, integer, string, table
 from tierline.operators.quality import ruleset_text
 from tierline.operators.transform import transform
+from tierline.plans.date_dim import date_dim
 from tierline.plans.jobs import bronze_to_silver, landing_to_bronze
 from tierline.plans.parameters import FULL_LOAD
 from tierline.queries.registry import AS_OF, RUN_ID, given, query, source
@@ -111,3 +114,37 @@ def silver_run_outcome(spark, sf_dir):
     return suppliers.crossJoin(customers).select(
         F.lit(status).alias("status"), F.lit("table:missing" in problems).alias("names_the_table"), "suppliers", "customers",
         F.lit(ruleset_text(_CUSTOMER.dq_rules)).alias("rules"))
+
+
+@query("silver_table_timeout", """
+    SELECT 'partial' AS status, true AS names_the_table, (SELECT count(*) FROM supplier) AS suppliers, false AS slow_loaded""")
+def silver_table_timeout(spark, sf_dir):
+    """A table that hangs is cancelled after its time; the other one is loaded and the run is partial."""
+    base = scratch_path(spark, "timeout")
+    _land(spark, sf_dir, base)
+    landing_to_bronze(spark, f"{base}/landing", f"{base}/bronze", RUN_ID, mapping=_MAPPING)
+    waits = ColumnRule("customer", "NA", "waits", "string", is_generated="Y", transformation=CUSTOM)
+    slow = table("customer", identity_key("id"), integer("id"), lambda _: waits)
+    status, problems = bronze_to_silver(
+        spark, f"{base}/bronze", f"{base}/silver", f"{base}/dq_failed", RUN_ID, FULL_LOAD, {"customer": slow, "supplier": _SUPPLIER},
+        as_of=AS_OF, custom={"customer": {"waits": lambda _: F.expr("reflect('java.lang.Thread', 'sleep', 60000L)")}},
+        table_seconds={"customer": 2})
+    suppliers = SnapshotTable(spark, f"{base}/silver/supplier").read().agg(F.count(F.lit(1)).alias("suppliers"))
+    return suppliers.select(
+        F.lit(status).alias("status"), F.lit("customer took longer than 2 s" in problems).alias("names_the_table"), "suppliers",
+        F.lit(SnapshotTable(spark, f"{base}/silver/customer").exists()).alias("slow_loaded"))
+
+
+@query("date_span_checked", """
+    SELECT n_nationkey, n_nationkey < 11 AS accepted,
+           CASE WHEN n_nationkey < 11 THEN CAST(12 - n_nationkey AS BIGINT) ELSE 0 END AS days FROM nation""")
+def date_span_checked(spark, sf_dir):
+    """A calendar from a day for each nation to the 12th of January: a start on or after its end is refused."""
+    end, rows = date(2020, 1, 12), []
+    for (key,) in given(spark, sf_dir, "nation").select("n_nationkey").collect():
+        try:
+            rows.append((key, True, date_dim(spark, str(date(2020, 1, 1) + timedelta(days=key)), str(end)).count()))
+        except ValueError:
+            rows.append((key, False, 0))
+    kind = dict(given(spark, sf_dir, "nation").dtypes)["n_nationkey"]
+    return spark.createDataFrame(rows, f"n_nationkey {kind}, accepted boolean, days long")

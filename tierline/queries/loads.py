@@ -8,7 +8,7 @@ from tierline.functions.scalars import business_quarter
 from tierline.mapping import dated_key, day, integer, string, table
 from tierline.operators.clean import clean
 from tierline.operators.transform import transform
-from tierline.operators.upsert import conflicting_keys, matched_keys, upsert
+from tierline.operators.upsert import conflicting_keys, key_collisions, matched_keys, upsert
 from tierline.plans.date_dim import load_date_dim
 from tierline.queries.registry import given, query, source
 from tierline.session import scratch_path
@@ -206,3 +206,51 @@ def catalog_many_slices(spark, sf_dir):
         SELECT o_orderpriority, count(*) AS orders, count_if(load = 'second') AS updated,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
         FROM {database}.orders WHERE o_orderstatus <> 'P' GROUP BY o_orderpriority"""), database)
+
+
+@query("schema_evolution", """
+    WITH rows AS (SELECT *, o_orderdate >= DATE '2000-01-01' AS late FROM orders)
+    SELECT o_orderkey AS dwid, CASE WHEN late THEN o_totalprice ELSE CAST(floor(o_totalprice) AS DOUBLE) END AS amount,
+           CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status, CASE WHEN late THEN o_orderpriority END AS priority
+    FROM rows WHERE o_orderkey % 3 > 0 OR late""")
+def schema_evolution(spark, sf_dir):
+    """A batch with a changed, a new and a lost column; the table is registered and read by SQL."""
+    base = scratch_path(spark, "evolution")
+    database = "tierline_" + base[-8:]
+    target = SnapshotTable(spark, f"{base}/orders", slice_by=hash_slices(8))
+    target.full_load(source(spark, sf_dir, "orders", "o_orderkey AS dwid", "CAST(floor(o_totalprice) AS BIGINT) AS amount",
+                            "o_orderstatus AS status").filter("dwid % 3 > 0"))
+    batch = given(spark, sf_dir, "orders").filter("o_orderdate >= '2000-01-01'")
+    target.upsert(batch.selectExpr("o_orderkey AS dwid", "o_totalprice AS amount", "o_orderpriority AS priority"), evolve=True)
+    target.register(database, "orders", f"{base}/database")
+    return _kept(spark.sql(f"SELECT * FROM {database}.orders"), database)
+
+
+@query("upsert_column_sets", """
+    SELECT o_orderkey AS dwid, o_orderstatus || CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '' END AS status,
+           CASE WHEN o_orderkey % 3 > 0 THEN 'old' ELSE 'new' END AS note,
+           CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS price
+    FROM orders WHERE o_orderkey % 3 > 0 OR o_orderkey % 2 = 0""")
+def upsert_column_sets(spark, sf_dir):
+    """Existing rows take one column of the batch, new rows two."""
+    target = SnapshotTable(spark, scratch_path(spark, "sets"), slice_by=hash_slices(4))
+    rows = source(spark, sf_dir, "orders", "o_orderkey AS dwid", "o_orderstatus AS status", "'old' AS note", "o_totalprice AS price")
+    target.full_load(rows.filter("dwid % 3 > 0"))
+    batch = rows.filter("dwid % 2 = 0").withColumns({"status": F.concat("status", F.lit("+")), "note": F.lit("new")})
+    target.upsert(batch, update=["status"], insert=["status", "note"])
+    return target.read()
+
+
+@query("key_collisions", """
+    WITH rows AS (SELECT CAST(concat(l_partkey, l_suppkey) AS BIGINT) AS dwid, {'a': l_partkey, 'b': l_suppkey} AS ids,
+                         l_linenumber = 1 AS stored FROM lineitem)
+    SELECT dwid, min(ids).a AS part, min(ids).b AS supplier, max(ids).a AS other_part, max(ids).b AS other_supplier
+    FROM rows WHERE dwid IN (SELECT dwid FROM rows WHERE NOT stored) GROUP BY dwid HAVING min(ids) <> max(ids)""")
+def key_collisions_query(spark, sf_dir):
+    """Keys joined from two ids that an upsert refuses: other ids, in the batch or in the table, give the same key."""
+    lines = source(spark, sf_dir, "lineitem", "CAST(concat(l_partkey, l_suppkey) AS BIGINT) AS dwid", "l_partkey", "l_suppkey", "l_linenumber")
+    stored, batch = lines.filter("l_linenumber = 1"), lines.filter("l_linenumber <> 1")
+    ids = ("l_partkey", "l_suppkey")
+    found = key_collisions(batch, matched_keys(stored, batch, witness=ids), witness=ids)
+    return found.selectExpr("dwid", "first.l_partkey AS part", "first.l_suppkey AS supplier",
+                            "other.l_partkey AS other_part", "other.l_suppkey AS other_supplier")
