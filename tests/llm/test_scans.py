@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -86,6 +88,49 @@ def test_window_entropy(spark):
         assert bits == pytest.approx(_entropy(text), abs=1e-9)
 
 
+def plain_class(text):
+    if re.fullmatch("[0-9]+", text):
+        return "digits"
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
+        return "hex"
+    for name, letters in (("lower", "[a-z]+"), ("upper", "[A-Z]+"), ("letters", "[A-Za-z]+")):
+        if re.fullmatch(letters, text):
+            return name
+    return "wide" if re.search("[0-9]", text) and re.search("[A-Za-z]", text) else None
+
+
+ALPHABETS = {"digits": string.digits, "hex": "0123456789abcdef", "lower": string.ascii_lowercase, "upper": string.ascii_uppercase,
+             "letters": string.ascii_letters, "wide": string.ascii_letters + string.digits + "+/_=-"}
+
+
+@pytest.mark.parametrize("name", list(ALPHABETS))
+def test_random_strings_of_each_class_against_a_plain_window(documents, by_id, name):
+    rng = random.Random(name)
+    # Few and many different characters, so both sides of the threshold occur.
+    values = ["".join(rng.choices(rng.sample(ALPHABETS[name], rng.randint(min(6, len(ALPHABETS[name])), len(ALPHABETS[name]))),
+                                  k=rng.randint(20, 90))) for _ in range(150)]
+    values = [v for v in values if not re.search(secret_scan.ALLOWED, v)]
+    found = by_id(secret_scan.report(documents(*(f"x {v} y" for v in values))))
+    seen = Counter()
+    for i, value in enumerate(values):
+        kind = plain_class(value)
+        want = kind is not None and _entropy(value) >= secret_scan.THRESHOLDS[kind] - 1e-12
+        assert (f"entropy:2:{2 + len(value)}" in found[i].spans.split(",")) == want, value
+        seen[kind, want] += 1
+    assert seen[name, True] > 5 and seen[name, False] > 5
+    assert secret_scan.THRESHOLDS[name] < math.log2(min(len(ALPHABETS[name]), secret_scan.WINDOW))
+
+
+def test_random_letters_and_digits_are_found_and_long_words_are_not(documents, by_id):
+    rng = random.Random(40)
+    hidden = ["".join(rng.choices(ALPHABETS[n], k=300)) for n in ("letters", "lower", "digits") for _ in range(5)]
+    words = ["internationalization", "Donaudampfschifffahrtsgesellschaft", "counterrevolutionaries", "path/to/some/other_file-name",
+             "electroencephalographically"]
+    found = by_id(secret_scan.report(documents(*hidden, *words)))
+    assert all(found[i].spans for i in range(len(hidden)))
+    assert not any(found[len(hidden) + i].spans for i in range(len(words)))
+
+
 def test_entropy_kind_and_its_allow_list(documents, by_id):
     token = "Zx9kQ2mP7vL4tR8wB3nY6cD1"
     found = by_id(secret_scan.report(documents(

@@ -1,19 +1,22 @@
 """Secrets in text: fixed forms, and strings of high entropy. SQL functions only.
 
-The entropy kind proposes long strings over the base64 alphabet that mix letters
-and digits. A window of ``WINDOW`` characters slides over each; the counts of the
-characters in it change by one in and one out per step, and with them the sum
-of c*log2(c) that gives Shannon's entropy. Digits, hexadecimal and wider
-strings are held to their own thresholds, since an alphabet of 16 cannot reach
-the entropy of one of 64. Strings on the allow-list, or next to words that name
+The entropy kind proposes long strings over the base64 alphabet. A window of
+``WINDOW`` characters slides over each; the counts of the characters in it,
+packed into a few numbers of five bits a character, change by one in and one out
+per step, and with them the sum of c*log2(c) that gives Shannon's entropy. Every
+class of characters (digits, hexadecimal, letters of one case or both, wider
+strings of letters and digits) has a threshold of its own, below what its alphabet
+can reach and, for letters, above what long words of a language do; other strings,
+such as paths of words, are not proposed. Strings on the allow-list, or next to words that name
 a published digest, are suppressed; that concerns the entropy kind only, the
 fixed forms always stay.
 
 Patterns are written so that no match recurses and no run of characters is
 tried again from each of its places, however long it is.
 
-Defined results: a null text is empty; rows that share an id are reported each;
-a row without an id is reported with a null one. Other columns do not matter.
+Defined results: a null text is empty; texts and strings of any length are
+scanned whole; rows that share an id are reported each; a row without an id is
+reported with a null one; an empty table gives no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -26,7 +29,12 @@ from tierline.llm.spans import Kind, joined, located, masked, of_kind
 
 #: Characters in the sliding window, and the entropy in bits a window must reach, by class.
 WINDOW = 20
-THRESHOLDS = {"digits": 3.6, "hex": 3.0, "wide": 3.6}
+THRESHOLDS = {"digits": 3.0, "hex": 3.0, "lower": 3.8, "upper": 3.8, "letters": 3.8, "wide": 3.6}
+#: What the strings of each class look like; the first that fits counts (fixed values).
+CLASSES = {"digits": "^[0-9]+$", "hex": "^(?:[0-9a-f]+|[0-9A-F]+)$", "lower": "^[a-z]+$", "upper": "^[A-Z]+$",
+           "letters": "^[A-Za-z]+$", "wide": "^(?=.*[0-9])(?=.*[A-Za-z])"}
+#: Counts in one number, and bits of each: a count is at most ``WINDOW``.
+_PACKED, _BITS = 12, 5
 #: Strings that are never secrets by entropy: alphabets, placeholders, runs of one unit.
 ALLOWED = (r"(?i)example|sample|dummy|placeholder|xxxx|0123456789|abcdefgh|"
            r"^([0-9A-Za-z+/_=-]{1,4}?)\1{4,}")
@@ -53,30 +61,39 @@ def window_entropy(value: Column) -> Column:
     def weight(count):
         return F.when(count > 1, count * F.log2(count)).otherwise(0.0)
 
+    def unit(code):
+        """One, at the place of a character's count."""
+        return F.call_function("shiftleft", F.lit(1).cast("long"), (code % _PACKED) * _BITS)
+
+    def count(counts, code):
+        held = F.get(counts, F.floor(code / _PACKED).cast("int"))
+        return F.call_function("shiftright", held, (code % _PACKED) * _BITS).bitwiseAND(F.lit((1 << _BITS) - 1).cast("long"))
+
     def step(state, x):
-        added, gone = F.get(state["counts"], x["new"]), F.get(state["counts"], x["old"])
-        moved = (x["new"] != x["old"])
+        moved, full = x["new"] != x["old"], x["old"] >= 0
+        added, gone = count(state["counts"], x["new"]), count(state["counts"], x["old"])
         total = state["total"] + F.when(moved, weight(added + 1) - weight(added)
-                                        - F.when(x["old"] >= 0, weight(gone) - weight(gone - 1)).otherwise(0.0)
+                                        - F.when(full, weight(gone) - weight(gone - 1)).otherwise(0.0)
                                         ).otherwise(0.0)
-        counts = F.transform(state["counts"], lambda c, k: c + (moved & (k == x["new"])).cast("int")
-                             - (moved & (k == x["old"])).cast("int"))
+        counts = F.transform(state["counts"], lambda c, k: c
+                             + F.when(moved & (k == F.floor(x["new"] / _PACKED)), unit(x["new"])).otherwise(0)
+                             - F.when(moved & full & (k == F.floor(x["old"] / _PACKED)), unit(x["old"])).otherwise(0))
         seen = state["seen"] + 1
         bits = F.lit(math.log2(WINDOW)) - total / WINDOW
         best = F.when(seen >= WINDOW, F.greatest(state["best"], bits)).otherwise(state["best"])
         return F.struct(counts.alias("counts"), total.alias("total"), best.alias("best"), seen.alias("seen"))
 
-    start = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("total"),
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), math.ceil(128 / _PACKED)).alias("counts"), F.lit(0.0).alias("total"),
                      F.lit(0.0).alias("best"), F.lit(0).alias("seen"))
     return F.aggregate(steps, start, step, lambda s: s["best"])
 
 
 def _entropic(value: Column) -> Column:
-    limit = (F.when(F.rlike(value, F.lit("^[0-9]+$")), THRESHOLDS["digits"])
-             .when(F.rlike(value, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")), THRESHOLDS["hex"])
-             .otherwise(THRESHOLDS["wide"]))
-    mixed = F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[A-Za-z]"))
-    return F.when(mixed & ~F.rlike(value, F.lit(ALLOWED)), window_entropy(value) >= limit).otherwise(False)
+    limit = F.lit(None).cast("double")
+    for name in reversed(CLASSES):
+        limit = F.when(F.rlike(value, F.lit(CLASSES[name])), THRESHOLDS[name]).otherwise(limit)
+    proposed = limit.isNotNull() & ~F.rlike(value, F.lit(ALLOWED))
+    return F.when(proposed, window_entropy(value) >= limit).otherwise(False)
 
 
 #: The fixed forms first, in the order of the contract.
