@@ -1,10 +1,11 @@
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from tierline.llm import licenses
 
-MIT, APACHE, GPL = (dict(licenses.TEMPLATES)[n] for n in ("MIT", "Apache-2.0", "GPL-3.0"))
+MIT, APACHE, GPL = (dict(reversed(licenses.TEMPLATES))[n] for n in ("MIT", "Apache-2.0", "GPL-3.0"))
 
 
 def files(spark, *rows):
@@ -32,6 +33,62 @@ def test_a_line_that_only_mentions_a_licence_is_not_one(spark):
     assert found(licenses.scan(files(spark, ("a", text), ("b", "word " * 50_000 + "license"))))["a"][1] == "none"
 
 
+def test_a_score_does_not_depend_on_the_other_notices(spark):
+    """One paraphrased header among few and many notices of the same mix."""
+    header, seen = "mytool is licensed under the Apache License, Version 2.0", set()
+    for n in (5, 500, 50_000):
+        others = spark.range(n).selectExpr("concat('p/', id) AS path", "concat('Released under the MIT License. Owner ', id % 400) AS text")
+        rows = files(spark, ("x", header)).unionByName(others).withColumnRenamed("path", "place")
+        row = licenses.scan(rows, "place", F.col("place")).filter("place = 'x'").first()
+        seen.add((row.license, row.found, row.similarity))
+    assert len(seen) == 1 and seen.pop()[0] == "Apache-2.0"
+
+
+def test_headers_of_all_kinds(spark):
+    code = "x = 1\n" * 30
+    headers = {
+        "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", "// SPDX-License-Identifier: MIT": "MIT",
+        "/* SPDX-License-Identifier: Apache-2.0 */ int other_words;": "Apache-2.0", "# SPDX-License-Identifier: Foo-1.0": None,
+        "# This work is licensed under the GNU General Public\n# License, version 3.": "GPL-3.0",
+        "# This work is licensed under the GNU General Public\n# License, version 2.": "GPL-2.0",
+        "# Our sources are released to all under the MIT License": "MIT", "# Copyright (c) 2020 Somebody": None,
+        "# licensed as stated in a contract with the customer of our department": None}
+    rows = files(spark, *((f"{i}.py", f"{h}\n{code}") for i, h in enumerate(headers)))
+    got = found(licenses.scan(rows))
+    assert [got[f"{i}.py"][0] for i in range(len(headers))] == list(headers.values())
+    assert all(g[1] == ("header" if g[0] else "none") for g in got.values())
+
+
+def test_licence_files_by_their_text(spark):
+    for name, text in licenses.TEMPLATES[13:18]:
+        text = f"Copyright (c) 2021 The Authors of It\n\n{text}"
+        got = found(licenses.scan(files(spark, ("a/TERMS.md", text), ("a/b/c.py", ""), ("d.py", ""))))
+        assert got == {"a/TERMS.md": (name, "file", None), "a/b/c.py": (name, "inherited", "a/TERMS.md"), "d.py": (None, "none", None)}
+    prose = "Some report on rivers, their bridges and a hundred other things. " * 40
+    got = found(licenses.scan(files(spark, ("a/x.md", f"{prose}\n{MIT}"), ("a/y.md", ""), ("a/z.md", f"{prose} license"))))
+    assert got == {"a/x.md": ("MIT", "header", None), "a/y.md": (None, "none", None), "a/z.md": (None, "none", None)}
+
+
+def test_ancestors_against_brute_force(spark):
+    rng, rows = random.Random(8), []
+    dirs = ["", *(f"d{i}" for i in range(3)), *(f"d{i}/e{j}" for i in range(3) for j in range(3)),
+            *(f"d{i}/e{j}/f{k}" for i in range(3) for j in range(3) for k in range(2))]
+    given = {d: rng.choice([(n, t) for n, t in licenses.TEMPLATES[:12]]) for d in dirs if rng.random() < 0.4}
+    for d in dirs:
+        at = f"{d}/" if d else ""
+        rows.append((f"{at}x.py", "code"))
+        if d in given:
+            rows.append((f"{at}LICENSE", given[d][1]))
+    got = found(licenses.scan(files(spark, *rows)))
+    for d in dirs:
+        up = d
+        while up not in given and up:
+            up = up.rpartition("/")[0]
+        at, origin = (f"{p}/" if p else "" for p in (d, up))
+        want = (given[up][0], "inherited", f"{origin}LICENSE") if up in given else (None, "none", None)
+        assert got[f"{at}x.py"] == want
+
+
 def test_ties_and_repeated_rows(spark):
     rows = files(spark, ("d/LICENSE-b", APACHE), ("d/LICENSE-a", MIT), ("d/x", f"{MIT}\n{APACHE}"), ("d/y", ""), ("d/y", ""))
     got = licenses.scan(rows).collect()

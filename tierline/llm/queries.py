@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierline.llm import (bpe, exact_dedup, language, licenses, packing, pii, prefix_trie, secret_scan, simhash, substrings,
                           topk, toxicity, whitening)
-from tierline.llm.common import SPACES, whole_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,8 +85,6 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
-#: Documents lie at source/lang/id.txt; those of at most so many words that hold a notice are licence files.
-NOTICE_WORDS = 40
 _VALUES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licenses.TEMPLATES))
 
 
@@ -96,48 +93,45 @@ WITH templates(place, license, notice) AS (VALUES """ + _VALUES + r"""),
 files AS (
   SELECT doc_id, coalesce(text, '') AS body, source || '/' || lang || '/' || doc_id || '.txt' AS path,
          source || '/' || lang AS dir FROM documents),
-flagged AS (
-  SELECT *, regexp_matches(body, '""" + licenses.MENTIONS + r"""') AND
-         len([w FOR w IN regexp_split_to_array(body, '[ 	-
-]+') IF w <> '']) <= 40 AS is_license FROM files),
-lines AS (
-  SELECT doc_id, path, dir, is_license, -1 AS line, trim(body) AS notice FROM flagged WHERE is_license
-  UNION ALL
-  SELECT doc_id, path, dir, is_license, unnest(range(len(ls))) AS line, trim(unnest(ls)) AS notice
-  FROM (SELECT *, regexp_split_to_array(body, '
-?
-|
-') AS ls FROM flagged
-        WHERE regexp_matches(body, '""" + licenses.MENTIONS + r"""'))),
-found AS (SELECT * FROM lines WHERE line = -1 OR regexp_matches(notice, '""" + licenses.MENTIONS + r"""')),
-notices AS (SELECT notice, count(*) AS n FROM found GROUP BY notice),
+mentioning AS (
+  SELECT *, [trim(l) FOR l IN regexp_split_to_array(body, '\r?\n|\r')] AS ls FROM files
+  WHERE regexp_matches(body, '""" + licenses.MENTIONS + r"""')),
+numbered AS (
+  SELECT doc_id, path, dir, unnest(range(len(ls))) AS line, unnest(ls) AS notice, unnest(list_append(ls[2:], '')) AS after
+  FROM mentioning),
+headers AS (SELECT * FROM numbered WHERE regexp_matches(notice, '""" + licenses.MENTIONS + r"""')),
+found AS (
+  SELECT doc_id, path, dir, -1 AS line, trim(body) AS notice FROM mentioning
+  UNION ALL SELECT doc_id, path, dir, line, CASE WHEN regexp_matches(notice, '""" + licenses.SPDX + r"""')
+    THEN regexp_extract(notice, '""" + licenses.SPDX + r"""', 1) ELSE notice END FROM headers
+  UNION ALL SELECT doc_id, path, dir, line, notice || ' ' || after FROM headers WHERE after <> ''),
 words AS (
   SELECT notice, token, count(*) AS tf FROM (
-    SELECT notice, unnest(regexp_split_to_array(lower(notice), '[^a-z0-9]+')) AS token FROM notices)
+    SELECT notice, unnest(regexp_split_to_array(lower(notice), '[^a-z0-9]+')) AS token FROM (SELECT DISTINCT notice FROM found))
   WHERE token <> '' GROUP BY notice, token),
 known_words AS (
   SELECT place, license, token, count(*) AS tf FROM (
     SELECT place, license, unnest(regexp_split_to_array(lower(notice), '[^a-z0-9]+')) AS token FROM templates)
   WHERE token <> '' GROUP BY place, license, token),
-frequencies AS (SELECT token, sum(n) AS df FROM words JOIN notices USING (notice) GROUP BY token),
-total AS (SELECT coalesce(sum(n), 0) AS n FROM notices),
-ours AS (
-  SELECT notice, token, (1 + ln(tf)) * (ln((1 + total.n) / (1 + coalesce(df, 0))) + 1) AS w
-  FROM words LEFT JOIN frequencies USING (token), total),
-known AS (
-  SELECT place, license, token, (1 + ln(tf)) * (ln((1 + total.n) / (1 + coalesce(df, 0))) + 1) AS w
-  FROM known_words LEFT JOIN frequencies USING (token), total),
+rarity AS (
+  SELECT token, ln((1 + (SELECT count(*) FROM templates)) / (1 + count(*))) + 1 AS idf FROM known_words GROUP BY token),
+ours AS (SELECT notice, token, tf, (1 + ln(tf)) * idf AS w FROM words JOIN rarity USING (token)),
+known AS (SELECT place, license, token, (1 + ln(tf)) * idf AS w FROM known_words JOIN rarity USING (token)),
+sizes AS (SELECT notice, sum(tf) AS size FROM words GROUP BY notice),
 our_norms AS (SELECT notice, sqrt(sum(w * w)) AS norm FROM ours GROUP BY notice),
 known_norms AS (SELECT place, sqrt(sum(w * w)) AS norm FROM known GROUP BY place),
 scores AS (
-  SELECT notice, place, license, round(sum((o.w / a.norm) * (k.w / b.norm)), 6) AS similarity
+  SELECT notice, place, license, round(sum((o.w / a.norm) * (k.w / b.norm)), 6) AS similarity, sum(tf) AS held
   FROM ours o JOIN our_norms a USING (notice) JOIN known k USING (token) JOIN known_norms b USING (place)
   GROUP BY notice, place, license),
 best AS (
-  SELECT notice, license, similarity FROM scores
+  SELECT notice, license, similarity, held / size AS share FROM scores JOIN sizes USING (notice)
+  WHERE held >= CASE WHEN place < 18 THEN 0.5 ELSE 1 END * size
   QUALIFY row_number() OVER (PARTITION BY notice ORDER BY similarity DESC, place) = 1),
+matched AS (SELECT doc_id, path, dir, line, license, similarity FROM found JOIN best USING (notice)
+  WHERE similarity >= 0.72 AND (line >= 0 OR share >= 0.93)),
 own AS (
-  SELECT doc_id, path, dir, is_license, license, similarity FROM found JOIN best USING (notice) WHERE similarity >= 0.6
+  SELECT doc_id, path, dir, license, similarity, min(line) OVER (PARTITION BY doc_id) = -1 AS is_license FROM matched
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, line) = 1),
 given AS (
   SELECT dir, path AS origin, license AS given FROM own WHERE is_license
@@ -146,13 +140,11 @@ SELECT f.doc_id, f.path, coalesce(own.license, given) AS license,
        CASE WHEN own.license IS NOT NULL THEN CASE WHEN own.is_license THEN 'file' ELSE 'header' END
             WHEN given IS NOT NULL THEN 'inherited' ELSE 'none' END AS found,
        similarity, CASE WHEN own.license IS NULL THEN origin END AS origin
-FROM flagged f LEFT JOIN own USING (doc_id) LEFT JOIN given ON f.dir = given.dir""")
+FROM files f LEFT JOIN own USING (doc_id) LEFT JOIN given ON f.dir = given.dir""")
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = whole_text()
-    short = F.size(F.filter(F.split(text, SPACES), lambda w: w != "")) <= NOTICE_WORDS
+    """Documents lie at source/lang/id.txt."""
     path = F.concat("source", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
-    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", path,
-                         F.rlike(text, F.lit(licenses.MENTIONS)) & short)
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", path)
 
 
 @query("op8_repeated_substrings")
