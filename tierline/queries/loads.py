@@ -12,6 +12,7 @@ from tierline.operators.upsert import conflicting_keys, key_collisions, matched_
 from tierline.plans.date_dim import load_date_dim
 from tierline.queries.registry import given, query, source
 from tierline.session import scratch_path
+from tierline.sources.bucketed import BucketedTable
 from tierline.sources.landing import fact_window
 from tierline.sources.snapshots import SnapshotTable, date_slices, hash_slices
 
@@ -62,6 +63,18 @@ def scd1_merge(spark, sf_dir):
     return target.read()
 
 
+@query("scd1_bucketed", _MERGED_SQL)
+def scd1_bucketed(spark, sf_dir):
+    """The same with the table in buckets by key."""
+    base = scratch_path(spark, "bucketed")
+    database = "tierline_" + base[-8:]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    target = BucketedTable(spark, f"{base}/orders", database, "orders", buckets=8)
+    target.full_load(_base(spark, sf_dir))
+    target.upsert(_batch(spark, sf_dir))
+    return _kept(spark.sql(f"SELECT * FROM {database}.orders"), database)
+
+
 @query("scd1_merge_plan", _MERGED_SQL)
 def scd1_merge_plan(spark, sf_dir):
     """The same as one lazy plan."""
