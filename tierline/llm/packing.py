@@ -7,8 +7,9 @@ each node, so the first bin with room is found on one path from the root.
 Groups are of bounded size whatever the corpus, sources or copies look like,
 and independent of each other; each leaves at most a few bins open.
 
-Defined results: a null text is empty and still has its end id; rows that share
-an id, or have none, are packed each (their pieces carry that id).
+Defined results: a null text is empty and still has its end id; a text of any
+length is cut whole; rows that share an id, or have none, are packed each (their
+pieces carry that id); an empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations

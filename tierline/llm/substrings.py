@@ -25,17 +25,18 @@ folds its own repeats before it sends names, so a passage that a third of all
 texts share is one name per unit. A step derives what it needs anew from the
 unit and the bits so far, so a lost executor costs only its own units.
 
-Names are 64-bit hashes used to find candidates; a repeat is only removed where
-two independent ones (128 bits) agree.
+Names are 64-bit hashes used to find candidates. A repeat is removed in step 2 where
+the 64 bits of the context and the bucket and 32 more bits of the name agree, in step 3
+where the 128 bits of an independent digest do.
 
 Defined results: a null text is empty; rows that share an id are ordered by
 offset, then by their place; rows without an id come after all others. A text
-lies in one unit however long it is.
+lies in one unit however long it is. An empty table gives no rows. Other columns
+are not looked at.
 """
 
 from __future__ import annotations
 
-import hashlib
 import hashlib
 import math
 import uuid

@@ -14,7 +14,8 @@ of that group. The bounds are exact up to rounding, for which they are widened.
 Defined results: vectors that are null, or hold null or non-finite components,
 and rows without an id take no part; shorter vectors count as filled up with
 zeros; ties go to the smaller id; rows that share an id are candidates each, and
-as a query an id has one vector, its least. Scores must fit 64 bits.
+as a query an id has one vector, its least; an empty table gives no rows. Scores
+must fit 64 bits. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ their text alone.
 Defined results: a null text is empty and scored as such; rows that share an id
 are scored each; a row without an id is scored and not held out; ids with
 several labels count as toxic if any is; without usable labels the fixed word
-lists and weights decide.
+lists and weights decide; a text of any length is scored whole; an empty table
+gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
