@@ -35,6 +35,8 @@ def build_session(app_name: str = "tierline", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # Folders of many slices are listed by some dozens of tasks, not by a task each.
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
         # A task that writes few partitions need not sort its rows first.
         "spark.sql.maxConcurrentOutputFileWriters": "4",
         "spark.scheduler.mode": "FAIR",
