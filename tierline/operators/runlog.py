@@ -12,6 +12,8 @@ from tierline.session import scratch_path
 from tierline.sources.snapshots import SnapshotTable, hash_slices
 
 # Event envelope, producers and message texts.
+TABLE_PROBLEM = "There was issue while processing table:{}\nERROR: {}\n"
+DATE_PROBLEM = " There was issue while processing dim date \nERROR: {}\n"
 EVENT_SOURCE = "pf-resources"
 EVENT_TYPE = "pf-resource-event"
 INGEST, TO_BRONZE, TO_SILVER, TO_GOLD = (

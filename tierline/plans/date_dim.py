@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierline.functions.scalars import business_quarter
 from tierline.sources.snapshots import SnapshotTable
 
-# Default span.
+# Default span, and what is said of one that ends too early.
 DEFAULT_SPAN = ("2022-01-01", "2025-12-31")
+SPAN_PROBLEM = "End date must be after start date."
 
 
 def date_dim(spark: SparkSession, start: str = DEFAULT_SPAN[0],
@@ -18,7 +19,7 @@ def date_dim(spark: SparkSession, start: str = DEFAULT_SPAN[0],
     """One row per day from ``start`` to ``end``, both included."""
     first, last = (datetime.strptime(text, "%Y-%m-%d").date() for text in (start, end))
     if first >= last:
-        raise ValueError("End date must be after start date.")
+        raise ValueError(SPAN_PROBLEM)
     day = F.col("date")
     return (spark.range((last - first).days + 1)
             .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))

@@ -239,8 +239,7 @@ def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, rejected: st
                                   (custom or {}).get(table), check_quality, database, functions)
             return ""
         except Exception as error:
-            return (f"There was issue while processing table:{table}\n"
-                    f"ERROR: {_details(error)}\n")
+            return runlog.TABLE_PROBLEM.format(table, _details(error))
 
     largest = max((f"{bronze}/{run_id}/{t}" for t in mapping), key=lambda p: files.bytes_below(spark, p))
     with sized_shuffles(spark, largest):
@@ -263,7 +262,7 @@ def silver_to_gold(spark: SparkSession, gold: str, run_id: int | str = 0,
         if log is None:
             raise
         log.report(run_id, runlog.TO_GOLD, runlog.FAILURE,
-                   f" There was issue while processing dim date \nERROR: {_details(error)}\n")
+                   runlog.DATE_PROBLEM.format(_details(error)))
         return False
     if log:
         log.report(run_id, runlog.TO_GOLD, runlog.SUCCESS)

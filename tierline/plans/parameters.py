@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-# The allowed choices.
+# The allowed choices, and what is said of missing ones.
+NO_RUN, NO_DATES = "Run Id was not provided.", "Date input was not provided in the event."
 FULL_LOAD, INCREMENTAL_LOAD = "full_load", "incremental_load"
 LOAD_TYPES = (FULL_LOAD, INCREMENTAL_LOAD)
 BACKFILL_CHOICES = ("0", "1")
@@ -27,9 +28,9 @@ class RunParameters:
 
     def __post_init__(self):
         if not self.run_id:
-            raise ValueError("Run Id was not provided.")
+            raise ValueError(NO_RUN)
         if not (self.input_date and self.start_date and self.backfill):
-            raise ValueError("Date input was not provided in the event.")
+            raise ValueError(NO_DATES)
         if int(self.run_id) < 1:
             raise ValueError("The run id starts at 1.")
         if self.load_type not in LOAD_TYPES:
