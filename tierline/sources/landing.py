@@ -140,8 +140,9 @@ def land_payload(spark: SparkSession, documents: str | list[str], landing: str,
     copy = scratch_path(spark, "payload")
     try:
         if by_ranges:
-            cut_documents(spark, documents, tables).write.parquet(copy)
-            cut = spark.read.parquet(copy)
+            cut_documents(spark, documents, tables, f"{copy}/cut").write.parquet(f"{copy}/rows")
+            files.delete(spark, f"{copy}/cut")
+            cut = spark.read.parquet(f"{copy}/rows")
             for name in tables:
                 _land_lines(cut.filter(F.col("name") == name).select("value"), f"{landing}/{folder}/{name}.json", name, window)
             return

@@ -233,13 +233,15 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
                                       [f.split()[0] for f in _PIECE.split(", ")])
 
 
-def cut_documents(spark: SparkSession, documents: str | list[str], tables: tuple[str, ...]) -> DataFrame:
+def cut_documents(spark: SparkSession, documents: str | list[str], tables: tuple[str, ...],
+                  scratch: str | None = None) -> DataFrame:
     """(name, value): every row of the named tables as JSON text on one line.
 
     A table that the documents do not hold is a KeyError, one that is no list of
-    rows a TypeError.
+    rows a TypeError. The rows are read from ``scratch``, by default a folder that
+    goes when the application ends.
     """
-    copy = scratch_path(spark, "payload-ranges")
+    copy = scratch or scratch_path(spark, "payload-ranges")
     segments = _segments(spark, documents)
     segments.mapInArrow(_read_ranges, _RANGE).write.parquet(f"{copy}/ranges")
     begins = beginnings(spark.read.parquet(f"{copy}/ranges"))
