@@ -2,7 +2,9 @@ import json
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
+from tierline.queries import QUERIES
 from tierline.sources import payload_ranges
 from tierline.sources.landing import land_payload, read_json
 
@@ -121,3 +123,37 @@ def test_landed_by_many_tasks_of_one_file(spark, tmp_path, small_ranges, rows):
     with pytest.raises(ValueError, match="without a date"):
         land_payload(spark, written(tmp_path / "e", json.dumps({"data": {"sales": [{"id": 1}]}})), f"{tmp_path}/landing", "facts",
                      ("sales",), by_ranges=True, window=("2024-01-03", "2024-01-05"))
+
+
+def tables(spark, folder, orders, customers):
+    """The columns that the query of the huge document reads, in several files each."""
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_totalprice double").repartition(3).write.parquet(
+        f"{folder}/orders.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_acctbal double").repartition(2).write.parquet(
+        f"{folder}/customer.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("n", [0, 1, 400])
+def test_the_huge_document_is_one_file_and_no_task_holds_it(spark, tmp_path, small_ranges, monkeypatch, n):
+    """Keys repeat and are null; what builds the file neither shuffles nor sorts nor windows the rows."""
+    orders = [(None if i % 50 == 7 else i // 2, "}, {" if i % 3 else None, i / 2) for i in range(n)]
+    customers = [(None if i % 9 == 5 else i % 20, f"c{i}", -float(i)) for i in range(n // 4)]
+    plans = {}
+    for kind in ("text", "parquet"):
+        def write(writer, path, *args, known=getattr(DataFrameWriter, kind), **kwargs):
+            if "/document-" in path and "/landing/" not in path:
+                plans[path] = writer._df._jdf.queryExecution().executedPlan().toString()
+            return known(writer, path, *args, **kwargs)
+        monkeypatch.setattr(DataFrameWriter, kind, write)
+    small_ranges(2000)
+    found = QUERIES["payload_huge_document"](spark, tables(spark, tmp_path, orders, customers))
+    expected = [("orders", *r) for r in orders] + [("customer", k, name + '}, {"', x) for k, name, x in customers]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    (path,) = [p for p in plans if p.endswith("/document")]
+    whole = spark.read.text(path, wholetext=True).collect()
+    assert len(whole) == 1
+    assert {k: len(v) for k, v in json.loads(whole[0].value)["data"].items()} == {
+        "orders": len(orders), "empty": 0, "customer": len(customers)}
+    for text in plans.values():
+        assert not any(word in text for word in ("Exchange", "Sort", "Window")), text
